@@ -65,7 +65,9 @@ def _checked(terms: Sequence[str]) -> list[str]:
 
 
 def _whole_token(terms: list[str]) -> str:
-    return f"(?<![a-z0-9])({'|'.join(terms)})(?![a-z0-9])"
+    """Regex for one of the terms as a whole token; the first test rules out most positions."""
+    initials = "".join(sorted({t[0] for t in terms}))
+    return f"(?=[{initials}])(?<![a-z0-9])({'|'.join(terms)})(?![a-z0-9])"
 
 
 def count_terms(text: Column, terms: Sequence[str]) -> Column:

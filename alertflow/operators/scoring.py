@@ -41,11 +41,15 @@ class LexiconScorer:
 
 def score_struct(top: Column) -> Column:
     """A class/probability struct as a score: confidence at four places, marked as computed."""
-    return F.struct(
-        top["prediction"].alias("prediction"),
-        F.round(top["confidence"], 4).alias("confidence"),
-        F.lit(True).alias("ok"),
-    )
+
+    def score(t: Column) -> Column:
+        return F.struct(
+            t["prediction"].alias("prediction"),
+            F.round(t["confidence"], 4).alias("confidence"),
+            F.lit(True).alias("ok"),
+        )
+
+    return let(top, score)
 
 
 def _predict_rows(predict: Predict, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,14 +85,18 @@ def model_scorer(load_model: Callable[[], Predict], batch_size: int = 64) -> Sco
             sent = [i for i, t in enumerate(texts) if t is not None]
             if sent:
                 prediction[sent], confidence[sent], ok[sent] = _predict_rows(predict, [texts[i] for i in sent])
-            return {"prediction": prediction, "confidence": np.round(confidence, 4), "ok": ok}
+            return {"prediction": prediction, "confidence": confidence, "ok": ok}
 
         return run
 
     udf = predict_batch_udf(make_predict, return_type=MODEL_SCORE, batch_size=batch_size)
 
     def scored(answer: Column) -> Column:
-        return F.struct(answer["prediction"], answer["confidence"], (answer["ok"] == 1).alias("ok"))
+        return F.struct(
+            answer["prediction"].alias("prediction"),
+            F.round(answer["confidence"], 4).alias("confidence"),
+            (answer["ok"] == 1).alias("ok"),
+        )
 
     return lambda text: let(udf(F.when(~txt.is_blank(text), text)), scored)
 

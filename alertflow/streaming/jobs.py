@@ -6,6 +6,7 @@ may see a batch twice after a failure, so their writers replace what the batch w
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,7 +72,7 @@ def file_batch_writer(path: str, quarantine_path: str) -> BatchWriter:
     """Micro-batches of alerts into stored files and a quarantine.
 
     A batch owns one sub-folder and overwrites it, so the same batch written twice is there
-    once. The batch is kept on disk for its two outputs, so it is scored once; a lost block is
+    once. The batch is persisted for its two outputs, so it is scored once; a lost block is
     worked out again from the source.
     """
 
@@ -129,15 +130,19 @@ def wait(query: StreamingQuery, seconds: float | None = None) -> bool:
     return bool(query.awaitTermination(seconds))
 
 
-def run_all(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
+def run_all(queries: Iterable[StreamingQuery], poll_seconds: float = 1.0) -> None:
     """Wait until any query ends, then stop all; the failure of any one is raised.
 
     Waiting for the first query, then the second, would hide a failure of the second.
     """
     queries = list(queries)
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            time.sleep(poll_seconds)
     finally:
         for query in queries:
             query.stop()
-        spark.streams.resetTerminated()
+    for query in queries:
+        failure = query.exception()
+        if failure is not None:
+            raise failure
