@@ -21,8 +21,9 @@ def expand(df: DataFrame, struct: Column) -> DataFrame:
 
 def encode_messages(df: DataFrame, timestamp: Column | str = "kafka_timestamp") -> DataFrame:
     """Rows to message envelopes: ``value`` (JSON bytes) and ``timestamp``."""
-    stamp = F.col(timestamp) if isinstance(timestamp, str) else timestamp
-    fields = [c for c in df.columns if c != timestamp]
+    named = isinstance(timestamp, str)
+    stamp = F.col(timestamp) if named else timestamp
+    fields = [c for c in df.columns if not (named and c == timestamp)]
     return df.select(encode_message(*fields).alias("value"), stamp.alias("timestamp"))
 
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -16,14 +17,15 @@ def shared_folder(spark: SparkSession) -> str:
     A local session without the setting gets a temporary folder; a cluster has to name one,
     since no other machine would see a folder of the driver's.
     """
-    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    folder = spark.sparkContext.getConf().get(_SETTING) or spark.conf.get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="alertflow-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="alertflow-")
+    return _local_folders[application]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
