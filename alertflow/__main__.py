@@ -25,6 +25,7 @@ from alertflow.operators.reports import latest_predictions
 from alertflow.operators.scoring import LexiconScorer, model_scorer, transformer_model
 from alertflow.operators.storage import checked, quarantine_rows, storage_rows
 from alertflow.plans.alerts import alerts
+from alertflow.session import open_session
 from alertflow.sinks.topics import write_envelopes, write_kafka
 from alertflow.sources import csv_feed, topics
 from alertflow.streaming import jobs
@@ -96,7 +97,7 @@ def parse(spark: SparkSession, args: argparse.Namespace) -> None:
     every = None if args.once else jobs.FILE_TRIGGER
     queries = [jobs.start_files(parsed, args.out, args.checkpoint, every)]
     if args.console:
-        queries.append(jobs.start_console(parsed, every))
+        queries.append(jobs.start_console(parsed, f"{args.checkpoint.rstrip('/')}-console", every))
     finish(queries, args.once)
 
 
@@ -113,7 +114,7 @@ def find(spark: SparkSession, args: argparse.Namespace) -> None:
     below = args.checkpoint.rstrip("/")
     sinks = [lambda rows: jobs.start_files(rows, args.out, f"{below}/json", every)]
     if args.console:
-        sinks.append(lambda rows: jobs.start_console(rows, every))
+        sinks.append(lambda rows: jobs.start_console(rows, f"{below}/console", every))
     if args.store:
         bad = args.quarantine or f"{args.store.rstrip('/')}-quarantine"
         sinks.append(lambda rows: jobs.start_files(storage_rows(checked(rows)), args.store, f"{below}/store", every, "parquet"))
@@ -141,7 +142,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     if args.command != "latest" and not (args.files or (args.servers and args.topic)):
         raise SystemExit("give --servers and --topic, or --files")
-    spark = SparkSession.builder.appName("alertflow").getOrCreate()
+    spark = open_session("alertflow")
     COMMANDS[args.command](spark, args)
 
 

@@ -104,7 +104,7 @@ def extract_with_table(df: DataFrame, terms: DataFrame, text: str = "text", salt
     are salted by the whole row; copies collapse in the map-side part of the aggregation.
     """
     df = df.drop("location", "disaster")
-    keyed = df.withColumn("_key", F.coalesce(F.sha2(F.col(text), 256), F.lit("")))
+    keyed = df.withColumn("_key", F.unhex(F.coalesce(F.sha2(F.col(text), 256), F.lit(""))))
     salted = keyed.select("_key", row_salt(df.columns, salts), F.array_distinct(txt.tokens(F.col(text))).alias("t"))
     words = salted.select("_key", SALT, F.posexplode("t").alias("_pos", "_term"))
     listed = replicate(terms.select("kind", F.col("term").alias("_term")).distinct(), salts)

@@ -2,7 +2,8 @@
 
 Whether the look-up table is small enough to broadcast is left to Spark's own size check
 (``spark.sql.autoBroadcastJoinThreshold`` and its run-time counterpart); beyond it both sides
-are shuffled and the salt splits a hot key over ``salts`` tasks.
+are shuffled and the salt splits a hot key over ``salts`` tasks. Spark sizes the table before
+it is copied per salt, so a broadcast holds at most ``salts`` times that threshold.
 """
 
 from __future__ import annotations

@@ -36,31 +36,42 @@ def observed(scored: DataFrame, observation: Observation | str) -> DataFrame:
     return scored.observe(observation, *_counters())
 
 
+def _newest_first(rows: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first n rows by the given columns, descending, ties told apart by all the others.
+
+    Every task sends its own first n rows to the driver, so rows should be narrow by now:
+    texts cut to previews, not whole.
+    """
+    rest = [c for c in rows.columns if c not in order]
+    return rows.orderBy(*[F.desc(c) for c in (*order, *rest)]).limit(n)
+
+
+def _shown(stored: DataFrame, time: str) -> DataFrame:
+    preview = txt.preview(F.col("text")).alias("text_preview")
+    return stored.select("tweet_id", "disaster_type", "location", "confidence", preview, time)
+
+
 def latest_predictions(stored: DataFrame, n: int = 10) -> DataFrame:
-    """The newest n stored rows; equal times are told apart by tweet_id and row_key."""
-    return (
-        stored.orderBy(F.desc("processing_timestamp"), F.desc("tweet_id"), F.desc("row_key"))
-        .limit(n)
-        .select(
-            "tweet_id",
-            "disaster_type",
-            "location",
-            "confidence",
-            txt.preview(F.col("text")).alias("text_preview"),
-            "processing_timestamp",
-        )
-    )
+    """The newest n stored rows."""
+    return _newest_first(_shown(stored, "processing_timestamp"), n, "processing_timestamp", "tweet_id")
+
+
+def top_confidence(stored: DataFrame, n: int = 10) -> DataFrame:
+    """The n most confident rows, newest first among equals."""
+    return _newest_first(_shown(stored, "kafka_timestamp"), n, "confidence", "kafka_timestamp", "tweet_id")
 
 
 def latest_documents(documents: DataFrame, n: int = 10) -> DataFrame:
     """The newest n documents as display texts, with stand-ins for missing fields."""
-    newest = documents.orderBy(F.desc("processing_timestamp"), F.desc("id"), F.desc("text")).limit(n)
-    shown = F.coalesce(F.date_format("processing_timestamp", "yyyy-MM-dd HH:mm:ss"), F.lit("N/A"))
-    return newest.select(
+    narrow = documents.select(
+        "processing_timestamp", "id", "disaster", "location", "confidence", txt.preview(F.col("text")).alias("text")
+    )
+    time = F.date_format("processing_timestamp", "yyyy-MM-dd HH:mm:ss")
+    return _newest_first(narrow, n, "processing_timestamp", "id").select(
         *[F.coalesce(c, F.lit("N/A")).alias(c) for c in ("id", "disaster", "location")],
         F.format_string("%.3f", F.coalesce("confidence", F.lit(0.0))).alias("confidence"),
-        F.concat(txt.preview(F.coalesce("text", F.lit(""))), F.lit("...")).alias("text"),
-        shown.alias("timestamp"),
+        F.concat(F.coalesce("text", F.lit("")), F.lit("...")).alias("text"),
+        F.coalesce(time, F.lit("N/A")).alias("timestamp"),
     )
 
 
@@ -76,13 +87,6 @@ def confident(stored: DataFrame, at_least: float) -> DataFrame:
     return stored.filter(F.col("confidence") >= F.lit(at_least).cast("decimal(5,4)"))
 
 
-def top_confidence(stored: DataFrame, n: int = 10) -> DataFrame:
-    """The n most confident rows, newest first among equals."""
-    return stored.orderBy(
-        F.desc("confidence"), F.desc("kafka_timestamp"), F.desc("tweet_id"), F.desc("row_key")
-    ).limit(n)
-
-
 def time_range(stored: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Rows with start <= kafka_timestamp < end, newest first.
 

@@ -423,7 +423,8 @@ def confident(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def top_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(reports.top_confidence(stored_alerts(spark, sf_dir), st.REPORT_ROWS))
+    top = reports.top_confidence(stored_alerts(spark, sf_dir), st.REPORT_ROWS)
+    return top.withColumn("confidence", F.col("confidence").cast("double"))
 
 
 @registered

@@ -239,20 +239,20 @@ SQL: dict[str, str] = {
     "latest_predictions": f"""
         WITH {_STORED}
         SELECT tweet_id, disaster_type, location, confidence, left(text, 50) AS text_preview, processing_timestamp
-        FROM stored ORDER BY processing_timestamp DESC, tweet_id DESC, row_key DESC LIMIT {st.REPORT_ROWS}""",
+        FROM stored ORDER BY processing_timestamp DESC, tweet_id DESC LIMIT {st.REPORT_ROWS}""",
     "latest_documents": f"""
         WITH {_ALERTS}, {_timed("alerts")}
         SELECT id, disaster, location, printf('%.3f', confidence) AS confidence,
                left(text, 50) || '...' AS text,
                strftime(processing_timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp
-        FROM timed ORDER BY processing_timestamp DESC, id DESC, timed.text DESC LIMIT {st.REPORT_ROWS}""",
+        FROM timed ORDER BY processing_timestamp DESC, id DESC LIMIT {st.REPORT_ROWS}""",
     "by_type": f"WITH {_STORED} SELECT * FROM stored WHERE disaster_type = '{st.ONE_TYPE}'",
     "by_location": f"WITH {_STORED} SELECT * FROM stored WHERE location = '{st.ONE_PLACE}'",
     "confident": f"WITH {_STORED} SELECT * FROM stored WHERE confidence >= 0.95",
     "top_confidence": f"""
         WITH {_STORED}
-        SELECT * FROM stored
-        ORDER BY confidence DESC, kafka_timestamp DESC, tweet_id DESC, row_key DESC LIMIT {st.REPORT_ROWS}""",
+        SELECT tweet_id, disaster_type, location, confidence, left(text, 50) AS text_preview, kafka_timestamp
+        FROM stored ORDER BY confidence DESC, kafka_timestamp DESC, tweet_id DESC LIMIT {st.REPORT_ROWS}""",
     "time_range": f"""
         WITH {_STORED}
         SELECT * FROM stored

@@ -41,9 +41,15 @@ def start_files(
     return _paced(writer.option("path", path).option("checkpointLocation", checkpoint), every).start()
 
 
-def start_console(df: DataFrame, every: str | None = FILE_TRIGGER, rows: int = CONSOLE_ROWS) -> StreamingQuery:
-    writer = df.writeStream.outputMode("append").format("console")
-    return _paced(writer.option("truncate", "false").option("numRows", rows), every).start()
+def start_console(
+    df: DataFrame,
+    checkpoint: str,
+    every: str | None = FILE_TRIGGER,
+    rows: int = CONSOLE_ROWS,
+) -> StreamingQuery:
+    """Print the first rows of every micro-batch."""
+    writer = df.writeStream.outputMode("append").format("console").options(truncate="false", numRows=rows)
+    return _paced(writer.option("checkpointLocation", checkpoint), every).start()
 
 
 def start_kafka(

@@ -67,8 +67,8 @@ def test_pacing(spark, topic, tmp_path):
     assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [3, 2, 2]
 
 
-def test_console_and_a_bounded_wait(spark, topic):
-    query = jobs.start_console(found(stream(spark, topic)), every="1 second")
+def test_console_and_a_bounded_wait(spark, topic, tmp_path):
+    query = jobs.start_console(found(stream(spark, topic)), str(tmp_path / "checkpoint"), every="1 second")
     try:
         assert jobs.wait(query, 0.2) is False
         assert query.isActive
@@ -95,6 +95,26 @@ def test_fan_out_serves_every_sink_the_same_rows(spark, topic, tmp_path):
     assert spark.read.parquet(two).count() == batch.count()
 
 
+def test_fan_out_of_a_running_stream(spark, topic, tmp_path):
+    """The sinks may start before the first file of scored rows is there."""
+    one = str(tmp_path / "one")
+    queries = jobs.start_fan_out(
+        found(stream(spark, topic)),
+        str(tmp_path / "scored"),
+        str(tmp_path / "c0"),
+        [lambda df: jobs.start_files(df, one, str(tmp_path / "c1"), "1 second")],
+        every="1 second",
+    )
+    try:
+        batch = found(spark.read.parquet(topic))
+        for query in queries:
+            query.processAllAvailable()
+        assert rows(spark.read.schema(batch.schema).json(one)) == rows(batch)
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def test_run_all_raises_the_failure_of_any_query(spark, topic, tmp_path):
     good = jobs.start_files(found(stream(spark, topic)), str(tmp_path / "a"), str(tmp_path / "c1"), "1 second")
     broken = stream(spark, topic).select(F.raise_error(F.lit("boom")).cast("string").alias("x"))
