@@ -33,6 +33,11 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_BREAK), lambda t: t != "")
 
 
+def distinct_tokens(text: Column) -> Column:
+    """Each token once, in order of first use; one of them may be empty."""
+    return F.array_distinct(F.split(F.lower(text), TOKEN_BREAK))
+
+
 def normalize(text: Column) -> Column:
     """Lower-case text with every other run of characters turned into one space."""
     return F.trim(F.regexp_replace(F.lower(text), TOKEN_BREAK, " "))

@@ -104,9 +104,13 @@ def extract_with_table(df: DataFrame, terms: DataFrame, text: str = "text", salt
     are salted by the whole row; copies collapse in the map-side part of the aggregation.
     """
     df = df.drop("location", "disaster")
-    keyed = df.withColumn("_key", F.unhex(F.coalesce(F.sha2(F.col(text), 256), F.lit(""))))
-    salted = keyed.select("_key", row_salt(df.columns, salts), F.array_distinct(txt.tokens(F.col(text))).alias("t"))
-    words = salted.select("_key", SALT, F.posexplode("t").alias("_pos", "_term"))
+    # Never null, so that no null filter hashes the text once more.
+    key = F.coalesce(F.unhex(F.sha2(F.col(text), 256)), F.lit(b""))
+    keyed = df.withColumn("_key", key)
+    salted = keyed.select("_key", row_salt(df.columns, salts), F.col(text).alias("_text"))
+    # The token array is made inside the generator: as a column of its own, Spark would make it
+    # twice more to filter out empty ones.
+    words = salted.select("_key", SALT, F.posexplode(txt.distinct_tokens(F.col("_text"))).alias("_pos", "_term"))
     listed = replicate(terms.select("kind", F.col("term").alias("_term")).distinct(), salts)
 
     def first(kind: str) -> Column:

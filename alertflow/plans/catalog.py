@@ -163,10 +163,10 @@ def parse_messages_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def decode_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers that are JSON where a type was found and plain prose, so malformed, elsewhere."""
-    found = st.EXTRACTOR(F.col("text"))
-    answered = feed(spark, sf_dir).select("id", "text", F.to_json(found).alias("answer"), found["disaster"].alias("d"))
-    response = F.when(F.col("d") != extraction.MISSING, F.col("answer")).otherwise(F.col("text"))
-    return messages.expand(answered.select("id", response.alias("response")), codec.decode_extraction(F.col("response")))
+    found = extraction.extract_fields(feed(spark, sf_dir), st.EXTRACTOR)
+    answer = F.to_json(F.struct("location", "disaster"))
+    response = F.when(F.col("disaster") != extraction.MISSING, answer).otherwise(F.col("text"))
+    return messages.expand(found.select("id", response.alias("response")), codec.decode_extraction(F.col("response")))
 
 
 @registered
