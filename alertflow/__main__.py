@@ -23,11 +23,11 @@ from alertflow.operators.extraction import DictionaryExtractor
 from alertflow.operators.messages import encode_messages, parse_messages_explicit
 from alertflow.operators.reports import latest_predictions
 from alertflow.operators.scoring import LexiconScorer, model_scorer, transformer_model
-from alertflow.operators.storage import checked, quarantine_rows, storage_rows
 from alertflow.plans.alerts import alerts
 from alertflow.session import open_session
 from alertflow.sinks.topics import write_envelopes, write_kafka
 from alertflow.sources import csv_feed, topics
+from alertflow.sources.store import read_files
 from alertflow.streaming import jobs
 
 ENVELOPE = T.StructType([T.StructField("value", T.BinaryType()), T.StructField("timestamp", T.TimestampType())])
@@ -117,8 +117,8 @@ def find(spark: SparkSession, args: argparse.Namespace) -> None:
         sinks.append(lambda rows: jobs.start_console(rows, f"{below}/console", every))
     if args.store:
         bad = args.quarantine or f"{args.store.rstrip('/')}-quarantine"
-        sinks.append(lambda rows: jobs.start_files(storage_rows(checked(rows)), args.store, f"{below}/store", every, "parquet"))
-        sinks.append(lambda rows: jobs.start_files(quarantine_rows(checked(rows)), bad, f"{below}/quarantine", every))
+        sinks.append(lambda rows: jobs.start_store(rows, args.store, f"{below}/store", every))
+        sinks.append(lambda rows: jobs.start_quarantine(rows, bad, f"{below}/quarantine", every))
     shared = f"{below}/scored"
     finish(jobs.start_fan_out(found, shared, f"{below}/alerts", sinks, every), args.once)
 
@@ -132,7 +132,7 @@ def finish(queries: list, once: bool) -> None:
 
 
 def latest(spark: SparkSession, args: argparse.Namespace) -> None:
-    latest_predictions(spark.read.parquet(args.store), args.rows).show(args.rows, truncate=False)
+    latest_predictions(read_files(spark, args.store), args.rows).show(args.rows, truncate=False)
 
 
 COMMANDS = {"send": send, "parse": parse, "alerts": find, "latest": latest}

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from alertflow.functions import text as txt
+from alertflow.operators.storage import type_folder
 
 
 def positive_count(scored: DataFrame) -> DataFrame:
@@ -76,7 +77,11 @@ def latest_documents(documents: DataFrame, n: int = 10) -> DataFrame:
 
 
 def by_type(stored: DataFrame, disaster_type: str) -> DataFrame:
-    return stored.filter(F.col("disaster_type") == disaster_type)
+    """Rows of one type; in files by type only its folder is read."""
+    rows = stored.filter(F.col("disaster_type") == disaster_type)
+    if "type_folder" in stored.columns:
+        rows = rows.filter(F.col("type_folder") == type_folder(F.lit(disaster_type)))
+    return rows
 
 
 def by_location(stored: DataFrame, location: str) -> DataFrame:

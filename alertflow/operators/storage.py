@@ -24,6 +24,11 @@ def stamped(df: DataFrame) -> DataFrame:
     return df.select("*", *[now.alias(c) for c in missing])
 
 
+def type_folder(disaster_type: Column) -> Column:
+    """Folder name of an event type; null and empty types, which make no folder name, share one."""
+    return F.coalesce(F.nullif(disaster_type, F.lit("")), F.lit("(no type)"))
+
+
 def _broken_rules() -> Column:
     """Names of the storage rules that the alert on this row breaks."""
     too_long = {

@@ -13,7 +13,8 @@ from alertflow.functions import codec, probability
 from alertflow.functions import text as txt
 from alertflow.operators import extraction, messages, reports, scoring, storage
 from alertflow.plans import settings as st
-from alertflow.plans.alerts import alerts, scored_messages
+from alertflow.plans.alerts import alerts as find_alerts
+from alertflow.plans.alerts import scored_messages
 from alertflow.schemas import ALERT, ALERT_MESSAGE, MESSAGE
 from alertflow.sinks import stores
 from alertflow.sources import csv_feed, news_feed, store, topics
@@ -83,7 +84,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def main_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts(envelopes(spark, sf_dir), st.SCORER, st.EXTRACTOR)
+    return find_alerts(envelopes(spark, sf_dir), st.SCORER, st.EXTRACTOR)
 
 
 def timed(rows: DataFrame) -> DataFrame:
@@ -194,13 +195,10 @@ def positives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered
-def alerts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_alerts(spark, sf_dir)
 
 
-QUERIES["alerts"] = QUERIES.pop("alerts_query")
-
-
 def storage_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as an alert; long first lines and large sizes do not fit the store."""
     rows = feed(spark, sf_dir).select(
@@ -348,7 +346,7 @@ def python_extractor() -> Callable[[list[str]], list[str]]:
 @registered
 def extract_with_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     extractor = extraction.model_extractor(python_extractor, st.REQUEST)
-    return alerts(envelopes(spark, sf_dir), st.SCORER, extractor).select("id", "location", "disaster")
+    return find_alerts(envelopes(spark, sf_dir), st.SCORER, extractor).select("id", "location", "disaster")
 
 
 @registered
@@ -457,7 +455,7 @@ def stream_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts(stream_envelopes(spark, sf_dir), st.SCORER, st.EXTRACTOR)
+    return find_alerts(stream_envelopes(spark, sf_dir), st.SCORER, st.EXTRACTOR)
 
 
 @registered
@@ -476,8 +474,7 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
         return jobs.start_files(rows, documents, new_folder(spark, "checkpoint"), every=None)
 
     def as_stored(rows: DataFrame):
-        kept = storage.storage_rows(storage.checked(timed(rows)))
-        return jobs.start_files(kept, stored, new_folder(spark, "checkpoint"), None, "parquet")
+        return jobs.start_store(timed(rows), stored, new_folder(spark, "checkpoint"), every=None)
 
     for query in jobs.start_fan_out(
         streamed_alerts(spark, sf_dir),
@@ -488,7 +485,7 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     ):
         jobs.wait(query)
     first = spark.read.schema(ALERT).json(documents).select("id", "disaster", "location", F.lit("json").alias("sink"))
-    second = spark.read.parquet(stored).select(
+    second = store.read_files(spark, stored).select(
         F.col("tweet_id").alias("id"), F.col("disaster_type").alias("disaster"), "location", F.lit("stored").alias("sink")
     )
     return first.unionByName(second)

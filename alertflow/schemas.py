@@ -55,9 +55,9 @@ STORED = T.StructType(
     ]
 )
 
-# Stored files add the partition column; it is derived from kafka_timestamp.
-PARTITION = T.StructField("event_day", T.DateType())
-STORED_FILES = T.StructType(STORED.fields + [PARTITION])
+# Stored files have one more column, derived from the others, that names their folder.
+EVENT_DAY = T.StructField("event_day", T.DateType())
+TYPE_FOLDER = T.StructField("type_folder", T.StringType())
 
 # The same table for a catalog, where Spark enforces the widths.
 STORED_DDL = f"""

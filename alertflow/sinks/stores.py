@@ -5,38 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertflow.operators.storage import stamped
-from alertflow.schemas import PARTITION, STORED_DDL
-
-# What an index would serve is served by the file layout: days are folders, rows are sorted by
-# type and confidence inside a file (min/max statistics), places and ids have Bloom filters.
-_BLOOM = {f"parquet.bloom.filter.enabled#{c}": "true" for c in ("location", "tweet_id")}
-_SORT = ["event_day", "disaster_type", "confidence"]
-
-
-def _laid_out(stored: DataFrame) -> DataFrame:
-    return stored.withColumn(PARTITION.name, F.to_date("kafka_timestamp"))
-
-
-def write_files(stored: DataFrame, path: str, mode: str = "append", compact: bool = False) -> None:
-    """Add stored rows to a folder of Parquet files, one sub-folder per day.
-
-    Each task sorts and writes its own rows, without a shuffle. ``compact`` adds one that
-    gathers each day into files of even size, large days split over several tasks; it is for
-    input in which every task holds rows of many days.
+from alertflow.operators.storage import stamped, type_folder
+from alertflow.schemas import EVENT_DAY, STORED_DDL, TYPE_FOLDER
+
+# What an index would serve is served by the file layout: folders by day (or by type), rows
+# sorted inside a file (min/max statistics), Bloom filters for places and ids.
+BLOOM = {f"parquet.bloom.filter.enabled#{c}": "true" for c in ("location", "tweet_id")}
+
+
+def with_folder(stored: DataFrame, by_type: bool = False) -> DataFrame:
+    """Add the column that names the folder of a row."""
+    if not by_type:
+        return stored.withColumn(EVENT_DAY.name, F.to_date("kafka_timestamp"))
+    return stored.withColumn(TYPE_FOLDER.name, type_folder(F.col("disaster_type")))
+
+
+def write_files(
+    stored: DataFrame,
+    path: str,
+    mode: str = "append",
+    by_type: bool = False,
+    compact: bool = False,
+) -> None:
+    """Add stored rows to a folder of Parquet files, with one sub-folder per day.
+
+    ``by_type`` makes it one per event type, for types that come from a word list; an open set
+    of types would make too many folders. Each task sorts and writes its own rows, without a
+    shuffle. ``compact`` adds one that gathers each sub-folder into files of even size, large
+    ones split over several tasks; it is for input in which every task holds rows of many days.
     """
-    rows = _laid_out(stored)
+    folder = (TYPE_FOLDER if by_type else EVENT_DAY).name
+    rows = with_folder(stored, by_type)
     if compact:
-        rows = rows.hint("rebalance", PARTITION.name)
-    rows = rows.sortWithinPartitions(*_SORT)
-    rows.write.mode(mode).partitionBy(PARTITION.name).options(**_BLOOM).parquet(path)
+        rows = rows.hint("rebalance", folder)
+    rows = rows.sortWithinPartitions(folder, "disaster_type", "confidence")
+    rows.write.mode(mode).partitionBy(folder).options(**BLOOM).parquet(path)
 
 
 def create_table(spark: SparkSession, name: str) -> None:
     """Create the prediction table unless it is there."""
     if not spark.catalog.tableExists(name):
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({STORED_DDL}) USING parquet PARTITIONED BY ({PARTITION.name})"
+            f"CREATE TABLE IF NOT EXISTS {name} ({STORED_DDL}) USING parquet PARTITIONED BY ({EVENT_DAY.name})"
         )
 
 
@@ -44,7 +54,8 @@ def write_table(stored: DataFrame, name: str) -> None:
     """Append to the catalog table, creating it first if need be."""
     create_table(stored.sparkSession, name)
     columns = stored.sparkSession.table(name).columns
-    _laid_out(stored).sortWithinPartitions(*_SORT).select(*columns).write.insertInto(name)
+    rows = with_folder(stored).sortWithinPartitions(EVENT_DAY.name, "disaster_type", "confidence")
+    rows.select(*columns).write.insertInto(name)
 
 
 def write_documents(alerts: DataFrame, path: str, mode: str = "append") -> None:

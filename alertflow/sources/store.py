@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from alertflow.schemas import DOCUMENT, STORED_FILES
+from alertflow.schemas import DOCUMENT, EVENT_DAY, STORED, TYPE_FOLDER
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Stored prediction files; the explicit schema saves a listing of types and a footer read."""
-    return spark.read.schema(STORED_FILES).option("basePath", path).parquet(path)
+def read_files(spark: SparkSession, path: str, by_type: bool = False) -> DataFrame:
+    """Stored prediction files, in folders by day or by type."""
+    folder = TYPE_FOLDER if by_type else EVENT_DAY
+    return spark.read.schema(T.StructType([*STORED.fields, folder])).option("basePath", path).parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

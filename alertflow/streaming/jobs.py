@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from alertflow.operators.storage import checked, quarantine_rows, storage_rows
+from alertflow.sinks.stores import BLOOM, with_folder
 
 # Pace of the file and the store sink, rows shown on the console.
 FILE_TRIGGER = "20 seconds"
@@ -41,6 +42,18 @@ def start_files(
     return _paced(writer.option("path", path).option("checkpointLocation", checkpoint), every).start()
 
 
+def start_store(alerts: DataFrame, path: str, checkpoint: str, every: str | None = FILE_TRIGGER) -> StreamingQuery:
+    """Append the alerts that fit to stored files in folders by day."""
+    rows = with_folder(storage_rows(checked(alerts)))
+    writer = rows.writeStream.outputMode("append").format("parquet").partitionBy("event_day").options(**BLOOM)
+    return _paced(writer.option("path", path).option("checkpointLocation", checkpoint), every).start()
+
+
+def start_quarantine(alerts: DataFrame, path: str, checkpoint: str, every: str | None = FILE_TRIGGER) -> StreamingQuery:
+    """Append the alerts that do not fit the store, with the reasons."""
+    return start_files(quarantine_rows(checked(alerts)), path, checkpoint, every)
+
+
 def start_console(
     df: DataFrame,
     checkpoint: str,

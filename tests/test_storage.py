@@ -119,6 +119,20 @@ def test_files_read_back_whole_and_prune(spark, tmp_path):
     assert sorted(r.tweet_id for r in reports.confident(read, 0.9).collect()) == ["test_001", "test_003"]
 
 
+def test_folders_by_type(spark, tmp_path):
+    path = str(tmp_path / "store")
+    odd = [row(id="a", disaster=""), row(id="b", disaster=None), row(id="c", disaster="None"), row(id="d", disaster="x/y=z")]
+    rows = stored(spark, SAMPLES + odd)
+    stores.write_files(rows, path, by_type=True)
+    read = store.read_files(spark, path, by_type=True)
+    same = ["tweet_id", "text", "disaster_type", "row_key"]
+    assert sorted(map(str, read.select(same).collect())) == sorted(map(str, rows.select(same).collect()))
+    for kind, expected in {"flood": ["test_002"], "": ["a"], "None": ["c"], "x/y=z": ["d"], "absent": []}.items():
+        found = reports.by_type(read, kind)
+        assert [r.tweet_id for r in found.collect()] == expected
+        assert "type_folder" in plan_of(found).split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_appending_and_compacting(spark, tmp_path):
     path = str(tmp_path / "store")
     for compact in (False, True):

@@ -10,7 +10,7 @@ from alertflow.operators import messages, reports, storage
 from alertflow.operators.extraction import DictionaryExtractor
 from alertflow.operators.scoring import LexiconScorer
 from alertflow.plans.alerts import alerts
-from alertflow.sources import topics
+from alertflow.sources import store, topics
 from alertflow.streaming import jobs, scratch
 
 SCORER = LexiconScorer(("flood", "fire"), weight=4.0)
@@ -83,7 +83,8 @@ def test_fan_out_serves_every_sink_the_same_rows(spark, topic, tmp_path):
     one, two = str(tmp_path / "one"), str(tmp_path / "two")
     sinks = [
         lambda df: jobs.start_files(df, one, str(tmp_path / "c1"), every=None),
-        lambda df: jobs.start_files(storage.storage_rows(storage.checked(df)), two, str(tmp_path / "c2"), None, "parquet"),
+        lambda df: jobs.start_store(df, two, str(tmp_path / "c2"), every=None),
+        lambda df: jobs.start_quarantine(df, str(tmp_path / "three"), str(tmp_path / "c3"), every=None),
     ]
     first, *rest = jobs.start_fan_out(
         found(stream(spark, topic)), str(tmp_path / "scored"), str(tmp_path / "c0"), sinks, every=None
@@ -92,7 +93,9 @@ def test_fan_out_serves_every_sink_the_same_rows(spark, topic, tmp_path):
         jobs.wait(query)
     batch = found(spark.read.parquet(topic))
     assert rows(spark.read.schema(batch.schema).json(one)) == rows(batch)
-    assert spark.read.parquet(two).count() == batch.count()
+    kept = store.read_files(spark, two)
+    assert sorted(r.tweet_id for r in kept.collect()) == sorted(r.id for r in batch.collect())
+    assert kept.filter("event_day = DATE'2024-01-01'").count() == batch.count()
 
 
 def test_fan_out_of_a_running_stream(spark, topic, tmp_path):
