@@ -110,13 +110,22 @@ def jdbc_batch_writer(read: Callable[[SparkSession], DataFrame], write: Callable
     """Micro-batches of alerts into a database table that also has a ``batch_id`` column.
 
     A database commits per task, so a failed batch may be there in part. When it comes again,
-    only the rows whose key the table does not have for this batch are added.
+    each row key is added as often as it is still missing: copies of a message stay copies.
     """
 
     def append(alerts: DataFrame, batch_id: int) -> None:
         rows = storage_rows(checked(alerts)).withColumn("batch_id", F.lit(batch_id))
         there = read(alerts.sparkSession).filter(F.col("batch_id") == batch_id).select("row_key")
-        write(rows.join(there, "row_key", "left_anti"))
+        if there.isEmpty():
+            write(rows)
+            return
+        wanted = rows.groupBy("row_key").agg(
+            F.count(F.lit(1)).alias("n"), F.first(F.struct(*rows.columns)).alias("row")
+        )
+        written = there.groupBy("row_key").agg(F.count(F.lit(1)).alias("n_written"))
+        missing = F.col("n") - F.coalesce("n_written", F.lit(0))
+        left = wanted.join(written, "row_key", "left").select("row", missing.alias("n")).filter("n > 0")
+        write(left.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "n"))).select("row.*"))
 
     return append
 

@@ -62,7 +62,6 @@ def test_counts_combine_before_the_shuffle(spark, sf_dir):
 def test_look_ups_are_broadcast_by_size_only(spark, sf_dir):
     places = spark.createDataFrame([("a", "b")], "place string, country string")
     df = spark.range(10).select(F.col("id").cast("string").alias("location"))
-    assert "Hint" not in df.join(places)._jdf.queryExecution().analyzed().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_of(extraction.enrich_location(df, places))

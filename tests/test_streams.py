@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from alertflow.operators import messages, reports, storage
 from alertflow.operators.extraction import DictionaryExtractor
 from alertflow.operators.scoring import LexiconScorer
-from alertflow.plans.alerts import alerts
+from alertflow.plans.alerts import alerts, scored_messages
 from alertflow.sources import store, topics
 from alertflow.streaming import jobs, scratch
 
@@ -67,6 +67,14 @@ def test_pacing(spark, topic, tmp_path):
     assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [3, 2, 2]
 
 
+def test_counters_of_a_stream(spark, topic, tmp_path):
+    watched = reports.observed(scored_messages(stream(spark, topic), SCORER), "scores")
+    query = jobs.start_files(watched, str(tmp_path / "out"), str(tmp_path / "checkpoint"), every=None)
+    jobs.wait(query)
+    seen = [p.observedMetrics["scores"].asDict() for p in query.recentProgress if p.numInputRows]
+    assert seen == [{"n_rows": 6, "n_blank": 1, "n_positive": 2, "n_failed": 0}]
+
+
 def test_console_and_a_bounded_wait(spark, topic, tmp_path):
     query = jobs.start_console(found(stream(spark, topic)), str(tmp_path / "checkpoint"), every="1 second")
     try:
@@ -142,17 +150,20 @@ def test_a_batch_written_twice_is_there_once(spark, topic, tmp_path):
 def test_a_half_written_database_batch_is_completed(spark, topic, tmp_path):
     """Files stand in for the database table."""
     path = str(tmp_path / "table")
-    df = found(spark.read.parquet(topic))
-    half = storage.storage_rows(storage.checked(df)).withColumn("batch_id", F.lit(7)).limit(1)
-    half.write.parquet(path)
+    once = found(spark.read.parquet(topic))
+    df = once.unionAll(once).unionAll(once)
+    half = storage.storage_rows(storage.checked(once)).withColumn("batch_id", F.lit(7))
+    half.unionAll(half.orderBy("tweet_id").limit(1)).write.parquet(path)
     write = jobs.jdbc_batch_writer(
         lambda session: session.read.parquet(path), lambda rows: rows.write.mode("append").parquet(path)
     )
-    write(df, 7)
-    assert spark.read.parquet(path).groupBy("row_key").count().filter("count > 1").isEmpty()
-    assert spark.read.parquet(path).count() == 2
+    for _ in range(2):
+        write(df, 7)
+        table = spark.read.parquet(path)
+        assert [r["count"] for r in table.groupBy("row_key").count().collect()] == [3, 3]
+        assert table.columns == half.columns
     write(df, 8)
-    assert spark.read.parquet(path).count() == 4
+    assert spark.read.parquet(path).groupBy("batch_id").count().orderBy("batch_id").collect() == [(7, 6), (8, 6)]
 
 
 def test_closed_windows_of_a_stream(spark, tmp_path):
