@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from alertflow.functions import text as txt
+from alertflow.functions.times import as_moment, utc, utc_time
 from alertflow.operators.storage import type_folder
 
 
@@ -98,8 +99,7 @@ def time_range(stored: DataFrame, start: datetime, end: datetime) -> DataFrame:
     On stored files the day bounds prune partitions before any row is read.
     """
     t = F.col("kafka_timestamp")
-    low, high = (F.lit(x).cast("timestamp_ntz") for x in (start, end))
-    rows = stored.filter((t >= low) & (t < high))
+    rows = stored.filter((t >= utc_time(start)) & (t < utc_time(end)))
     if "event_day" in stored.columns:
         rows = rows.filter(F.col("event_day").between(F.lit(start.date()), F.lit(end.date())))
     return rows.orderBy(F.desc("kafka_timestamp"), F.desc("tweet_id"), F.desc("row_key"))
@@ -116,18 +116,20 @@ def type_by_window(
     """Count, total and mean of a measure per type and time window.
 
     The measure is summed as a decimal, so that the result does not depend on the order in
-    which tasks finish. On a stream, ``watermark`` says how late a row may come.
+    which tasks finish. Windows begin at full units of UTC. On a stream, ``watermark`` says how
+    late a row may come.
     """
+    df = as_moment(df, timestamp)
     if watermark is not None:
-        df = df.withColumn(timestamp, F.col(timestamp).cast("timestamp")).withWatermark(timestamp, watermark)
+        df = df.withWatermark(timestamp, watermark)
     n = F.count(F.lit(1))
     total = F.sum(F.col(measure).cast("decimal(18,4)")).cast("double")
     return (
         df.groupBy(F.window(timestamp, width).alias("w"), F.col(kind).alias("type"))
         .agg(n.alias("n"), total.alias("total"), F.count(measure).alias("n_measured"))
         .select(
-            F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+            utc(F.col("w.start")).alias("window_start"),
+            utc(F.col("w.end")).alias("window_end"),
             "type",
             "n",
             "total",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertflow.functions.keys import row_key
+from alertflow.functions.times import in_utc, utc
 from alertflow.schemas import CONFIDENCE, MAX_DISASTER_TYPE, MAX_LOCATION, MAX_TWEET_ID, STORED
 
 # Alert field -> stored column.
@@ -13,13 +14,13 @@ STORED_NAMES = {"id": "tweet_id", "disaster": "disaster_type"}
 
 
 def surrogate_id(df: DataFrame) -> DataFrame:
-    """Add a row key that a replay of the same message gets again."""
-    return df.select(row_key("id", "kafka_timestamp", "text").alias("row_key"), "*")
+    """Add a row key that a replay of the same message gets again, in any time zone."""
+    return in_utc(df, "kafka_timestamp").select(row_key("id", "kafka_timestamp", "text").alias("row_key"), "*")
 
 
 def stamped(df: DataFrame) -> DataFrame:
-    """Add the two storage times where the caller has not set them; one value per (micro-)batch."""
-    now = F.current_timestamp().cast("timestamp_ntz")
+    """Add the two storage times where the caller has not set them; one UTC value per (micro-)batch."""
+    now = utc(F.current_timestamp())
     missing = [c for c in ("processing_timestamp", "created_at") if c not in df.columns]
     return df.select("*", *[now.alias(c) for c in missing])
 

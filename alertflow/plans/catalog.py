@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from alertflow.functions import codec, probability
 from alertflow.functions import text as txt
+from alertflow.functions.times import utc_time
 from alertflow.operators import extraction, messages, reports, scoring, storage
 from alertflow.plans import settings as st
 from alertflow.plans.alerts import alerts as find_alerts
@@ -48,7 +49,7 @@ def as_feed(documents: DataFrame) -> DataFrame:
     sent = F.timestamp_add(
         "SECOND",
         F.col("doc_id") * st.FEED_STEP_SECONDS,
-        F.lit(st.FEED_START).cast("timestamp_ntz"),
+        utc_time(st.FEED_START),
     )
     return documents.select(
         F.col("doc_id").cast("string").alias("id"),

@@ -5,6 +5,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from alertflow.functions.times import as_moment
 from alertflow.operators import reports, storage
 from alertflow.sinks import stores
 from alertflow.sources import store
@@ -92,6 +93,26 @@ def test_row_keys(spark):
     assert len(set(keys)) == len(keys) - 1
 
 
+def test_times_and_keys_do_not_depend_on_the_session_zone(spark):
+    """Zones with half an hour of offset and with clock changes, one hour of which comes twice."""
+    sent = [datetime(2024, 11, 3, h, 30) for h in range(3, 9)] + [datetime(1969, 3, 1, 0, 0, 0, 5)]
+    df = alerts(spark, [row(id=str(i), kafka_timestamp=t) for i, t in enumerate(sent)])
+    expected = {r.tweet_id: (r.row_key, r.kafka_timestamp) for r in storage.storage_rows(storage.checked(df)).collect()}
+    windows = {tuple(r) for r in reports.type_by_window(df, "1 hour", kind="disaster").collect()}
+    assert {w[0] for w in windows} == {t.replace(minute=0, microsecond=0) for t in sent}
+    try:
+        for zone in ("UTC", "Asia/Kolkata", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            moments = as_moment(df, "kafka_timestamp")
+            assert dict(moments.dtypes)["kafka_timestamp"] == "timestamp"
+            got = storage.storage_rows(storage.checked(moments)).collect()
+            assert {r.tweet_id: (r.row_key, r.kafka_timestamp) for r in got} == expected
+            for frame in (df, moments):
+                assert {tuple(r) for r in reports.type_by_window(frame, "1 hour", kind="disaster").collect()} == windows
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_files_read_back_whole_and_prune(spark, tmp_path):
     path = str(tmp_path / "store")
     odd = [
