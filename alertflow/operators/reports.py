@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from alertflow.functions import text as txt
-from alertflow.functions.times import as_moment, utc, utc_time
+from alertflow.functions.times import as_moment, in_utc, utc, utc_time
 from alertflow.operators.storage import type_folder
 
 
@@ -119,17 +119,21 @@ def type_by_window(
     which tasks finish. Windows begin at full units of UTC. On a stream, ``watermark`` says how
     late a row may come.
     """
-    df = as_moment(df, timestamp)
-    if watermark is not None:
-        df = df.withWatermark(timestamp, watermark)
+    if watermark is None:
+        df = in_utc(df, timestamp)
+        shown = lambda bound: bound
+    else:
+        # A watermark needs moments; everything else is cheaper on zone-less times.
+        df = as_moment(df, timestamp).withWatermark(timestamp, watermark)
+        shown = utc
     n = F.count(F.lit(1))
     total = F.sum(F.col(measure).cast("decimal(18,4)")).cast("double")
     return (
         df.groupBy(F.window(timestamp, width).alias("w"), F.col(kind).alias("type"))
         .agg(n.alias("n"), total.alias("total"), F.count(measure).alias("n_measured"))
         .select(
-            utc(F.col("w.start")).alias("window_start"),
-            utc(F.col("w.end")).alias("window_end"),
+            shown(F.col("w.start")).alias("window_start"),
+            shown(F.col("w.end")).alias("window_end"),
             "type",
             "n",
             "total",
