@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertflow.llm import chat, secret_scan, sharding, toxicity, warc
+from alertflow.llm import chat, jaccard, secret_scan, sharding, toxicity, warc
 from alertflow.llm.common import delete_on_exit, table, written
 from alertflow.streaming.scratch import new_folder
 
@@ -98,12 +98,18 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return jaccard.join_similar(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_warc": op2_warc,
     "op5_toxicity": op5_toxicity,
     "op6_secrets": op6_secrets,
     "op9_shards": op9_shards,
+    "op10_jaccard": op10_jaccard,
 }
 
 ORACLE: dict[str, str] = {
