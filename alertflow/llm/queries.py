@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertflow.llm import chat, jaccard, secret_scan, sharding, toxicity, warc
+from alertflow.llm import chat, jaccard, packing, secret_scan, sharding, toxicity, warc
 from alertflow.llm.common import delete_on_exit, table, written
 from alertflow.streaming.scratch import new_folder
 
@@ -64,6 +64,18 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """The file of a public tokenizer."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, tokenised and packed into sequences."""
+    return packing.pack(packing.tokenised(table(spark, sf_dir, "documents"), vocabulary()))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,6 +118,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_warc": op2_warc,
+    "op3_packing": op3_packing,
     "op5_toxicity": op5_toxicity,
     "op6_secrets": op6_secrets,
     "op9_shards": op9_shards,
