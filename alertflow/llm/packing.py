@@ -28,8 +28,9 @@ from alertflow.llm.common import ranked
 
 CAPACITY = 2048
 END_TOKEN = 0
-#: Words whose ids a task remembers before it starts anew.
-HELD_WORDS = 400_000
+#: Words whose ids a task remembers before it starts anew, and characters it splits at a time.
+HELD_WORDS = 300_000
+CHARS_AT_ONCE = 1_000_000
 
 # Pieces of Latin-1 text that the tokenizer treats one by one: contractions, runs of letters, single digits,
 # runs of other signs. Texts with any other character go through the tokenizer whole.
@@ -99,7 +100,10 @@ def tokenised(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bo
         end = np.asarray([END_TOKEN], "<u4").tobytes()
         for batch in batches:
             rows = []
-            coded = _loaded[0].encode([text or "" for text in batch["text"]])
+            texts = [text or "" for text in batch["text"]]
+            share = np.cumsum([len(text) for text in texts]) // CHARS_AT_ONCE
+            cuts = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(texts)]
+            coded = (ids for a, b in zip(cuts, cuts[1:], strict=False) for ids in _loaded[0].encode(texts[a:b]))
             for doc_id, ids in zip(batch["doc_id"], coded, strict=True):
                 ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
