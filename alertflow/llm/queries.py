@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertflow.llm import chat, jaccard, packing, secret_scan, sharding, toxicity, warc
+from alertflow.llm import chat, curves, jaccard, packing, polytope, secret_scan, sharding, toxicity, warc
 from alertflow.llm.common import delete_on_exit, table, written
 from alertflow.streaming.scratch import new_folder
 
@@ -100,6 +100,16 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest vectors of every hundredth one."""
+    return curves.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op8_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's near duplicates of the same label."""
+    return polytope.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot, and its shard if there were one more."""
     docs = table(spark, sf_dir, "documents").select(
@@ -121,6 +131,8 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op5_toxicity": op5_toxicity,
     "op6_secrets": op6_secrets,
+    "op7_curves": op7_curves,
+    "op8_polytope": op8_polytope,
     "op9_shards": op9_shards,
     "op10_jaccard": op10_jaccard,
 }
