@@ -141,7 +141,7 @@ def frequent(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _set_rows(docs: DataFrame, words: int, share: tuple[int, int], common) -> DataFrame:
-    """(doc_id, node, n, prefix, small): a row per document; ``small`` is the whole set of a small one."""
+    """(row, doc_id, node, n, prefix, small): a row per document; ``small`` is the whole set of a small one."""
     most_small = LIGHT_MOST * share[1] // share[0]
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,10 +158,10 @@ def _set_rows(docs: DataFrame, words: int, share: tuple[int, int], common) -> Da
                     last = late[at] == keys
                     keys = np.concatenate([keys[~last], keys[last]])
                 prefix.append(_longs(keys[: prefix_size(len(keys), share)]) if len(keys) else None)
-            out = pd.DataFrame({"doc_id": batch["doc_id"], "n": n, "prefix": prefix, "small": small})
-            yield out.assign(node=pd.array(node, "Int64"))[["doc_id", "node", "n", "prefix", "small"]]
+            out = batch[["row", "doc_id"]].assign(n=n, prefix=prefix, small=small, node=pd.array(node, "Int64"))
+            yield out[["row", "doc_id", "node", "n", "prefix", "small"]]
 
-    return docs.mapInPandas(build, "doc_id long, node long, n long, prefix array<long>, small array<long>")
+    return docs.mapInPandas(build, "row long, doc_id long, node long, n long, prefix array<long>, small array<long>")
 
 
 def _light_links(sets: DataFrame, light: int, share: tuple[int, int]) -> DataFrame:
@@ -282,9 +282,8 @@ def _heavy_links(docs: DataFrame, sets: DataFrame, light: int, words: int, share
     return links
 
 
-def join_similar(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
-    """(doc_id, n_shingles, component_id): each document's component under links of similar sets."""
-    docs = docs.select("doc_id", "text")
+def _components(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
+    """(row, doc_id, n_shingles, component) of ``docs`` (row, doc_id, text); texts without words have none."""
     common = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
     sets = written(_set_rows(docs, words, share, common), "shingles")
     # Sizes above the bound have no part in the boundary: they are heavy at any of them.
@@ -294,8 +293,27 @@ def join_similar(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = S
     known = written(_light_links(sets, light, share), "links")
     links = _heavy_links(docs, sets, light, words, share, known)
     joined = components(links).select("node", "component")
-    placed = sets.select("doc_id", "node", F.col("n").alias("n_shingles")).join(joined, "node", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "node"))
-    smallest = placed.filter(F.col("node").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("_first"))
-    named = placed.join(smallest, "component", "left")
+    placed = sets.select("row", "doc_id", "node", F.col("n").alias("n_shingles")).join(joined, "node", "left")
+    return placed.select("row", "doc_id", "n_shingles", F.coalesce("component", "node").alias("component"))
+
+
+def join_similar(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
+    """(doc_id, n_shingles, component_id): each document's component under links of similar sets."""
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    placed = _components(numbered, words, share)
+    smallest = placed.filter(F.col("component").isNotNull()).groupBy("component")
+    named = placed.join(smallest.agg(F.min("doc_id").alias("_first")), "component", "left")
     return named.select("doc_id", "n_shingles", F.coalesce("_first", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id (the first of its rows).
+
+    Texts without words are no copies of each other and all stay.
+    """
+    packed = docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"))
+    placed = _components(packed.select("row", "doc.doc_id", "doc.text"), words, share)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
+    firsts = placed.filter(F.col("component").isNotNull()).groupBy("component").agg(first).select("first.row")
+    stay = firsts.unionByName(placed.filter(F.col("component").isNull()).select("row"))
+    return packed.join(stay, "row", "left_semi").select("doc.*")

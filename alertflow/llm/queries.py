@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertflow.llm import chat, curves, jaccard, packing, polytope, secret_scan, sharding, toxicity, warc
+from alertflow.llm import chat, curves, jaccard, mixing, packing, polytope, secret_scan, sharding, toxicity, warc
 from alertflow.llm.common import delete_on_exit, table, written
 from alertflow.streaming.scratch import new_folder
 
@@ -76,6 +76,26 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenised(table(spark, sf_dir, "documents"), vocabulary()))
 
 
+#: Shares of tokens that the mix aims at, by the domain that the quality label names.
+TARGETS = {"high": 0.9, "low": 0.1}
+
+
+def quality_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(F.col("quality").isin(0, 1))
+    return labels.select("doc_id", F.when(F.col("quality") == 1, "high").otherwise("low").alias("domain"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's posteriors, and the rate that brings the mix to its targets."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = mixing.fit(docs, quality_domains(spark, sf_dir), TARGETS)
+    rated = model.rates(docs).drop("text")
+    return rated.select(
+        "doc_id", F.col("_tokens").alias("n_tokens"), F.lit(",".join(model.domains)).alias("domains"),
+        F.col("_p").alias("posteriors"), F.col("_rate").alias("rate"), mixing.copies(F.col("_rate"), "doc_id").alias("copies"),
+    )
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -129,6 +149,7 @@ QUERIES = {
     "op1_chat": op1_chat,
     "op2_warc": op2_warc,
     "op3_packing": op3_packing,
+    "op4_mixing": op4_mixing,
     "op5_toxicity": op5_toxicity,
     "op6_secrets": op6_secrets,
     "op7_curves": op7_curves,
