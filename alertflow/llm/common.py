@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from alertflow.streaming.scratch import new_folder
 
 #: Rows in one file of a ranked table, and so in one window of ``ranked``.
 ROWS_PER_FILE = 500_000
+#: Bits of the map that tells which keys a join will want.
+BITMAP = 1 << 22
 
 
 def written(df: DataFrame, purpose: str, **options) -> DataFrame:
@@ -113,5 +117,24 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def likely_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``df`` without most of the rows whose ``key`` is not in ``wanted``, before a join that finds the rest.
+
+    What tasks get is a bitmap of fixed size, so few rows that the join would drop are shuffled.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(BITMAP)).cast("int")
+    bits = np.zeros(BITMAP, bool)
+    bits[wanted.select(place.alias("place")).distinct().toPandas()["place"].to_numpy(np.int64)] = True
+    shared = df.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+    @F.pandas_udf("boolean")
+    def known(places: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        asked = np.unpackbits(shared.value).view(bool)
+        for batch in places:
+            yield pd.Series(asked[batch.to_numpy(np.int64)])
+
+    return df.filter(known(place))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -8,9 +8,10 @@ they must share, so:
   partner size. Sets that meet in a subset are linked without looking at them again, by a star, so a
   group of any size gives as many links as it has rows;
 * heavy sets put a prefix of their shingles into inverted lists, rare shingles first. Lists are scanned
-  in rounds: members are compared with the list's leader, what is linked becomes one component, and at
-  last every pair of a list that is in two components is compared. Groups of near copies collapse in
-  the first rounds, so their pairs are never all made; no link between components is left out.
+  in rounds: members are compared with the list's leader, and what is linked becomes one component. When
+  few pairs are left, every pair of a list that is in two components is compared, unless the number and places
+  of the lists that it shares rule a link out. Groups of near copies collapse in the first rounds, so
+  their pairs are never all made; no link between components is left out.
 
 The boundary is the size at which the summed cost of both ways, taken from the counts of sizes, is least.
 The order of shingles is any fixed order; which ones come last as frequent is learned from
@@ -30,10 +31,10 @@ from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from alertflow.llm.common import components, drop, written
+from alertflow.llm.common import components, drop, likely_in, written
 
 WORDS = 5
 #: Similarity as a fraction of whole numbers.
@@ -45,7 +46,9 @@ FREQUENT = 1 << 18
 LIGHT_MOST = 32
 #: Cost of an entry of an inverted list against that of a subset: it is shuffled twice and compared.
 ENTRY_COST = 4
-ROUNDS = 2
+#: Rounds with leaders go on while pairs of open lists are more than so many times their entries.
+PAIRS_PER_ENTRY = 4
+ROUNDS = 6
 
 U = np.uint64
 
@@ -195,6 +198,17 @@ def _light_links(sets: DataFrame, light: int, share: tuple[int, int]) -> DataFra
     return linked.select(F.col("node").alias("src"), other.alias("dst")).filter("src <> dst")
 
 
+def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(node, set) for the ``wanted`` (node, row), worked out from their texts again."""
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"row": batch["row"], "set": [shingles(text, words).tobytes() for text in batch["text"]]})
+
+    found = likely_in(docs.select("row", "text"), "row", wanted).mapInPandas(whole, "row long, set binary")
+    return found.join(wanted, "row").select("node", "set")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     """The pairs (src, dst) that link, by counting what their whole sets share."""
 
@@ -212,74 +226,94 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> Data
     return pairs.join(one, "src").join(two, "dst").mapInPandas(check, "src long, dst long")
 
 
-def _fits(a: str, b: str, share: tuple[int, int]):
-    return F.least(a, b) * share[1] >= F.greatest(a, b) * share[0]
+def _possible(met: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Distinct pairs (src, dst) of ``met`` (a, n, i, b, m, j per shared list) that may link.
+
+    After the last list that two sets share, at places i and j, they can share no more than what is left
+    of either; and past the end of the prefix that ends first, no more than what is left of that set.
+    """
+    a, b = share
+    n, m, i, j, both = (F.col(c) for c in ("n", "m", "i", "j", "both"))
+    turned = F.col("a") > F.col("b")
+    pairs = met.select(
+        F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"),
+        *(F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("n", "m"), ("i", "j"))),
+        *(F.when(turned, F.col(x)).otherwise(F.col(y)).alias(y) for x, y in (("n", "m"), ("i", "j"))),
+    )
+    pairs = pairs.filter(F.least("n", "m") * b >= F.greatest("n", "m") * a)
+    counted = pairs.groupBy("src", "dst").agg(
+        F.count(F.lit(1)).alias("both"), F.first("n").alias("n"), F.first("m").alias("m"), F.max("i").alias("i"), F.max("j").alias("j")
+    )
+    after_last = F.least(n - i, m - j) - 1
+    least_n, least_m = F.ceil(n * a / b), F.ceil(m * a / b)
+    after_prefix = F.greatest(least_n, least_m) - 1
+    most = both + F.least(after_last, after_prefix)
+    return counted.filter(most * (a + b) >= (n + m) * a).select("src", "dst")
 
 
 def _heavy_links(docs: DataFrame, sets: DataFrame, light: int, words: int, share: tuple[int, int], known: DataFrame) -> DataFrame:
     """Links that join all heavy sets which link, given the links already ``known``."""
     heavy = sets.filter(F.col("n") > light)
-    entries = heavy.select(F.explode("prefix").alias("key"), "node", "n")
-    lists = entries.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
-    entries = written(entries.join(lists.select("key"), "key").distinct(), "lists")
-    # One text for each set that is in a list; its whole set is worked out again.
-    wanted = entries.select("node").distinct()
-    source = sets.filter(F.col("n") > light).groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    source = source.join(wanted, "node").select("node", "doc_id")
-
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [shingles(text, words) for text in batch["text"]]
-            right = [
-                len(keys) > 0 and int(_longs(mix(mix(keys).sum(keepdims=True, dtype=U) + U(len(keys))))[0]) == node
-                for keys, node in zip(found, batch["node"], strict=True)
-            ]
-            out = pd.DataFrame({"node": batch["node"], "set": [keys.tobytes() for keys in found]})
-            yield out[np.array(right, bool)]
-
-    texts = docs.join(source, docs["doc_id"].eqNullSafe(source["doc_id"])).select("node", "text")
-    full = written(texts.mapInPandas(whole, "node long, set binary").dropDuplicates(["node"]), "sets")
-
-    links, seen = known, None
-    open_lists = entries.withColumn("component", F.col("node"))
-    for turn in range(ROUNDS + 1):
-        joined = components(links)
-        label = joined.select("node", F.col("component").alias("_component"))
+    entries = heavy.select(F.posexplode("prefix").alias("at", "key"), "node", F.col("n").cast("int").alias("n"))
+    # One shuffle finds the lists of at least two sets, and one entry for each set in them.
+    ordered = Window.partitionBy("key").orderBy("node")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    entries = entries.select(
+        "key", "node", "n", "at", F.lag("node").over(ordered).alias("before"),
+        F.first("node").over(whole).alias("lo"), F.last("node").over(whole).alias("hi"),
+    )
+    entries = entries.filter("lo <> hi AND (before IS NULL OR before <> node)")
+    entries = written(entries.select("key", "node", "n", "at"), "lists")
+    rows = written(heavy.groupBy("node").agg(F.min("row").alias("row")), "rows")
+
+    links, seen, turn = known, None, 0
+    while True:
+        label = components(links).select("node", F.col("component").alias("_component"))
         members = entries.join(label, "node", "left").select(
-            "key", "node", "n", F.coalesce("_component", "node").alias("component")
+            "key", "node", "n", "at", F.coalesce("_component", "node").alias("component")
         )
         split = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         open_lists = written(members.join(split.filter("lo <> hi").select("key"), "key"), "open")
-        if turn < ROUNDS:
-            chosen = F.xxhash64("node", F.lit(turn)) if turn == 0 else F.xxhash64("node", F.pmod("key", F.lit(4)))
-            lead = open_lists.groupBy("key").agg(F.min_by(F.struct("node", "n", "component"), chosen).alias("lead"))
-            pairs = open_lists.join(lead, "key")
-            pairs = pairs.filter(F.col("component") != F.col("lead.component"))
-            pairs = pairs.select(F.col("node").alias("a"), "n", F.col("lead.node").alias("b"), F.col("lead.n").alias("m"))
-        else:
-            sizes = open_lists.groupBy("key", "component").agg(F.count(F.lit(1)).alias("rows"))
-            main = sizes.groupBy("key").agg(F.max_by("component", "rows").alias("main"))
-            marked = open_lists.join(main, "key")
+        parts = open_lists.groupBy("key", "component").agg(F.count(F.lit(1)).alias("rows"))
+        lists = parts.groupBy("key").agg(F.max_by("component", "rows").alias("main"), F.max("rows").alias("most"), F.sum("rows").alias("rows"))
+        lists = written(lists, "sizes")
+        work = lists.agg(F.sum((F.col("rows") - F.col("most")) * F.col("rows")), F.sum("rows")).first()
+        last = not work[0] or work[0] <= PAIRS_PER_ENTRY * work[1] or turn == ROUNDS
+        if last:
+            marked = open_lists.join(lists.select("key", "main"), "key")
             others = marked.filter("component <> main").select(
-                "key", F.col("node").alias("a"), F.col("n"), F.col("component").alias("mine")
+                "key", F.col("node").alias("a"), "n", F.col("at").alias("i"), F.col("component").alias("mine")
             )
             theirs = marked.select(
-                "key", F.col("node").alias("b"), F.col("n").alias("m"), "component", (F.col("component") == F.col("main")).alias("is_main")
+                "key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("at").alias("j"), "component",
+                (F.col("component") == F.col("main")).alias("is_main"),
+            )
+            met = others.join(theirs, "key").filter(
+                (F.col("mine") != F.col("component")) & (F.col("is_main") | (F.col("a") < F.col("b")))
             )
-            pairs = others.join(
-                theirs, (others["key"] == theirs["key"]) & (F.col("mine") != F.col("component"))
-                & (F.col("is_main") | (F.col("a") < F.col("b"))) & _fits("n", "m", share),
+        else:
+            chosen = F.xxhash64("node", F.lit(turn))
+            lead = open_lists.groupBy("key").agg(F.min_by(F.struct("node", "n", "at", "component"), chosen).alias("lead"))
+            met = open_lists.join(lead, "key").filter(F.col("component") != F.col("lead.component")).select(
+                F.col("node").alias("a"), "n", F.col("at").alias("i"),
+                F.col("lead.node").alias("b"), F.col("lead.n").alias("m"), F.col("lead.at").alias("j"),
             )
-        pairs = pairs.filter(_fits("n", "m", share))
-        pairs = pairs.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
+        pairs = _possible(met, share)
         if seen is not None:
             pairs = pairs.join(seen, ["src", "dst"], "left_anti")
         pairs = written(pairs, "pairs")
-        links = written(links.unionByName(_verified(pairs, full, share)), "links")
+        ends = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct()
+        wanted = written(ends.join(rows, "node"), "wanted")
+        found = written(_verified(pairs, written(_whole_sets(docs, wanted, words), "sets"), share), "links")
+        links = links.unionByName(found)
         seen = pairs if seen is None else seen.unionByName(pairs)
         drop(open_lists)
+        drop(lists)
+        turn += 1
+        if last:
+            break
     drop(entries)
-    return links
+    return written(links, "links")
 
 
 def _components(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertflow.llm.common import drop, written
+from alertflow.llm.common import drop, likely_in, written
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -286,7 +286,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> ToxicityMode
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # Equal texts stay on one side, so copies never stand in both.
     split = F.xxhash64("text")
-    labelled = texts.join(marks, "doc_id").select("text", "toxic", split.alias("_split"))
+    marks = written(marks, "marks")
+    labelled = likely_in(texts, "doc_id", marks).join(marks.hint("merge"), "doc_id")
+    labelled = written(labelled.select("text", "toxic", split.alias("_split")), "labelled")
     count_part, curve_part = (F.col("_split") % 4 != 0), (F.col("_split") % 4 == 0)
     words = written(word_counts(labelled.filter(count_part)), "words")
     top = written(gram_counts(words), "grams")
