@@ -39,7 +39,7 @@ UNIT = 4096
 
 def word_buckets(text: str) -> Column:
     words = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+")
-    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("short"))
 
 
 def _constant(values: Sequence, kind: str) -> Column:
@@ -108,9 +108,12 @@ class MixingModel:
 def classify(docs: DataFrame, labelled: DataFrame, domains: Sequence[str]) -> MixingModel:
     """The classifier from ``labelled`` (doc_id, domain); only counts per domain and bucket reach the driver."""
     marks = labelled.filter(F.col("domain").isin(list(domains)) & F.col("doc_id").isNotNull()).distinct()
-    rows = docs.select("doc_id", word_buckets("text").alias("_words")).join(marks, "doc_id")
+    # One plan at every size: labels grow with the documents, so they are never broadcast.
+    rows = docs.select("doc_id", word_buckets("text").alias("_words")).join(marks.hint("merge"), "doc_id")
+    rows = written(rows.select("domain", "_words"), "labelled")
     words = rows.select("domain", F.explode("_words").alias("bucket")).groupBy("domain", "bucket").count().collect()
     documents = {row["domain"]: row["count"] for row in rows.groupBy("domain").count().collect()}
+    drop(rows)
     present = [d for d in domains if documents.get(d)]
     counts = np.full((BUCKETS, len(present)), 0.5)
     for row in words:
