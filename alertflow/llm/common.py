@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -117,19 +118,24 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def likely_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """``df`` without most of the rows whose ``key`` is not in ``wanted``, before a join that finds the rest.
+def place_map(key: str, wanted: DataFrame) -> tuple[Column, Broadcast]:
+    """A key's place in a bitmap, and the broadcast map (``np.packbits``) of the places in ``wanted``.
 
-    What tasks get is a bitmap of fixed size, so few rows that the join would drop are shuffled.
+    The map has a fixed size, so it keeps most rows that a join would drop from being shuffled, not all.
     """
     place = F.pmod(F.xxhash64(key), F.lit(BITMAP)).cast("int")
     bits = np.zeros(BITMAP, bool)
     bits[wanted.select(place.alias("place")).distinct().toPandas()["place"].to_numpy(np.int64)] = True
-    shared = df.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    return place, wanted.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+
+def likely_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``df`` without most of the rows whose ``key`` is not in ``wanted``, before a join that finds the rest."""
+    place, bits = place_map(key, wanted)
 
     @F.pandas_udf("boolean")
     def known(places: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        asked = np.unpackbits(shared.value).view(bool)
+        asked = np.unpackbits(bits.value).view(bool)
         for batch in places:
             yield pd.Series(asked[batch.to_numpy(np.int64)])
 

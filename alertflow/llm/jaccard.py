@@ -34,13 +34,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from alertflow.llm.common import components, drop, likely_in, written
+from alertflow.llm.common import components, drop, place_map, written
 
 WORDS = 5
 #: Similarity as a fraction of whole numbers.
 SHARE = (80, 100)
-SAMPLE_ROWS = 8_000
-FREQUENT_LEAST = 5
+SAMPLE_ROWS = 32_000
+FREQUENT_LEAST = 4
 FREQUENT = 1 << 18
 #: No light boundary is looked for above this size; subsets grow too fast there.
 LIGHT_MOST = 32
@@ -48,7 +48,7 @@ LIGHT_MOST = 32
 ENTRY_COST = 4
 #: Rounds with leaders go on while pairs of open lists are more than so many times their entries.
 PAIRS_PER_ENTRY = 4
-ROUNDS = 6
+ROUNDS = 2
 
 U = np.uint64
 
@@ -201,11 +201,15 @@ def _light_links(sets: DataFrame, light: int, share: tuple[int, int]) -> DataFra
 def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, set) for the ``wanted`` (node, row), worked out from their texts again."""
 
+    place, bits = place_map("row", wanted)
+
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked = np.unpackbits(bits.value).view(bool)
         for batch in batches:
-            yield pd.DataFrame({"row": batch["row"], "set": [shingles(text, words).tobytes() for text in batch["text"]]})
+            some = batch[asked[batch["place"].to_numpy(np.int64)]]
+            yield pd.DataFrame({"row": some["row"], "set": [shingles(text, words).tobytes() for text in some["text"]]})
 
-    found = likely_in(docs.select("row", "text"), "row", wanted).mapInPandas(whole, "row long, set binary")
+    found = docs.select("row", "text", place.alias("place")).mapInPandas(whole, "row long, set binary")
     return found.join(wanted, "row").select("node", "set")
 
 
