@@ -9,8 +9,8 @@ into a probability by a logistic curve fitted on labelled rows kept out of the c
 
 Counts are made by Spark over all labelled rows. What tasks get is one array of hashes and one
 of values, of at most ``ENTRIES`` entries: if there are more, those with the smallest counts are left
-to the backoff, as count cut-offs do in language models. ``CALIBRATION_ROWS`` bounds the labelled
-rows, lowest text hash first, to which the curve is fitted on the driver.
+to the backoff, as count cut-offs do in language models. ``CALIBRATION_ROWS`` is about how many labelled
+rows, those of lowest text hash, the curve is fitted to on the driver: two numbers and a label of each.
 
 Defined results: null and empty texts and texts without words get the evidence 0, and so the score
 that the curve has there; words are runs of letters, digits and underscores in lower case; a document
@@ -303,8 +303,11 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> ToxicityMode
     drop(entries)
     drop(words)
     drop(top)
-    sample = labelled.filter(curve_part).orderBy("_split").limit(CALIBRATION_ROWS)
-    seen = evidence(sample, counts).select("toxic", "_whole", "_window").toPandas()
+    del filled, keys
+    # Lowest hashes by a threshold, so that no text comes to the driver; equal texts stay together.
+    rows = labelled.filter(curve_part).count()
+    part = F.pmod(F.xxhash64("_split"), F.lit(1 << 20)) * rows < CALIBRATION_ROWS * (1 << 20)
+    seen = evidence(labelled.filter(curve_part & part), counts).select("toxic", "_whole", "_window").toPandas()
     y = seen["toxic"].to_numpy(float)
     if y.min(initial=1) == y.max(initial=0) or not len(y):
         return ToxicityModel(counts, np.array([-2.0, 1.0, 1.0]), 0.0)
