@@ -119,31 +119,30 @@ def statistics(top: DataFrame) -> DataFrame:
     context, and its different followers.
     """
 
-    def put(df: DataFrame, kind: str, gram: Column, value: Column) -> DataFrame:
-        return df.select(F.xxhash64(F.concat(F.lit(kind), gram)).alias("key"), value.cast("float").alias("value"))
-
-    def context(gram: str) -> Column:
-        return F.expr(f"substr({gram}, 1, length({gram}) - 1)")
-
-    after = top.groupBy(context("gram").alias("context")).agg(
+    def put(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+        """A row for each named value: its kind with the n-gram hashed, and the value."""
+        pairs = (F.struct(F.concat(F.lit(kind[:1]), gram).alias("name"), F.col(kind).cast("float").alias("value")) for kind, gram in values.items())
+        rows = df.select(F.explode(F.array(*pairs)).alias("row"))
+        return rows.select(F.xxhash64("row.name").alias("key"), "row.value")
+
+    context = F.expr("substr(gram, 1, length(gram) - 1)")
+    counts = put(top.withColumnsRenamed({"toxic": "t", "ordinary": "o"}), {"t": F.col("gram"), "o": F.col("gram")})
+    after = top.groupBy(context.alias("context")).agg(
         F.sum("toxic").alias("T"), F.sum("ordinary").alias("O"),
         F.count(F.when(F.col("toxic") > 0, 1)).alias("a"), F.count(F.when(F.col("ordinary") > 0, 1)).alias("b"),
     )
-    parts = [put(top, "t", F.col("gram"), F.col("toxic")), put(top, "o", F.col("gram"), F.col("ordinary"))]
-    parts += [put(after, kind, F.col("context"), F.col(kind)) for kind in "TOab"]
-    for size in range(1, ORDER):
-        # Different n-grams one longer that end so; an n-gram at a word's start has itself before it.
-        longer = top.select(F.expr(f"right(gram, {size + 1})").alias("gram"))
-        longer = longer.filter(F.length("gram") == size + 1).distinct()
-        starts = top.select("gram").filter((F.length("gram") == size) & F.col("gram").startswith("\x02"))
-        low = longer.select(F.expr(f"right(gram, {size})").alias("gram")).unionByName(starts)
-        low = low.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
-        follow = low.groupBy(context("gram").alias("context")).agg(F.sum("c").alias("C"), F.count(F.lit(1)).alias("d"))
-        parts.append(put(low, "c", F.col("gram"), F.col("c")))
-        parts += [put(follow, kind, F.concat(F.lit(str(size)), "context"), F.col(kind)) for kind in "Cd"]
-    total = parts[0]
-    for part in parts[1:]:
-        total = total.unionByName(part)
+    contexts = put(after, {kind: F.col("context") for kind in "TOab"})
+    # Each different n-gram counts once for its end without the first character; one at a word's start
+    # has itself before it.
+    ends = F.transform(F.sequence(F.lit(2), F.least(F.length("gram"), F.lit(ORDER))), lambda n: F.expr("gram").substr(F.length("gram") - n + 1, n))
+    longer = top.select(F.explode(ends).alias("gram")).distinct().select(F.expr("substr(gram, 2)").alias("gram"))
+    starts = top.select("gram").filter((F.length("gram") < ORDER) & F.col("gram").startswith("\x02"))
+    low = longer.unionByName(starts).groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
+    low = written(low, "low")
+    follow = low.groupBy(context.alias("context")).agg(F.sum("c").alias("C"), F.count(F.lit(1)).alias("d"))
+    sized = F.concat((F.length("context") + 1).cast("string"), F.col("context"))
+    total = counts.unionByName(contexts).unionByName(put(low, {"c": F.col("gram")}))
+    total = total.unionByName(put(follow, {"C": sized, "d": sized}))
     return total.filter("value > 0")
 
 
