@@ -125,7 +125,7 @@ def place_map(key: str, wanted: DataFrame) -> tuple[Column, Broadcast]:
     """
     place = F.pmod(F.xxhash64(key), F.lit(BITMAP)).cast("int")
     bits = np.zeros(BITMAP, bool)
-    bits[wanted.select(place.alias("place")).distinct().toPandas()["place"].to_numpy(np.int64)] = True
+    bits[wanted.select(place.alias("place")).distinct().toArrow()["place"].to_numpy()] = True
     return place, wanted.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
 

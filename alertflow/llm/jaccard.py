@@ -139,8 +139,8 @@ def frequent(docs: DataFrame, words: int) -> np.ndarray:
             yield pd.DataFrame({"key": _longs(keys), "n": n})
 
     counted = sample.select("text").mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    top = counted.filter(F.col("n") >= FREQUENT_LEAST).orderBy(F.desc("n"), "key").limit(FREQUENT).toPandas()
-    return np.sort(top["key"].to_numpy(np.int64).view(U))
+    top = counted.filter(F.col("n") >= FREQUENT_LEAST).orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
+    return np.sort(top["key"].to_numpy().view(U))
 
 
 def _set_rows(docs: DataFrame, words: int, share: tuple[int, int], common) -> DataFrame:

@@ -171,11 +171,12 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
         matches(body, HEX),
         *(entropy_spans(body, c) for c in CLASSES),
     ]
-    named = [
-        F.transform(spans, lambda s, k=k: F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end")))
-        for k, spans in enumerate(found)
-    ]
-    return docs.withColumn("_spans", F.array_sort(F.concat(*named)))
+
+    def named(kind: int, spans: Column) -> Column:
+        # The kind is not an argument of the lambda: Spark would pass the element's place for it.
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end")))
+
+    return docs.withColumn("_spans", F.array_sort(F.concat(*(named(k, spans) for k, spans in enumerate(found)))))
 
 
 def joined(spans: Column) -> Column:

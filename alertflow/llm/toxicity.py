@@ -296,9 +296,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> ToxicityMode
         share = marks.agg(F.avg("toxic")).first()[0]
         return ToxicityModel(None, None, share or 0.0)
     entries = written(statistics(top), "entries")
-    filled = bounded(entries).toPandas()
-    keys = filled["key"].to_numpy(np.int64).view(np.uint64)
-    counts = spark.sparkContext.broadcast((keys, filled["value"].to_numpy(np.float32)))
+    filled = bounded(entries).toArrow()
+    keys = filled["key"].to_numpy().view(np.uint64)
+    counts = spark.sparkContext.broadcast((keys, filled["value"].to_numpy()))
     drop(entries)
     drop(words)
     drop(top)
@@ -306,8 +306,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> ToxicityMode
     # Lowest hashes by a threshold, so that no text comes to the driver; equal texts stay together.
     rows = labelled.filter(curve_part).count()
     part = F.pmod(F.xxhash64("_split"), F.lit(1 << 20)) * rows < CALIBRATION_ROWS * (1 << 20)
-    seen = evidence(labelled.filter(curve_part & part), counts).select("toxic", "_whole", "_window").toPandas()
-    y = seen["toxic"].to_numpy(float)
+    seen = evidence(labelled.filter(curve_part & part), counts).select("toxic", "_whole", "_window").toArrow()
+    y = seen["toxic"].to_numpy().astype(float)
     if y.min(initial=1) == y.max(initial=0) or not len(y):
         return ToxicityModel(counts, np.array([-2.0, 1.0, 1.0]), 0.0)
-    return ToxicityModel(counts, fit_curve(features(seen["_whole"], seen["_window"]), y), 0.0)
+    return ToxicityModel(counts, fit_curve(features(seen["_whole"].to_numpy(), seen["_window"].to_numpy()), y), 0.0)
