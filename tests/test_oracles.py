@@ -5,14 +5,15 @@ from compare import difference
 
 import __spark_entry__ as entry_points
 from alertflow.plans import settings
+from alertflow.plans.catalog import QUERIES
+from alertflow.plans.oracle import SQL
 from alertflow.schemas import ALERT
-
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 
 def test_every_query_has_sql():
     assert sorted(QUERIES) == sorted(SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
