@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Sequence
+from functools import lru_cache
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,11 +20,6 @@ MAX_TOKENS = 512
 TOKEN_BREAK = "[^a-z0-9]+"
 _TOKEN = re.compile("[a-z0-9]+")
 
-# One regex over the text beats building its token array while the list is short.
-MAX_REGEX_TERMS = 32
-# Word lists travel inside the plan, so their size is checked; longer ones are tables.
-MAX_INLINE_TERMS = 5_000
-
 
 def is_blank(text: Column) -> Column:
     """True for null, empty and all-white-space text."""
@@ -57,35 +55,44 @@ def preview_ellipsis(text: Column, width: int = 60) -> Column:
     return F.when(F.length(text) > width, F.concat(preview(text, width), F.lit("..."))).otherwise(text)
 
 
-def _checked(terms: Sequence[str]) -> list[str]:
-    terms = list(dict.fromkeys(terms))
+def _checked(terms: Sequence[str]) -> tuple[str, ...]:
+    terms = tuple(dict.fromkeys(terms))
     if not terms:
         raise ValueError("the term list is empty")
     bad = [t for t in terms if not _TOKEN.fullmatch(t)]
     if bad:
         raise ValueError(f"terms must be lower-case ASCII tokens, got {bad[:3]}")
-    if len(terms) > MAX_INLINE_TERMS:
-        raise ValueError(f"{len(terms)} terms do not belong in a plan; use extract_with_table")
     return terms
 
 
-def _whole_token(terms: list[str]) -> str:
+def _any_of(terms: list[str]) -> str:
+    """Regex for any of the sorted terms, with shared beginnings written once.
+
+    A match then takes as many steps as the token has letters, however long the list is.
+    """
+    branches = []
+    for _, same in groupby(terms, key=lambda t: t[:1]):
+        same = list(same)
+        start = os.path.commonprefix(same)
+        rest = [t[len(start):] for t in same]
+        branches.append(start if len(rest) == 1 else start + _any_of(rest))
+    if branches[0]:
+        return branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+    return f"(?:{'|'.join(branches[1:])})?"
+
+
+@lru_cache(maxsize=16)
+def _whole_token(terms: tuple[str, ...]) -> str:
     """Regex for one of the terms as a whole token; the first test rules out most positions."""
     initials = "".join(sorted({t[0] for t in terms}))
-    return f"(?=[{initials}])(?<![a-z0-9])({'|'.join(terms)})(?![a-z0-9])"
+    return f"(?=[{initials}])(?<![a-z0-9])({_any_of(sorted(terms))})(?![a-z0-9])"
 
 
 def count_terms(text: Column, terms: Sequence[str]) -> Column:
-    """How many tokens of the text are in the list."""
-    terms = _checked(terms)
-    if len(terms) <= MAX_REGEX_TERMS:
-        return F.regexp_count(F.lower(text), F.lit(_whole_token(terms)))
-    return F.size(F.filter(F.split(F.lower(text), TOKEN_BREAK), lambda t: t.isin(terms)))
+    """How many tokens of the text are in the list, which may have any length."""
+    return F.regexp_count(F.lower(text), F.lit(_whole_token(_checked(terms))))
 
 
 def first_term(text: Column, terms: Sequence[str]) -> Column:
     """The first token of the text that is in the list, else null."""
-    terms = _checked(terms)
-    if len(terms) <= MAX_REGEX_TERMS:
-        return F.nullif(F.regexp_extract(F.lower(text), _whole_token(terms), 1), F.lit(""))
-    return F.get(F.filter(F.split(F.lower(text), TOKEN_BREAK), lambda t: t.isin(terms)), F.lit(0))
+    return F.nullif(F.regexp_extract(F.lower(text), _whole_token(_checked(terms)), 1), F.lit(""))

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def naive_utc(value: datetime) -> datetime:
+    """The value as a clock in UTC shows it; one without a zone is taken to be that already."""
+    return value if value.tzinfo is None else value.astimezone(timezone.utc).replace(tzinfo=None)
+
+
 def utc_time(value: datetime) -> Column:
     """A zone-less literal. A datetime as such would be taken for local time and moved."""
-    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(naive_utc(value).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def utc(moment: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from alertflow.functions import text as txt
 from alertflow.functions.codec import decode_extraction
-from alertflow.operators.joins import SALT, replicate, row_salt, salted_lookup
+from alertflow.operators.joins import KEY, POSITION, listed_tokens, with_key
 from alertflow.operators.messages import expand
 
 # Fixed value: what an extractor answers when it finds nothing. Null means a malformed answer.
@@ -96,41 +96,38 @@ def extract_fields(df: DataFrame, extractor: Extractor, text: str = "text") -> D
     return expand(df.drop("location", "disaster"), extractor(F.col(text)))
 
 
-def extract_with_table(df: DataFrame, terms: DataFrame, text: str = "text", salts: int = 16) -> DataFrame:
+def extract_with_table(
+    df: DataFrame,
+    terms: DataFrame,
+    text: str = "text",
+    key: Sequence[str] | None = None,
+) -> DataFrame:
     """``extract_fields`` with the word lists in a table ``terms(kind, term)`` of any size.
 
-    ``kind`` is ``location`` or ``disaster``. Each text contributes each of its tokens once.
-    Common tokens sit in nearly every text, and one text may have many copies, so both joins
-    are salted by the whole row; copies collapse in the map-side part of the aggregation.
+    ``kind`` is ``location`` or ``disaster``. ``key`` names columns that tell messages with
+    different texts apart, such as an id; without it, a hash of the text does. Only key, token and
+    place travel to the terms; copies collapse on the map side, the first places are joined back,
+    one row per key, and become tokens there.
     """
     df = df.drop("location", "disaster")
-    # Never null, so that no null filter hashes the text once more.
-    key = F.coalesce(F.unhex(F.sha2(F.col(text), 256)), F.lit(b""))
-    keyed = df.withColumn("_key", key)
-    salted = keyed.select("_key", row_salt(df.columns, salts), F.col(text).alias("_text"))
-    # The token array is made inside the generator: as a column of its own, Spark would make it
-    # twice more to filter out empty ones.
-    words = salted.select("_key", SALT, F.posexplode(txt.distinct_tokens(F.col("_text"))).alias("_pos", "_term"))
-    listed = replicate(terms.select("kind", F.col("term").alias("_term")).distinct(), salts)
-
-    def first(kind: str) -> Column:
-        return F.min_by("_term", F.when(F.col("kind") == kind, F.col("_pos"))).alias(kind)
-
-    found = words.join(listed, ["_term", SALT]).groupBy("_key").agg(first("location"), first("disaster"))
-    return salted_lookup(keyed, found, ["_key"], salts).select(
-        *df.columns,
-        *[F.coalesce(k, F.lit(MISSING)).alias(k) for k in ("location", "disaster")],
+    keyed = with_key(df, text, key)
+    kinds = ("location", "disaster")
+    first = [F.min(F.when(F.col("kind") == k, F.col(POSITION))).alias(f"_{k}") for k in kinds]
+    words = txt.distinct_tokens(F.col(text))
+    found = listed_tokens(keyed, terms.select("kind", "term"), words).groupBy(KEY).agg(*first)
+    return keyed.join(found, KEY, "left").select(
+        *df.columns, *[F.coalesce(F.get(words, F.col(f"_{k}")), F.lit(MISSING)).alias(k) for k in kinds]
     )
 
 
-def enrich_location(df: DataFrame, places: DataFrame, location: str = "location", salts: int = 16) -> DataFrame:
+def enrich_location(df: DataFrame, places: DataFrame, location: str = "location") -> DataFrame:
     """Append the country to a location that is only a known state or province.
 
-    ``places`` has ``place`` and ``country``, one row per place; locations it does not know
-    stay as they are. One place, or ``"None"``, may be on a third of the rows: hence the salt.
+    ``places`` has ``place`` and ``country``, one row per place, and any number of rows; locations
+    it does not know stay as they are.
     """
     known = places.select(F.col("place").alias(location), F.col("country").alias("_country"))
     named = F.when(F.col(location).isNotNull(), F.concat_ws(", ", location, "_country"))
-    return salted_lookup(df, known, [location], salts).select(
+    return df.join(known, location, "left").select(
         *[named.alias(c) if c == location else F.col(c) for c in df.columns]
     )

@@ -1,9 +1,8 @@
-"""Look-up joins that hold when one key is on a third of the rows.
+"""Tokens of texts looked up in a table of terms.
 
-Whether the look-up table is small enough to broadcast is left to Spark's own size check
-(``spark.sql.autoBroadcastJoinThreshold`` and its run-time counterpart); beyond it both sides
-are shuffled and the salt splits a hot key over ``salts`` tasks. Spark sizes the table before
-it is copied per salt, so a broadcast holds at most ``salts`` times that threshold.
+The joins name no strategy and copy nothing: Spark broadcasts a table that its own size check
+allows, and beyond that shuffles both sides. A hot token, place or message makes a large
+partition, which adaptive execution splits by its blocks, rows equal in every column included.
 """
 
 from __future__ import annotations
@@ -13,27 +12,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALT = "_salt"
+KEY = "_key"
+POSITION = "_pos"
 
 
-def row_salt(columns: Sequence[str], salts: int) -> Column:
-    """A salt from the row's own values: a task that runs again gives each row the same one.
+def with_key(df: DataFrame, text: str, key: Sequence[str] | None) -> DataFrame:
+    """Add what tells messages with different texts apart: the named columns, or a hash of the text.
 
-    The coalesce tells Spark that it is never null, which saves a second hash in a null filter.
+    As a struct it is never null, and equal nulls inside it count as equal.
     """
-    return F.coalesce(F.pmod(F.xxhash64(*columns), F.lit(salts)), F.lit(0).cast("long")).alias(SALT)
+    whole = F.unhex(F.sha2(F.col(text), 256)).alias("hash")
+    return df.withColumn(KEY, F.struct(*key) if key else F.struct(whole))
 
 
-def replicate(table: DataFrame, salts: int) -> DataFrame:
-    """One copy of the table per salt."""
-    every = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
-    return table.select("*", F.explode(every).alias(SALT))
-
-
-def salted_lookup(df: DataFrame, table: DataFrame, on: Sequence[str], salts: int = 16) -> DataFrame:
-    """Left join of ``df`` with a table that has one row per key."""
-    return (
-        df.select("*", row_salt(df.columns, salts))
-        .join(replicate(table, salts), [*on, SALT], "left")
-        .drop(SALT)
-    )
+def listed_tokens(keyed: DataFrame, terms: DataFrame, tokens: Column) -> DataFrame:
+    """Key and position of every token that is a term, with the other columns of ``terms``."""
+    # The token array is made inside the generator: as a column of its own, Spark would make it
+    # twice more to filter out empty ones.
+    words = keyed.select(KEY, F.posexplode(tokens).alias(POSITION, "term"))
+    return words.join(terms.distinct(), "term").drop("term")

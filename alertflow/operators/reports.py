@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from alertflow.functions import text as txt
-from alertflow.functions.times import as_moment, in_utc, utc, utc_time
+from alertflow.functions.times import as_moment, in_utc, naive_utc, utc, utc_time
 from alertflow.operators.storage import type_folder
 
 
@@ -96,8 +96,10 @@ def confident(stored: DataFrame, at_least: float) -> DataFrame:
 def time_range(stored: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Rows with start <= kafka_timestamp < end, newest first.
 
-    On stored files the day bounds prune partitions before any row is read.
+    Bounds with a zone are moved to UTC. On stored files the day bounds prune partitions before
+    any row is read.
     """
+    start, end = naive_utc(start), naive_utc(end)
     t = F.col("kafka_timestamp")
     rows = stored.filter((t >= utc_time(start)) & (t < utc_time(end)))
     if "event_day" in stored.columns:

@@ -14,6 +14,7 @@ from alertflow.functions import text as txt
 from alertflow.functions.binding import let
 from alertflow.functions.codec import BLANK_PACKED, pack_score
 from alertflow.functions.probability import top_class
+from alertflow.operators.joins import KEY, POSITION, listed_tokens, with_key
 from alertflow.operators.messages import expand
 from alertflow.schemas import MODEL_SCORE
 
@@ -32,13 +33,16 @@ class LexiconScorer:
     bias: float = -1.0
 
     def logits(self, text: Column) -> Column:
-        hits = txt.count_terms(text, self.terms)
-        return F.array(F.lit(0.0), hits * F.lit(self.weight) + F.lit(self.bias))
+        return hit_logits(txt.count_terms(text, self.terms), self.weight, self.bias)
 
     def __call__(self, text: Column) -> Column:
         return score_struct(top_class(self.logits(text)))
 
 
+def hit_logits(hits: Column, weight: float, bias: float) -> Column:
+    return F.array(F.lit(0.0), hits * F.lit(weight) + F.lit(bias))
+
+
 def score_struct(top: Column) -> Column:
     """A class/probability struct as a score: confidence at four places, marked as computed."""
 
@@ -147,6 +151,27 @@ def score_text(df: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
     return expand(df, blank_guard(F.col(text), scorer(F.col(text))))
 
 
+def score_with_table(
+    df: DataFrame,
+    terms: DataFrame,
+    weight: float = 0.5,
+    bias: float = -1.0,
+    text: str = "text",
+    key: Sequence[str] | None = None,
+) -> DataFrame:
+    """``score_text`` by a word list in a table ``terms(term)`` of any size.
+
+    ``key`` names columns that tell messages with different texts apart; without it, a hash of the
+    text does. Copies of a message have one key and count their listed tokens once, by place.
+    """
+    keyed = with_key(df, text, key)
+    words = F.split(F.lower(F.col(text)), txt.TOKEN_BREAK)
+    hits = listed_tokens(keyed, terms.select("term"), words).groupBy(KEY).agg(F.count_distinct(POSITION).alias("_hits"))
+    logits = hit_logits(F.coalesce("_hits", F.lit(0)), weight, bias)
+    scored = blank_guard(F.col(text), score_struct(top_class(logits)))
+    return expand(keyed.join(hits, KEY, "left"), scored).drop(KEY, "_hits")
+
+
 def packed_scores(scored: DataFrame, text: str = "text") -> DataFrame:
     """Replace the score columns by the packed ``prediction_result`` text."""
     packed = F.when(txt.is_blank(F.col(text)), BLANK_PACKED).otherwise(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from alertflow.functions.keys import row_key
 from alertflow.functions.times import in_utc, utc
+from alertflow.operators.messages import expand
 from alertflow.schemas import CONFIDENCE, MAX_DISASTER_TYPE, MAX_LOCATION, MAX_TWEET_ID, STORED
 
 # Alert field -> stored column.
@@ -30,7 +31,7 @@ def type_folder(disaster_type: Column) -> Column:
     return F.coalesce(F.nullif(disaster_type, F.lit("")), F.lit("(no type)"))
 
 
-def _broken_rules() -> Column:
+def _broken_rules(text_times: bool) -> Column:
     """Names of the storage rules that the alert on this row breaks."""
     too_long = {
         "tweet_id_too_long": ("id", MAX_TWEET_ID),
@@ -42,15 +43,17 @@ def _broken_rules() -> Column:
         **{name: F.length(column) > width for name, (column, width) in too_long.items()},
         "confidence_out_of_range": F.col("confidence").isNotNull()
         & F.col("confidence").try_cast(CONFIDENCE).isNull(),
-        "kafka_timestamp_unreadable": F.col("kafka_timestamp").isNotNull()
-        & F.col("kafka_timestamp").cast("string").try_cast("timestamp_ntz").isNull(),
     }
+    if text_times:
+        time = F.col("kafka_timestamp")
+        rules["kafka_timestamp_unreadable"] = time.isNotNull() & time.try_cast("timestamp_ntz").isNull()
     return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
 
 
 def checked(alerts: DataFrame) -> DataFrame:
-    """Alerts with an array ``broken_rules``; empty means the row fits the store."""
-    return alerts.withColumn("broken_rules", _broken_rules())
+    """Alerts with an array ``broken_rules``, worked out once; empty means the row fits the store."""
+    text_times = dict(alerts.dtypes)["kafka_timestamp"] == "string"
+    return expand(alerts, F.struct(_broken_rules(text_times).alias("broken_rules")))
 
 
 def storage_rows(checked_alerts: DataFrame) -> DataFrame:

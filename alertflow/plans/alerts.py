@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
+from alertflow.functions.times import in_utc
 from alertflow.operators.extraction import Extractor, extract_fields
-from alertflow.operators.messages import nonempty_text, parse_messages, positives
+from alertflow.operators.messages import nonempty_text, parse_messages, positives, undecodable
+from alertflow.operators.reports import observed
 from alertflow.operators.scoring import Scorer, score_text
 from alertflow.schemas import ALERT, ALERT_MESSAGE
 
@@ -15,10 +18,36 @@ def scored_messages(envelopes: DataFrame, scorer: Scorer) -> DataFrame:
     return score_text(nonempty_text(parse_messages(envelopes, ALERT_MESSAGE)), scorer)
 
 
-def alerts(envelopes: DataFrame, scorer: Scorer, extractor: Extractor) -> DataFrame:
-    """Positive messages with location and event type.
+def alerts(
+    envelopes: DataFrame,
+    scorer: Scorer,
+    extractor: Extractor,
+    counters: Observation | str | None = None,
+) -> DataFrame:
+    """Positive messages with location and event type; their times zone-less, in UTC.
 
     No shuffle: a scan, one JSON parse, one score and, for positives only, one extraction.
+    With ``counters``, rows, blanks, positives and failures are counted along the way.
     """
-    found = extract_fields(positives(scored_messages(envelopes, scorer)), extractor)
-    return found.select(*ALERT.names)
+    scored = scored_messages(envelopes, scorer)
+    if counters is not None:
+        scored = observed(scored, counters)
+    found = extract_fields(positives(scored), extractor)
+    return in_utc(found, "kafka_timestamp").select(*ALERT.names)
+
+
+def failed_rows(envelopes: DataFrame, scorer: Scorer) -> DataFrame:
+    """Dead letters: envelopes that hold no JSON object, and messages whose prediction failed.
+
+    ``payload`` is the envelope's value as text, or the text that the scorer failed on.
+    """
+    in_doubt = undecodable(envelopes).select(
+        F.lit("undecodable").alias("reason"),
+        F.lit(None).cast("string").alias("id"),
+        F.col("value").cast("string").alias("payload"),
+        F.col("timestamp").alias("kafka_timestamp"),
+    )
+    failed = scored_messages(envelopes, scorer).filter(~F.col("ok")).select(
+        F.lit("prediction_failed").alias("reason"), "id", F.col("text").alias("payload"), "kafka_timestamp"
+    )
+    return in_utc(in_doubt.unionByName(failed), "kafka_timestamp")

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from alertflow.functions import codec, probability
 from alertflow.functions import text as txt
-from alertflow.functions.times import utc_time
+from alertflow.functions.times import as_moment, utc_time
 from alertflow.operators import extraction, messages, reports, scoring, storage
 from alertflow.plans import settings as st
 from alertflow.plans.alerts import alerts as find_alerts
+from alertflow.plans.alerts import failed_rows as failures
 from alertflow.plans.alerts import scored_messages
 from alertflow.schemas import ALERT, ALERT_MESSAGE, MESSAGE
 from alertflow.sinks import stores
@@ -323,15 +324,25 @@ def extract_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", "location", "disaster")
 
 
+def benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "benchmark").select(F.explode(txt.tokens(F.col("text"))).alias("term"))
+
+
 @registered
 def extract_with_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    word = table(spark, sf_dir, "benchmark").select(F.explode(txt.tokens(F.col("text"))).alias("term"))
     kind = F.when(F.length("term") >= st.TYPE_LENGTH, "disaster").otherwise("location")
-    terms = word.filter(F.length("term") >= st.TERM_LENGTH).select(kind.alias("kind"), "term")
-    found = extraction.extract_with_table(feed(spark, sf_dir), terms)
+    terms = benchmark_words(spark, sf_dir).select(kind.alias("kind"), "term")
+    found = extraction.extract_with_table(feed(spark, sf_dir), terms, key=["id"])
     return found.select("id", "location", "disaster")
 
 
+@registered
+def score_with_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms = benchmark_words(spark, sf_dir)
+    scored = scoring.score_with_table(feed(spark, sf_dir), terms, st.TABLE_WEIGHT, st.TABLE_BIAS, key=["id"])
+    return scored.select("id", "prediction", "confidence", "ok")
+
+
 def python_extractor() -> Callable[[list[str]], list[str]]:
     """The word-list extraction as a Python model that answers requests with JSON."""
     token = re.compile("[a-z0-9]+")
@@ -366,6 +377,29 @@ def build_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.build_requests(messages.positives(scored_feed(spark, sf_dir)))
 
 
+def half_read_model() -> scoring.Predict:
+    """The word-list model, which cannot read texts with an at sign."""
+    predict = python_lexicon()
+
+    def careful(texts: list[str]) -> tuple[list[int], list[float]]:
+        if any("@" in t for t in texts):
+            raise ValueError("an address in the text")
+        return predict(texts)
+
+    return careful
+
+
+@registered
+def failed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of a feed that sends texts with line breaks as they are, without JSON around them."""
+    rows = feed(spark, sf_dir)
+    value = F.when(F.col("text").contains("\n"), F.col("text").cast("binary")).otherwise(
+        codec.encode_message(*MESSAGE.names)
+    )
+    sent = rows.select(value.alias("value"), F.col("kafka_timestamp").alias("timestamp"))
+    return failures(sent, scoring.model_scorer(half_read_model))
+
+
 # Counts
 
 
@@ -391,7 +425,16 @@ def store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "documents")
     stores.write_store(timed(main_alerts(spark, sf_dir)), "json", path=path)
-    return store.read_documents(spark, path)
+    return store.read_documents(spark, path).drop("processing_day")
+
+
+@registered
+def document_roundtrip_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents from messages whose times are moments, as a topic gives them."""
+    path = new_folder(spark, "documents")
+    sent = as_moment(envelopes(spark, sf_dir), "timestamp")
+    stores.write_store(timed(find_alerts(sent, st.SCORER, st.EXTRACTOR)), "json", path=path)
+    return store.read_store(spark, "json", path=path).drop("processing_day")
 
 
 @registered

@@ -207,7 +207,7 @@ SQL: dict[str, str] = {
         bench AS (SELECT unnest({_tokens("text")}) AS term FROM benchmark),
         terms AS (
           SELECT DISTINCT term, length(term) >= {st.TYPE_LENGTH} AS is_type
-          FROM bench WHERE length(term) >= {st.TERM_LENGTH}
+          FROM bench
         ),
         words AS (SELECT id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS pos FROM feed),
         found AS (
@@ -217,6 +217,19 @@ SQL: dict[str, str] = {
         )
         SELECT feed.id, coalesce(found.location, 'None') AS location, coalesce(disaster, 'None') AS disaster
         FROM feed LEFT JOIN found USING (id)""",
+    "score_with_table": f"""
+        WITH {_FEED},
+        terms AS (SELECT DISTINCT unnest({_tokens("text")}) AS term FROM benchmark),
+        words AS (SELECT id, unnest(tokens) AS term FROM feed),
+        hits AS (SELECT id, count(*) AS n FROM words JOIN terms USING (term) GROUP BY id),
+        logits AS (
+          SELECT feed.id, {_BLANK} AS blank,
+                 coalesce(n, 0) * CAST({st.TABLE_WEIGHT} AS DOUBLE) + CAST({st.TABLE_BIAS} AS DOUBLE) AS z
+          FROM feed LEFT JOIN hits USING (id)
+        )
+        SELECT id, CASE WHEN z > 0 AND NOT blank THEN 1 ELSE 0 END AS prediction,
+               CASE WHEN blank THEN 0.0::DOUBLE ELSE round(1 / (1 + exp(-abs(z))), 4) END AS confidence, true AS ok
+        FROM logits""",
     "extract_with_model": f"WITH {_ALERTS} SELECT id, location, disaster FROM alerts",
     "enrich_location": """
         SELECT c_custkey AS id, n_name || ', ' || r_name AS location
@@ -224,6 +237,11 @@ SQL: dict[str, str] = {
     "build_requests": f"""
         WITH {_FEED}, {_scored("feed")}
         SELECT id, {_quoted(_before)} || text || {_quoted(_after)} AS request FROM scored WHERE prediction = 1""",
+    "failed_rows": f"""
+        WITH {_FEED}
+        SELECT CASE WHEN contains(text, chr(10)) THEN 'undecodable' ELSE 'prediction_failed' END AS reason,
+               CASE WHEN NOT contains(text, chr(10)) THEN id END AS id, text AS payload, kafka_timestamp
+        FROM feed WHERE contains(text, chr(10)) OR contains(text, '@')""",
     # Counts
     "positive_count": f"""
         WITH {_FEED}, {_scored("feed")} SELECT count(*) AS n_positive FROM scored WHERE prediction = 1""",
@@ -236,6 +254,8 @@ SQL: dict[str, str] = {
     "store_roundtrip": f"WITH {_STORED} SELECT * FROM stored",
     "document_roundtrip": f"""
         WITH {_ALERTS}, {_timed("alerts")} SELECT {_ALERT_COLUMNS}, processing_timestamp FROM timed""",
+    "document_roundtrip_zoned": f"""
+        WITH {_ALERTS}, {_timed("alerts")} SELECT {_ALERT_COLUMNS}, processing_timestamp FROM timed""",
     "latest_predictions": f"""
         WITH {_STORED}
         SELECT tweet_id, disaster_type, location, confidence, left(text, 50) AS text_preview, processing_timestamp

@@ -30,6 +30,8 @@ WATERMARK = "1 hour"
 # A response that holds no JSON object reads as malformed.
 REQUEST = "Where and what?\nSentence: {text}"
 
-# Tokens of the benchmark texts serve as a term table: the longer ones as types, others as places.
-TERM_LENGTH = 8
-TYPE_LENGTH = 10
+# All tokens of the benchmark texts serve as a term table: the longer ones as types, others as places.
+TYPE_LENGTH = 8
+# Most documents hold several of them, so one counts for little.
+TABLE_WEIGHT = 1 / 64
+TABLE_BIAS = -1.0

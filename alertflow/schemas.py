@@ -26,6 +26,7 @@ MODEL_SCORE = T.StructType(
     ]
 )
 
+# Fields of an alert.
 ALERT = T.StructType(
     _strings("id", "text", "disaster", "location").fields
     + [
@@ -40,7 +41,7 @@ MAX_DISASTER_TYPE = 100
 MAX_LOCATION = 200
 CONFIDENCE = T.DecimalType(5, 4)
 
-# Plain string types here: files carry no width, the width check runs on write.
+# Columns of the prediction store. Plain string types here: files carry no width, the width check runs on write.
 STORED = T.StructType(
     [
         T.StructField("row_key", T.StringType()),
@@ -55,11 +56,17 @@ STORED = T.StructType(
     ]
 )
 
+# The same widths for a table that Spark creates in a database.
+DATABASE_TYPES = (
+    f"tweet_id VARCHAR({MAX_TWEET_ID}), disaster_type VARCHAR({MAX_DISASTER_TYPE}), "
+    f"location VARCHAR({MAX_LOCATION}), confidence DECIMAL(5,4)"
+)
+
 # Stored files have one more column, derived from the others, that names their folder.
 EVENT_DAY = T.StructField("event_day", T.DateType())
 TYPE_FOLDER = T.StructField("type_folder", T.StringType())
 
-# The same table for a catalog, where Spark enforces the widths.
+# The same table for a catalog, where Spark enforces the widths.
 STORED_DDL = f"""
     row_key STRING,
     tweet_id VARCHAR({MAX_TWEET_ID}),
@@ -73,4 +80,6 @@ STORED_DDL = f"""
     event_day DATE
 """
 
+# Documents have one more column, which names their folder.
+DOCUMENT_DAY = T.StructField("processing_day", T.DateType())
 DOCUMENT = T.StructType(ALERT.fields + [T.StructField("processing_timestamp", T.TimestampNTZType())])

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from alertflow.functions.times import in_utc
 from alertflow.operators.storage import stamped, type_folder
-from alertflow.schemas import EVENT_DAY, STORED_DDL, TYPE_FOLDER
+from alertflow.schemas import DATABASE_TYPES, DOCUMENT_DAY, EVENT_DAY, STORED_DDL, TYPE_FOLDER
 
 # What an index would serve is served by the file layout: folders by day (or by type), rows
 # sorted inside a file (min/max statistics), Bloom filters for places and ids.
@@ -59,8 +60,14 @@ def write_table(stored: DataFrame, name: str) -> None:
 
 
 def write_documents(alerts: DataFrame, path: str, mode: str = "append") -> None:
-    """Append alerts as JSON documents, stamped with the processing time."""
-    stamped(alerts).drop("created_at").write.mode(mode).json(path)
+    """Append alerts as JSON documents, stamped with the processing time, in folders by its day."""
+    documents = documents_of(alerts).withColumn(DOCUMENT_DAY.name, F.to_date("processing_timestamp"))
+    documents.write.mode(mode).partitionBy(DOCUMENT_DAY.name).json(path)
+
+
+def documents_of(alerts: DataFrame) -> DataFrame:
+    """Alerts with a processing time; all times are zone-less, in UTC."""
+    return in_utc(stamped(in_utc(alerts, "kafka_timestamp")).drop("created_at"), "processing_timestamp")
 
 
 def jdbc_options(
@@ -71,8 +78,13 @@ def jdbc_options(
     driver: str | None = None,
     batch_size: int = 10_000,
     connections: int = 32,
+    column_types: str | None = DATABASE_TYPES,
+    **more: str,
 ) -> dict[str, str]:
-    """Options of a database write: batched inserts, one transaction per task, few connections."""
+    """Options of a database write: batched inserts, one transaction per task, few connections.
+
+    A table that is not there is created with ``column_types``; ``more`` goes to the connector.
+    """
     options = {
         "url": url,
         "dbtable": table,
@@ -80,17 +92,28 @@ def jdbc_options(
         "numPartitions": str(connections),
         "isolationLevel": "READ_COMMITTED",
     }
-    optional = {"user": user, "password": password, "driver": driver}
-    return options | {k: v for k, v in optional.items() if v is not None}
+    optional = {"user": user, "password": password, "driver": driver, "createTableColumnTypes": column_types}
+    return options | {k: v for k, v in optional.items() if v is not None} | more
 
 
-def write_jdbc(stored: DataFrame, **options) -> None:
+def write_jdbc(stored: DataFrame, row_key: bool = True, **options) -> None:
+    """Append to a database table; ``row_key=False`` is for tables without that column."""
+    if not row_key:
+        stored = stored.drop("row_key")
     stored.write.format("jdbc").mode("append").options(**jdbc_options(**options)).save()
 
 
+def write_sqlite(stored: DataFrame, **options) -> None:
+    """A SQLite file is on one machine only, so a cluster's tasks cannot share it."""
+    master = stored.sparkSession.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("a SQLite file cannot be written from several machines; name another store")
+    write_jdbc(stored, **options)
+
+
 def write_mongo(alerts: DataFrame, uri: str, database: str, collection: str) -> None:
     target = {"connection.uri": uri, "database": database, "collection": collection}
-    stamped(alerts).drop("created_at").write.format("mongodb").mode("append").options(**target).save()
+    documents_of(alerts).write.format("mongodb").mode("append").options(**target).save()
 
 
 _WRITERS = {
@@ -101,7 +124,7 @@ _WRITERS = {
     "jdbc": write_jdbc,
     "postgresql": write_jdbc,
     "mysql": write_jdbc,
-    "sqlite": write_jdbc,
+    "sqlite": write_sqlite,
 }
 
 

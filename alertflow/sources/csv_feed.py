@@ -8,9 +8,6 @@ from pyspark.sql import types as T
 # Quoted fields may hold line breaks and doubled quotes.
 _QUOTING = {"header": "true", "escape": '"', "encoding": "UTF-8"}
 
-# Left empty in many rows; null and empty mean the same in these two.
-OPTIONAL_COLUMNS = ["keyword", "location"]
-
 
 def csv_schema(spark: SparkSession, path: str, multi_line: bool = True) -> T.StructType:
     """Text columns named by the header; Spark reads one line for this."""
@@ -19,7 +16,8 @@ def csv_schema(spark: SparkSession, path: str, multi_line: bool = True) -> T.Str
 
 
 def _filled(df: DataFrame) -> DataFrame:
-    return df.na.fill("", [c for c in OPTIONAL_COLUMNS if c in df.columns])
+    """Empty and missing cells are empty texts, whatever the column."""
+    return df.na.fill("")
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from alertflow.schemas import DOCUMENT, EVENT_DAY, STORED, TYPE_FOLDER
+from alertflow.schemas import DOCUMENT, DOCUMENT_DAY, EVENT_DAY, STORED, TYPE_FOLDER
 
 
 def read_files(spark: SparkSession, path: str, by_type: bool = False) -> DataFrame:
-    """Stored prediction files, in folders by day or by type."""
-    folder = TYPE_FOLDER if by_type else EVENT_DAY
-    return spark.read.schema(T.StructType([*STORED.fields, folder])).option("basePath", path).parquet(path)
+    """Stored prediction files, in folders by day or by type, and above them by run and batch if a stream wrote them."""
+    schema = T.StructType([*STORED.fields, TYPE_FOLDER if by_type else EVENT_DAY])
+    return spark.read.schema(schema).option("basePath", path).parquet(path).select(*schema.names)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DOCUMENT).json(path)
+    """JSON documents in folders by the day of processing, which comes as a last column."""
+    return spark.read.schema(T.StructType([*DOCUMENT.fields, DOCUMENT_DAY])).json(path)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -36,7 +37,7 @@ def read_jdbc(
     With ``split_column`` and its ``bounds`` the table is read by ``splits`` tasks; without
     them one task reads it, which suits pushed-down reads of a few rows only.
     """
-    settings = {"url": url, "dbtable": table, **options}
+    settings = {"url": url, "dbtable": table, "preferTimestampNTZ": "true", **options}
     if split_column is not None:
         if bounds is None:
             raise ValueError("split_column needs bounds")
@@ -53,3 +54,23 @@ def read_mongo(spark: SparkSession, uri: str, database: str, collection: str) ->
     """A document collection, through the Mongo connector that the cluster supplies."""
     reader = spark.read.format("mongodb").schema(DOCUMENT)
     return reader.options(**{"connection.uri": uri, "database": database, "collection": collection}).load()
+
+
+_READERS = {
+    "files": read_files,
+    "table": read_table,
+    "json": read_documents,
+    "mongodb": read_mongo,
+    "jdbc": read_jdbc,
+    "postgresql": read_jdbc,
+    "mysql": read_jdbc,
+    "sqlite": read_jdbc,
+}
+
+
+def read_store(spark: SparkSession, kind: str, **options) -> DataFrame:
+    """Read the store of the given kind, the counterpart of ``write_store``."""
+    reader = _READERS.get(kind.lower())
+    if reader is None:
+        raise ValueError(f"unknown store {kind!r}; known: {', '.join(sorted(_READERS))}")
+    return reader(spark, **options)

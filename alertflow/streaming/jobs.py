@@ -7,6 +7,7 @@ may see a batch twice after a failure, so their writers replace what the batch w
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from alertflow.operators.storage import checked, quarantine_rows, storage_rows
-from alertflow.sinks.stores import BLOOM, with_folder
+from alertflow.sinks.stores import BLOOM, with_folder, write_files
 
 # Pace of the file and the store sink, rows shown on the console.
 FILE_TRIGGER = "20 seconds"
@@ -87,35 +88,56 @@ def start_batches(
     return _paced(writer.option("checkpointLocation", checkpoint), every).start()
 
 
-def file_batch_writer(path: str, quarantine_path: str) -> BatchWriter:
-    """Micro-batches of alerts into stored files and a quarantine.
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that this checkpoint belongs to, made on first use and kept in its folder.
 
-    A batch owns one sub-folder and overwrites it, so the same batch written twice is there
-    once. The batch is persisted for its two outputs, so it is scored once; a lost block is
-    worked out again from the source.
+    Batch ids start again at 0 with a new checkpoint, so only run and batch together name a batch.
+    """
+    folder = f"{checkpoint.rstrip('/')}/run"
+    for mode in ("ignore", "overwrite"):
+        spark.range(1).select(F.lit(uuid.uuid4().hex).alias("run")).coalesce(1).write.mode(mode).text(folder)
+        kept = spark.read.text(folder).first()
+        if kept is not None:
+            return kept[0]
+    raise OSError(f"no run id can be kept in {folder}")
+
+
+def file_batch_writer(path: str, quarantine_path: str, run: str) -> BatchWriter:
+    """Micro-batches of alerts into stored files, in folders by day, and a quarantine.
+
+    ``run`` comes from ``run_id``. A batch of a run owns one sub-folder and overwrites it, so the
+    same batch written twice is there once and no other run's rows are touched. ``read_files``
+    reads the folder; other writers need a folder of their own. The batch is persisted for its
+    two outputs, so it is scored once; a lost block is worked out again from the source.
     """
 
     def write(alerts: DataFrame, batch_id: int) -> None:
         rows = checked(alerts).persist()
         try:
-            for part, target in ((storage_rows(rows), path), (quarantine_rows(rows), quarantine_path)):
-                part.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+            below = f"run={run}/batch_id={batch_id}"
+            write_files(storage_rows(rows), f"{path}/{below}", mode="overwrite")
+            quarantine_rows(rows).write.mode("overwrite").parquet(f"{quarantine_path}/{below}")
         finally:
             rows.unpersist()
 
     return write
 
 
-def jdbc_batch_writer(read: Callable[[SparkSession], DataFrame], write: Callable[[DataFrame], None]) -> BatchWriter:
-    """Micro-batches of alerts into a database table that also has a ``batch_id`` column.
+def jdbc_batch_writer(
+    read: Callable[[SparkSession], DataFrame],
+    write: Callable[[DataFrame], None],
+    run: str,
+) -> BatchWriter:
+    """Micro-batches of alerts into a database table that also has columns ``run`` and ``batch_id``.
 
     A database commits per task, so a failed batch may be there in part. When it comes again,
     each row key is added as often as it is still missing: copies of a message stay copies.
     """
 
     def append(alerts: DataFrame, batch_id: int) -> None:
-        rows = storage_rows(checked(alerts)).withColumn("batch_id", F.lit(batch_id))
-        there = read(alerts.sparkSession).filter(F.col("batch_id") == batch_id).select("row_key")
+        rows = storage_rows(checked(alerts)).withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id)})
+        mine = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+        there = read(alerts.sparkSession).filter(mine).select("row_key")
         if there.isEmpty():
             write(rows)
             return

@@ -8,13 +8,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}
+_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors see, as named by ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder; a cluster has to name one,
+    A local session without the setting gets a temporary folder that goes with the process; a cluster has to name one,
     since no other machine would see a folder of the driver's.
     """
     folder = spark.sparkContext.getConf().get(_SETTING) or spark.conf.get(_SETTING, None)
@@ -24,8 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
         raise ValueError(f"set {_SETTING} to a folder that every executor can reach")
     application = spark.sparkContext.applicationId
     if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="alertflow-")
-    return _local_folders[application]
+        _local_folders[application] = tempfile.TemporaryDirectory(prefix="alertflow-", ignore_cleanup_errors=True)
+    return _local_folders[application].name
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -47,11 +47,11 @@ def test_word_lists(spark):
 
 
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
-@pytest.mark.parametrize("salts", [1, 5])
-def test_term_table_agrees_with_word_lists(spark, threshold, salts):
+@pytest.mark.parametrize("key", [None, ["id"], ["id", "text"]])
+def test_term_table_agrees_with_word_lists(spark, threshold, key):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        df = extraction.extract_with_table(texts(spark), term_table(spark), salts=salts)
+        df = extraction.extract_with_table(texts(spark), term_table(spark), key=key)
         assert result(df) == FOUND
         assert df.count() == len(TEXTS)
     finally:
@@ -85,6 +85,15 @@ def test_country_is_added_to_known_places_only(spark, threshold):
     assert got == ["Texas, USA", "Bavaria, Germany", "Paris", "None", None, "Texas, USA"]
 
 
+def test_places_of_any_number_with_the_default_threshold(spark):
+    """A table whose file is small and whose rows are not; nothing is copied before it is sent."""
+    places = spark.range(700_000).select(F.concat(F.lit("p"), "id").alias("place"), F.lit("c").alias("country"))
+    df = spark.range(1000).select(F.concat(F.lit("p"), F.col("id") * 1000).alias("location"))
+    got = extraction.enrich_location(df, places)
+    assert got.filter(F.col("location").endswith(", c")).count() == 700
+    assert got.count() == 1000
+
+
 def test_requests(spark):
     got = extraction.build_requests(texts(spark), "Say: {text}!").orderBy("id").first()
     assert tuple(got) == ("1", "Say: Flood in Houston, Texas!")

@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from alertflow.functions import codec
 from alertflow.operators import messages, reports, scoring
 
-# Five short texts for a first look at a scorer.
 SAMPLE = [
-    ("1", "Earthquake hits California"),
-    ("2", "Beautiful day at the park"),
-    ("3", "Flood warning issued"),
-    ("4", "Going to the movies"),
-    ("5", "Wildfire spreads rapidly"),
+    ("1", "the earthquake woke the whole street"),
+    ("2", "tea with the neighbours"),
+    ("3", "FLOOD at the lower bridge"),
+    ("4", "new shoes and old songs"),
+    ("5", "a wildfire behind the ridge road"),
 ]
 
 LEXICON = scoring.LexiconScorer(("earthquake", "flood", "wildfire"), weight=4.0)
@@ -33,6 +32,17 @@ def test_in_memory_rows_through_the_word_list(spark):
     assert reports.positive_count(scored).collect()[0].n_positive == 3
 
 
+@pytest.mark.parametrize("key", [None, ["id"]])
+def test_a_word_table_agrees_with_the_word_list(spark, key):
+    rows = [*SAMPLE, ("6", "flood, flood and Wildfire"), ("6", "flood, flood and Wildfire"), ("7", " "), ("8", None)]
+    df = sample(spark, rows)
+    terms = spark.createDataFrame([(t,) for t in (*LEXICON.terms, "flood")], "term string")
+    by_table = scoring.score_with_table(df, terms, LEXICON.weight, LEXICON.bias, key=key)
+    by_list = scoring.score_text(df, LEXICON)
+    assert by_table.columns == by_list.columns
+    assert sorted(map(str, by_table.collect())) == sorted(map(str, by_list.collect()))
+
+
 def test_blank_texts_score_zero(spark):
     rows = [("a", None), ("b", ""), ("c", " 　\n"), ("d", "flood")]
     got = {r.id: (r.prediction, r.confidence, r.ok) for r in scoring.score_text(sample(spark, rows), LEXICON).collect()}

@@ -15,8 +15,8 @@ CSV = (
 ROWS = [
     ("1", "", "", 'He said "fire", run'),
     ("2", "k", "Here, there", "two\nlines"),
-    ("3", "k", "", None),
-    ("4", "k", "", None),
+    ("3", "k", "", ""),
+    ("4", "k", "", ""),
     ("5", "feu", "Orléans", " spaces kept "),
 ]
 

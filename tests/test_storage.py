@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 
 from alertflow.functions.times import as_moment
 from alertflow.operators import reports, storage
+from alertflow.schemas import DATABASE_TYPES
 from alertflow.sinks import stores
 from alertflow.sources import store
 
 SENT = datetime(2024, 1, 1, 12, 30)
 ALERT_DDL = "id string, text string, disaster string, location string, confidence double, kafka_timestamp timestamp_ntz"
 
-# Alerts used to try out a store.
 SAMPLES = [
-    ("test_001", "Earthquake hits the city causing major damage", "earthquake", "San Francisco", 0.9567, SENT),
-    ("test_002", "Flood warning issued for the area", "flood", "Houston", 0.8934, SENT),
-    ("test_003", "Wildfire spreading rapidly", "wildfire", "California", 0.9123, SENT),
+    ("m1", "the ground shook for a minute", "quake", "Lisbon", 0.95671, SENT),
+    ("m2", "water is over the lower bridge", "flood", "Leer", 0.81, SENT),
+    ("m3", "smoke behind the ridge road", "wildfire", "Evora", 0.9209, SENT),
 ]
 
 
@@ -38,9 +38,9 @@ def test_names_types_and_stamps(spark):
     df = stored(spark, SAMPLES)
     got = df.orderBy("tweet_id").collect()
     assert [(r.tweet_id, r.disaster_type, r.location, r.confidence) for r in got] == [
-        ("test_001", "earthquake", "San Francisco", Decimal("0.9567")),
-        ("test_002", "flood", "Houston", Decimal("0.8934")),
-        ("test_003", "wildfire", "California", Decimal("0.9123")),
+        ("m1", "quake", "Lisbon", Decimal("0.9567")),
+        ("m2", "flood", "Leer", Decimal("0.8100")),
+        ("m3", "wildfire", "Evora", Decimal("0.9209")),
     ]
     assert len({r.processing_timestamp for r in got}) == 1
     assert all(r.processing_timestamp == r.created_at for r in got)
@@ -132,12 +132,12 @@ def test_files_read_back_whole_and_prune(spark, tmp_path):
     assert "event_day" in plan_of(ranged).split("PartitionFilters: [")[1].split("]")[0]
 
     typed = reports.by_type(read, "flood")
-    assert [r.tweet_id for r in typed.collect()] == ["test_002"]
+    assert [r.tweet_id for r in typed.collect()] == ["m2"]
     assert "EqualTo(disaster_type,flood)" in plan_of(typed)
     assert "EqualTo(location,None)" in plan_of(reports.by_location(read, "None"))
     assert [r.tweet_id for r in reports.by_location(read, "None").collect()] == ["b"]
     assert "GreaterThanOrEqual(confidence,0.9000)" in plan_of(reports.confident(read, 0.9))
-    assert sorted(r.tweet_id for r in reports.confident(read, 0.9).collect()) == ["test_001", "test_003"]
+    assert sorted(r.tweet_id for r in reports.confident(read, 0.9).collect()) == ["m1", "m3"]
 
 
 def test_folders_by_type(spark, tmp_path):
@@ -148,7 +148,7 @@ def test_folders_by_type(spark, tmp_path):
     read = store.read_files(spark, path, by_type=True)
     same = ["tweet_id", "text", "disaster_type", "row_key"]
     assert sorted(map(str, read.select(same).collect())) == sorted(map(str, rows.select(same).collect()))
-    for kind, expected in {"flood": ["test_002"], "": ["a"], "None": ["c"], "x/y=z": ["d"], "absent": []}.items():
+    for kind, expected in {"flood": ["m2"], "": ["a"], "None": ["c"], "x/y=z": ["d"], "absent": []}.items():
         found = reports.by_type(read, kind)
         assert [r.tweet_id for r in found.collect()] == expected
         assert "type_folder" in plan_of(found).split("PartitionFilters: [")[1].split("]")[0]
@@ -193,7 +193,7 @@ def test_catalog_table(spark):
     table = store.read_table(spark, "predictions")
     assert table.count() == 4
     assert dict(table.dtypes)["confidence"] == "decimal(5,4)"
-    assert reports.by_type(table, "earthquake").count() == 2
+    assert reports.by_type(table, "quake").count() == 2
     spark.sql("DROP TABLE predictions")
 
 
@@ -231,9 +231,13 @@ def test_database_writes(spark, monkeypatch):
         assert seen == {
             "format": "jdbc", "mode": "append", "saved": True, "url": f"jdbc:{kind}://host/db",
             "dbtable": "predictions", "user": "u", "batchsize": "10000", "numPartitions": "32",
-            "isolationLevel": "READ_COMMITTED",
+            "isolationLevel": "READ_COMMITTED", "createTableColumnTypes": DATABASE_TYPES,
         }
     seen.clear()
+    more = {"column_types": None, "truncate": "true", "row_key": False}
+    stores.write_store(stored(spark, SAMPLES), "jdbc", url="jdbc:x://host/db", table="t", **more)
+    assert seen["truncate"] == "true" and "createTableColumnTypes" not in seen
+    seen.clear()
     stores.write_store(alerts(spark, SAMPLES), "mongodb", uri="mongodb://h", database="d", collection="c")
     assert seen == {
         "format": "mongodb", "mode": "append", "saved": True,

@@ -1,15 +1,18 @@
 import time
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import plan_of
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from alertflow.operators import messages, reports, storage
 from alertflow.operators.extraction import DictionaryExtractor
-from alertflow.operators.scoring import LexiconScorer
-from alertflow.plans.alerts import alerts, scored_messages
+from alertflow.operators.scoring import LexiconScorer, model_scorer
+from alertflow.plans.alerts import alerts, failed_rows, scored_messages
+from alertflow.schemas import ALERT, STORED
+from alertflow.sinks import stores
 from alertflow.sources import store, topics
 from alertflow.streaming import jobs, scratch
 
@@ -137,7 +140,9 @@ def test_run_all_raises_the_failure_of_any_query(spark, topic, tmp_path):
 
 def test_a_batch_written_twice_is_there_once(spark, topic, tmp_path):
     path, bad_path = str(tmp_path / "store"), str(tmp_path / "quarantine")
-    write = jobs.file_batch_writer(path, bad_path)
+    run = jobs.run_id(spark, str(tmp_path / "checkpoint"))
+    assert run == jobs.run_id(spark, str(tmp_path / "checkpoint"))
+    write = jobs.file_batch_writer(path, bad_path, run)
     df = found(spark.read.parquet(topic))
     too_long = df.withColumn("location", F.repeat(F.lit("x"), 201))
     for batch_id, part in [(0, df), (1, df), (1, df), (2, too_long), (2, too_long)]:
@@ -146,17 +151,94 @@ def test_a_batch_written_twice_is_there_once(spark, topic, tmp_path):
     assert counts == {0: 2, 1: 2}
     assert spark.read.parquet(bad_path).count() == 2
 
+    other = jobs.run_id(spark, str(tmp_path / "other"))
+    assert other != run
+    jobs.file_batch_writer(path, bad_path, other)(df, 0)
+    stored = store.read_files(spark, path)
+    assert stored.count() == 6
+    assert stored.columns == [*STORED.names, "event_day"]
+
+
+def test_reports_agree_on_the_output_of_every_writer(spark, topic, tmp_path):
+    df = found(spark.read.parquet(topic))
+    kept = storage.storage_rows(storage.checked(df))
+    paths = {kind: str(tmp_path / kind) for kind in ("batch", "files", "stream", "types")}
+    jobs.file_batch_writer(paths["batch"], str(tmp_path / "bad"), "r")(df, 0)
+    stores.write_store(kept, "files", path=paths["files"])
+    stores.write_store(kept, "files", path=paths["types"], by_type=True)
+    jobs.wait(jobs.start_store(found(stream(spark, topic)), paths["stream"], str(tmp_path / "c"), every=None))
+    seen = set()
+    for kind, path in paths.items():
+        read = store.read_store(spark, "files", path=path, by_type=kind == "types")
+        ranged = reports.time_range(read, datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 30))
+        zoned = reports.time_range(
+            read,
+            datetime(2024, 1, 1, 2, tzinfo=timezone(timedelta(hours=2))),
+            datetime(2023, 12, 31, 19, 30, tzinfo=timezone(timedelta(hours=-5))),
+        )
+        views = [ranged, zoned, reports.by_type(read, "flood"), reports.by_location(read, "houston")]
+        views += [reports.latest_predictions(read).drop("processing_timestamp"), reports.top_confidence(read)]
+        same = [c for c in kept.columns if c not in ("processing_timestamp", "created_at")]
+        seen.add(tuple(str(rows(v.select(*[c for c in same if c in v.columns]))) for v in views))
+    (only,) = seen
+    assert only[0] == only[1] == only[2] != "[]"
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_documents_keep_their_message_time(spark, topic, tmp_path, zone):
+    expected = rows(found(spark.read.parquet(topic)).select("id", "kafka_timestamp"))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = found(spark.read.parquet(topic))
+        stores.write_store(df, "json", path=str(tmp_path / "documents"))
+        jobs.wait(jobs.start_files(found(stream(spark, topic)), str(tmp_path / "out"), str(tmp_path / "c"), every=None))
+        documents = store.read_store(spark, "json", path=str(tmp_path / "documents"))
+        assert rows(documents.select("id", "kafka_timestamp")) == expected
+        assert rows(spark.read.schema(ALERT).json(str(tmp_path / "out")).select("id", "kafka_timestamp")) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("broken", ["fire", ""])
+def test_failures_are_counted_and_kept(spark, topic, broken):
+    """A model that fails on some rows, and one that fails on all."""
+
+    def load():
+        def predict(texts):
+            if any(broken in t for t in texts):
+                raise ValueError("cannot read this")
+            return [1] * len(texts), [0.9] * len(texts)
+
+        return predict
+
+    good = spark.read.parquet(topic)
+    bad = good.limit(1).withColumn("value", F.lit("no json").cast("binary"))
+    sent = good.unionByName(bad)
+    failed = failed_rows(sent, model_scorer(load))
+    expected = [("undecodable", None, "no json")]
+    texts = ["Flood in Houston", "a park", "fire! fire!", "Texas", "not"]
+    ids = ["0-0", "0-1", "1-0", "1-1", "2-0"]
+    expected += [("prediction_failed", i, t) for i, t in zip(ids, texts) if broken in t]
+    assert sorted(map(str, expected)) == sorted(str((r.reason, r.id, r.payload)) for r in failed.collect())
+    counters = Observation("scores")
+    kept = alerts(sent, model_scorer(load), EXTRACTOR, counters)
+    assert len(kept.collect()) == 5 - (len(expected) - 1)
+    assert counters.get["n_failed"] == len(expected) - 1
+
 
 def test_a_half_written_database_batch_is_completed(spark, topic, tmp_path):
     """Files stand in for the database table."""
     path = str(tmp_path / "table")
     once = found(spark.read.parquet(topic))
     df = once.unionAll(once).unionAll(once)
-    half = storage.storage_rows(storage.checked(once)).withColumn("batch_id", F.lit(7))
+    half = storage.storage_rows(storage.checked(once)).withColumns({"run": F.lit("a"), "batch_id": F.lit(7)})
     half.unionAll(half.orderBy("tweet_id").limit(1)).write.parquet(path)
-    write = jobs.jdbc_batch_writer(
-        lambda session: session.read.parquet(path), lambda rows: rows.write.mode("append").parquet(path)
-    )
+    def writer(run):
+        return jobs.jdbc_batch_writer(
+            lambda session: session.read.parquet(path), lambda rows: rows.write.mode("append").parquet(path), run
+        )
+
+    write = writer("a")
     for _ in range(2):
         write(df, 7)
         table = spark.read.parquet(path)
@@ -164,6 +246,8 @@ def test_a_half_written_database_batch_is_completed(spark, topic, tmp_path):
         assert table.columns == half.columns
     write(df, 8)
     assert spark.read.parquet(path).groupBy("batch_id").count().orderBy("batch_id").collect() == [(7, 6), (8, 6)]
+    writer("b")(df, 7)
+    assert spark.read.parquet(path).groupBy("run").count().orderBy("run").collect() == [("a", 12), ("b", 6)]
 
 
 def test_closed_windows_of_a_stream(spark, tmp_path):

@@ -28,9 +28,9 @@ def test_blank_agrees_with_python_for_every_character(spark):
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(ALPHABET, max_size=60), min_size=1, max_size=40))
-def test_term_functions_agree_with_python_in_both_forms(spark, values):
+def test_term_functions_agree_with_python_for_short_and_long_lists(spark, values):
     text = F.col("text")
-    many = TERMS + [f"zz{i}" for i in range(txt.MAX_REGEX_TERMS)]
+    many = TERMS + [f"zz{i}" for i in range(5_001)]
     got = column(
         spark,
         values,
@@ -55,8 +55,13 @@ def test_term_lists_are_checked():
         txt.count_terms(F.lit("x"), [])
     with pytest.raises(ValueError, match="tokens"):
         txt.first_term(F.lit("x"), ["two words"])
-    with pytest.raises(ValueError, match="extract_with_table"):
-        txt.count_terms(F.lit("x"), [f"t{i}" for i in range(txt.MAX_INLINE_TERMS + 1)])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.text("ab1", min_size=1, max_size=5), min_size=1, max_size=40), st.text("ab1 ", max_size=20))
+def test_the_regex_finds_exactly_the_listed_tokens(terms, text):
+    found = [m.group(1) for m in re.finditer(txt._whole_token(txt._checked(sorted(terms))), text)]
+    assert found == [t for t in text.split() if t in terms]
 
 
 def test_previews_cut_by_characters(spark):
