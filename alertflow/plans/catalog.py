@@ -97,21 +97,26 @@ def timed(rows: DataFrame) -> DataFrame:
 
 def shown(stored: DataFrame) -> DataFrame:
     """Stored rows without the clock column, decimals as doubles."""
-    return stored.drop("created_at", "event_day").withColumn("confidence", F.col("confidence").cast("double"))
+    return stored.drop("created_at", "event_day", "type_folder").withColumn("confidence", F.col("confidence").cast("double"))
 
 
-_stores: dict[tuple[str, str], str] = {}
+_stores: dict[tuple[str, str, bool], str] = {}
 
 
-def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The alert store of this table folder, written once per session and then read."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stores:
-        path = new_folder(spark, "store")
-        rows = storage.storage_rows(storage.checked(timed(main_alerts(spark, sf_dir))))
-        stores.write_store(rows, "files", path=path)
-        _stores[key] = path
-    return store.read_files(spark, _stores[key])
+def write_alert_store(spark: SparkSession, sf_dir: str, by_type: bool = False) -> str:
+    """Write the alerts of this table folder to a new store, which the reports of the session then share."""
+    path = new_folder(spark, "store")
+    rows = storage.storage_rows(storage.checked(timed(main_alerts(spark, sf_dir))))
+    stores.write_store(rows, "files", path=path, by_type=by_type)
+    _stores[spark.sparkContext.applicationId, sf_dir, by_type] = path
+    return path
+
+
+def stored_alerts(spark: SparkSession, sf_dir: str, by_type: bool = False) -> DataFrame:
+    """The last store written in this session, or a first one."""
+    path = _stores.get((spark.sparkContext.applicationId, sf_dir, by_type))
+    path = path or write_alert_store(spark, sf_dir, by_type)
+    return store.read_store(spark, "files", path=path, by_type=by_type)
 
 
 # Sources
@@ -418,7 +423,8 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(stored_alerts(spark, sf_dir))
+    path = write_alert_store(spark, sf_dir)
+    return shown(store.read_store(spark, "files", path=path))
 
 
 @registered
@@ -450,7 +456,7 @@ def latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(reports.by_type(stored_alerts(spark, sf_dir), st.ONE_TYPE))
+    return shown(reports.by_type(stored_alerts(spark, sf_dir, by_type=True), st.ONE_TYPE))
 
 
 @registered

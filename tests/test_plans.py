@@ -67,6 +67,11 @@ def test_counts_combine_before_the_shuffle(spark, sf_dir):
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
 
 
+def test_by_type_reads_one_folder(spark, sf_dir):
+    plan = plan_of(catalog.by_type(spark, sf_dir))
+    assert "type_folder" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_look_ups_are_broadcast_by_size_only(spark, sf_dir):
     places = spark.createDataFrame([("a", "b")], "place string, country string")
     df = spark.range(10).select(F.col("id").cast("string").alias("location"))
