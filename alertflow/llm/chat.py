@@ -61,29 +61,34 @@ def branches(messages: DataFrame, keep: int | None = None) -> DataFrame:
     jump = base.join(known, ["tree", "parent"], "left").select(
         "tree", "node", F.when(F.col("_known"), F.col("parent")).alias("up"), "score"
     )
-    jumps = [written(jump, "jumps")]
+    first = written(jump, "jumps")
+    open_up = F.col("up").isNotNull()
+    # A message at its root is done: only the others are joined again, so a long tree costs short ones nothing.
+    done, jumps = first.filter(~open_up), [first.filter(open_up)]
     longest = messages.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
     # In a circle there is always a message further up, so the longest tree ends the doubling too.
-    while 2 ** (len(jumps) - 1) <= longest and not jumps[-1].filter(F.col("up").isNotNull()).isEmpty():
-        jump = jumps[-1]
-        above = jump.select("tree", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("score").alias("_more"))
-        jump = jump.join(above, ["tree", "up"], "left").select(
-            "tree", "node", F.col("_up").alias("up"), (F.col("score") + F.coalesce("_more", F.lit(0.0))).alias("score")
+    while 2 ** (len(jumps) - 1) <= longest and not jumps[-1].isEmpty():
+        above = done.unionByName(jumps[-1]).select(
+            "tree", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("score").alias("_more")
         )
-        jumps.append(written(jump, "jumps"))
+        jump = jumps[-1].join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("_up").alias("up"), (F.col("score") + F.col("_more")).alias("score")
+        )
+        jump = written(jump, "jumps")
+        done = done.unionByName(jump.filter(~open_up))
+        jumps.append(jump.filter(open_up))
     parents = base.select("tree", F.col("parent").alias("node")).distinct()
-    leaves = jumps[-1].filter(F.col("up").isNull()).join(parents, ["tree", "node"], "left_anti")
+    leaves = done.join(parents, ["tree", "node"], "left_anti")
     if keep is not None:
         best = Window.partitionBy("tree").orderBy(F.desc("score"), "node")
         leaves = leaves.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= keep)
     found = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("position"))
+    found = written(found, "paths")
     for k, step in enumerate(jumps[:-1]):
-        found = written(found, "paths")
-        up = step.filter(F.col("up").isNotNull()).select("tree", "node", "up")
-        reached = found.join(up, ["tree", "node"]).select(
+        reached = found.join(step.select("tree", "node", "up"), ["tree", "node"]).select(
             "tree", "leaf", F.col("up").alias("node"), (F.col("position") - 2**k).alias("position")
         )
-        found = found.unionByName(reached)
+        found = found.unionByName(written(reached, "paths"))
     return found
 
 
