@@ -7,7 +7,7 @@ Reading groups the segments by origin, orders them by number, checks the total l
 the HTTP head and the chunked transfer framing.
 
 Defined results: a null payload is empty and has a record without chunks but the last; a repeated segment
-counts once; a record with a missing segment, a wrong total length or broken framing is kept, with
+counts once, a record without segments as often as it is stored; a record with a missing segment, a wrong total length or broken framing is kept, with
 ``problem`` saying so and a null payload; revisits have no payload of their own; equal rows get
 records of their own; an empty table gives an empty archive and no records.
 """
@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from alertflow.llm.common import written
+
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -117,8 +119,10 @@ def record(kind: str, name: str, head: list[str], block: bytes) -> bytes:
     return VERSION.encode() + "\r\n".join(lines).encode() + block
 
 
-def write_archive(rows: DataFrame, folder: str, **sizes) -> None:
-    records(rows, **sizes).write.option("lineSep", END).text(folder)
+def write_archive(rows: DataFrame, folder: str, file_records: int = 100_000, **sizes) -> None:
+    """Compressed files of at most ``file_records`` records, since a compressed file is read by one task."""
+    out = records(rows, **sizes).write.option("lineSep", END).option("maxRecordsPerFile", file_records)
+    out.text(folder, compression="gzip")
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,7 +141,10 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     head_bytes = F.octet_length(F.substring_index(text, "\r\n\r\n", 1)) + 4
     sized = pieces.withColumn("need", head_bytes + F.when(declared != "", declared).cast("long") + len(END))
     whole = F.col("need").eqNullSafe(F.octet_length("piece").cast("long"))
-    torn = sized.filter(~whole).select("file").distinct()
+    # Known before the pieces are read, so that archives without such files shuffle none.
+    torn = written(sized.filter(~whole).select("file").distinct(), "torn")
+    if torn.isEmpty():
+        return sized.select("piece").mapInPandas(_parse, RECORD)
     good = sized.join(torn, "file", "left_anti").select("piece")
     narrow = sized.join(torn, "file").select("file", "block", "line", "need", F.octet_length("piece").cast("long").alias("size"))
 
@@ -176,20 +183,23 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 (
                     fields.get("warc-segment-origin-id") or fields.get("warc-record-id"), fields.get("warc-type"),
                     fields.get("warc-target-uri"), fields.get("warc-payload-digest", "").removeprefix("sha1:"),
-                    fields.get("warc-refers-to"), int(fields.get("warc-segment-number") or 1),
+                    fields.get("warc-refers-to"),
+                    int(fields["warc-segment-number"]) if "warc-segment-number" in fields else None,
                     int(fields["warc-segment-total-length"]) if "warc-segment-total-length" in fields else None,
                     block[:size],
                 )
             )
-        yield pd.DataFrame(rows, columns=names).astype({"total": "Int64"})
+        yield pd.DataFrame(rows, columns=names).astype({"segment": "Int64", "total": "Int64"})
 
 
 def reassemble(segments: DataFrame) -> DataFrame:
     """(name, type, uri, digest, refers_to, payload, problem): segments put together by origin.
 
-    Grouped by origin identifier, ordered by segment number, checked against the total length.
+    Grouped by origin identifier, ordered by segment number, checked against the total length. Records
+    without a segment number are whole and stay where they are.
     """
-    grouped = segments.groupBy("name").agg(
+    single = F.col("segment").isNull() & ~F.col("type").eqNullSafe("continuation")
+    grouped = segments.filter(~single).groupBy("name").agg(
         F.max(F.when(F.col("type") != "continuation", F.col("type"))).alias("type"),
         F.max("uri").alias("uri"), F.max("digest").alias("digest"), F.max("refers_to").alias("refers_to"),
         F.max("total").alias("total"),
@@ -222,7 +232,8 @@ def reassemble(segments: DataFrame) -> DataFrame:
 
     columns = ["name", "type", "uri", "digest", "refers_to", "block", "problem"]
     schema = "name string, type string, uri string, digest string, refers_to string, problem string, payload binary"
-    return joined.select(*columns).mapInPandas(decode, schema)
+    alone = segments.filter(single).withColumn("block", F.col("content")).withColumn("problem", F.lit(None).cast("string"))
+    return alone.select(*columns).unionByName(joined.select(*columns)).mapInPandas(decode, schema)
 
 
 def payload_facts(found: DataFrame) -> DataFrame:
@@ -234,6 +245,7 @@ def payload_facts(found: DataFrame) -> DataFrame:
         "name", "type", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha1("payload").alias("payload_digest"),
     )
+    own = written(own, "facts")
     original = own.filter("type <> 'revisit'").select(
         F.col("name").alias("refers_to"), F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest")
     )
