@@ -31,7 +31,7 @@ from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alertflow.llm.common import components, drop, place_map, written
@@ -49,6 +49,9 @@ ENTRY_COST = 4
 #: Rounds with leaders go on while pairs of open lists are more than so many times their entries.
 PAIRS_PER_ENTRY = 4
 ROUNDS = 2
+#: Places past the first possible one at which shared shingles are counted: more of them rule out more pairs
+#: before their sets are compared, but make more rows for each pair. No link depends on it.
+MORE_PLACES = 0
 
 U = np.uint64
 
@@ -230,28 +233,43 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> Data
     return pairs.join(one, "src").join(two, "dst").mapInPandas(check, "src long, dst long")
 
 
-def _possible(met: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Distinct pairs (src, dst) of ``met`` (a, n, i, b, m, j per shared list) that may link.
+def _met_early(met: DataFrame, share: tuple[int, int], more: int) -> DataFrame:
+    """The rows of ``met`` whose shared shingle stands early enough in both sets, with the smaller node first.
 
-    After the last list that two sets share, at places i and j, they can share no more than what is left
-    of either; and past the end of the prefix that ends first, no more than what is left of that set.
+    Sets that link share at least so many shingles that the first lies no later than what they may lack
+    of each other. Shingles up to ``more`` places later are counted too; ``after`` is what can be shared
+    past the places that count.
     """
     a, b = share
-    n, m, i, j, both = (F.col(c) for c in ("n", "m", "i", "j", "both"))
+    n, m, i, j = (F.col(c) for c in ("n", "m", "i", "j"))
     turned = F.col("a") > F.col("b")
-    pairs = met.select(
+    least = F.ceil((n + m) * a / (a + b))
+
+    def counted(size: Column) -> Column:
+        return F.least(size - F.ceil(size * a / b) + 1, size - least + 1 + more)
+
+    early = met.filter((F.least(n, m) * b >= F.greatest(n, m) * a) & (i < counted(n)) & (j < counted(m)))
+    return early.select(
         F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"),
         *(F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("n", "m"), ("i", "j"))),
         *(F.when(turned, F.col(x)).otherwise(F.col(y)).alias(y) for x, y in (("n", "m"), ("i", "j"))),
+        F.greatest(n - counted(n), m - counted(m)).alias("after"),
     )
-    pairs = pairs.filter(F.least("n", "m") * b >= F.greatest("n", "m") * a)
-    counted = pairs.groupBy("src", "dst").agg(
-        F.count(F.lit(1)).alias("both"), F.first("n").alias("n"), F.first("m").alias("m"), F.max("i").alias("i"), F.max("j").alias("j")
-    )
-    after_last = F.least(n - i, m - j) - 1
-    least_n, least_m = F.ceil(n * a / b), F.ceil(m * a / b)
-    after_prefix = F.greatest(least_n, least_m) - 1
-    most = both + F.least(after_last, after_prefix)
+
+
+def _possible(met: DataFrame, share: tuple[int, int], more: int = MORE_PLACES) -> DataFrame:
+    """Distinct pairs (src, dst) of ``met`` (a, n, i, b, m, j per shared list) that may link.
+
+    After the last list that two sets share, at places i and j, they can share no more than what is left
+    of either; and past the places that count, no more than ``after``.
+    """
+    a, b = share
+    n, m, i, j = (F.col(c) for c in ("n", "m", "i", "j"))
+    counted = _met_early(met, share, more).groupBy("src", "dst").agg(
+        F.count(F.lit(1)).alias("both"), F.first("n").alias("n"), F.first("m").alias("m"),
+        F.max("i").alias("i"), F.max("j").alias("j"), F.first("after").alias("after"),
+    )
+    most = F.col("both") + F.least(n - i - 1, m - j - 1, "after")
     return counted.filter(most * (a + b) >= (n + m) * a).select("src", "dst")
 
 
