@@ -5,7 +5,8 @@ ranked by score, and the messages of each chosen branch become one text with a l
 
 Defined results: a null text or role is empty; a message whose parent is missing is a root; rows
 repeated in full are messages of their own when they come from ``turns_as_tree``, while a repeated
-(tree, node) in ``format_trees`` is refused by no check and gives one turn per row. Messages whose
+(tree, node) in ``format_trees`` is refused by no check and gives one turn per row. All messages of the
+null tree are one conversation, as in a GROUP BY. Messages whose
 parents run in a circle have no root and belong to no branch. Ties of score go to the smaller node.
 An empty table gives no rows. Other columns are ignored.
 """
@@ -50,12 +51,22 @@ def turns_as_tree(turns: DataFrame) -> DataFrame:
     )
 
 
+def _keyed(messages: DataFrame) -> DataFrame:
+    """``messages`` with the tree inside a struct, which is never null: joins by equality keep the null tree."""
+    return messages.withColumn("tree", F.struct(F.col("tree").alias("id")))
+
+
 def branches(messages: DataFrame, keep: int | None = None) -> DataFrame:
     """(tree, leaf, node, position): the messages of the ``keep`` best branches of each tree, or of all.
 
     ``messages`` has tree, node, parent and score. Reach doubles with each self-join, so their number
     is the logarithm of the longest branch; nothing of a tree meets in one task.
     """
+    return _branches(_keyed(messages), keep).withColumn("tree", F.col("tree.id"))
+
+
+def _branches(messages: DataFrame, keep: int | None) -> DataFrame:
+    """``branches`` of messages that are keyed, with their keyed trees."""
     base = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = base.select("tree", F.col("node").alias("parent")).distinct().withColumn("_known", F.lit(True))
     jump = base.join(known, ["tree", "parent"], "left").select(
@@ -98,10 +109,11 @@ def format_trees(messages: DataFrame, keep: int | None = None, learn: str = "ass
     ``loss_spans`` holds (start, length) in code points of ``formatted`` for each text of the role
     ``learn``. A conversation is one row and so has to fit into a task.
     """
+    messages = _keyed(messages)
     texts = messages.select(
         "tree", "node", F.coalesce("role", F.lit("")).alias("role"), escape(F.coalesce("text", F.lit(""))).alias("text")
     )
-    turn = branches(messages, keep).join(texts, ["tree", "node"])
+    turn = _branches(messages, keep).join(texts, ["tree", "node"])
     head = F.concat(F.lit(START), escape(_one_line(F.col("role"))), F.lit("\n"))
     turn = turn.select(
         "tree", "leaf", "position", F.concat(head, "text", F.lit(f"{END}\n")).alias("piece"),
@@ -117,7 +129,7 @@ def format_trees(messages: DataFrame, keep: int | None = None, learn: str = "ass
         lambda t: F.struct((t["_at"] + t["_head"]).cast("long").alias("start"), t["_text"].cast("long").alias("length")),
     )
     return rows.select(
-        "tree", "leaf", F.concat_ws("", F.transform("turns", lambda t: t["piece"])).alias("formatted"),
+        F.col("tree.id").alias("tree"), "leaf", F.concat_ws("", F.transform("turns", lambda t: t["piece"])).alias("formatted"),
         spans.alias("loss_spans"),
     )
 

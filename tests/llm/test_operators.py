@@ -2,9 +2,12 @@
 
 import hashlib
 import re
+import shutil
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from compare import difference, sql_rows
 from pyspark.sql import functions as F
@@ -52,6 +55,17 @@ def test_chat_branches_and_escapes(spark):
     assert best == {(1, 4), (2, 9)}
 
 
+def test_chat_keeps_the_null_conversation(spark, sf_dir, tmp_path):
+    rows = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (None, 2, "user", None), (5, 0, "user", "c"), (5, 1, "assistant", "d")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for table in Path(sf_dir).iterdir():
+        shutil.copyfile(table, tmp_path / table.name)
+    pq.write_table(turns.toArrow(), tmp_path / "conversations.parquet")
+    assert difference(spark, str(tmp_path), QUERIES["op1_chat"], ORACLE["op1_chat"]) is None
+    found = {(r.tree, r.leaf, r.node, r.position) for r in chat.branches(chat.turns_as_tree(turns)).collect()}
+    assert found == {(None, 3, 1, -2), (None, 3, 2, -1), (None, 3, 3, 0), (5, 2, 1, -1), (5, 2, 2, 0)}
+
+
 def test_warc_segments_and_problems(spark, tmp_path):
     payloads = [b"", b"x" * 5000, bytes(range(256)) * 3, b"a WARC/1.1\r\n b" * 40]
     rows = spark.createDataFrame(
