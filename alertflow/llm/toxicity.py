@@ -7,10 +7,10 @@ evidence is the difference of its two log-likelihoods; a document is compared by
 character, over the whole text and over its strongest window of words, and two numbers are turned
 into a probability by a logistic curve fitted on labelled rows kept out of the counts.
 
-Counts are made by Spark over all labelled rows. What tasks get is one array of hashes and one
-of values, of at most ``ENTRIES`` entries: if there are more, those with the smallest counts are left
-to the backoff, as count cut-offs do in language models. ``CALIBRATION_ROWS`` is about how many labelled
-rows, those of lowest text hash, the curve is fitted to on the driver: two numbers and a label of each.
+Counts are made by Spark over all labelled rows, and all are kept, in written tables: documents are
+dealt in blocks, and the distinct n-grams of each block are joined with the counts. ``CALIBRATION_ROWS`` is
+about how many labelled rows, those of lowest text hash, the curve is fitted to on the driver: two numbers and
+a label of each.
 
 Defined results: null and empty texts and texts without words get the evidence 0, and so the score
 that the curve has there; words are runs of letters, digits and underscores in lower case; a document
@@ -21,28 +21,30 @@ other columns are carried along.
 
 from __future__ import annotations
 
-import math
+import itertools
 import re
-import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from alertflow.llm.common import drop, likely_in, written
 
 ORDER = 5
 DISCOUNT = 0.75
-#: Most entries of a broadcast model, 12 bytes each; about 100 in a task's table.
-ENTRIES = 1_500_000
 WINDOW = 32
 CALIBRATION_ROWS = 20_000
-#: Entries after which a task hands on its counts or empties its memory of words.
+#: Entries after which a task hands on its counts or ends its block of documents.
 HELD = 200_000
+#: Documents after which a block ends.
+BLOCK_ROWS = 4_000
 
 WORD = re.compile(r"\w+")
 
@@ -106,137 +108,192 @@ def gram_counts(words: DataFrame) -> DataFrame:
     )
 
 
-def entry(kind: str, gram: str) -> int:
-    """The key of an entry, as Spark's ``xxhash64`` has it."""
-    return xxhash.xxh64_intdigest((kind + gram).encode(), 42)
+class Counts(NamedTuple):
+    """The written tables that a model reads; each has a row for each n-gram or context it names.
 
+    ``top`` (gram, toxic, ordinary): occurrences in either class. ``after`` (context, toxic_total,
+    ordinary_total, toxic_kinds, ordinary_kinds): those of all n-grams after a context, and how many different
+    ones. ``low`` (gram, c): shared continuation counts. ``follow`` (context, total, kinds): the same of contexts.
+    """
 
-def statistics(top: DataFrame) -> DataFrame:
-    """(key, value): all counts that the models need, by the hash of their kind and n-gram.
+    top: DataFrame
+    after: DataFrame
+    low: DataFrame
+    follow: DataFrame
 
-    t, o: counts of an n-gram in toxic and ordinary text; T, O: those of its context; a, b: different
-    n-grams after a context in either. c, C, d: the shared continuation counts of a lower n-gram, of its
-    context, and its different followers.
-    """
 
-    def put(df: DataFrame, values: dict[str, Column]) -> DataFrame:
-        """A row for each named value: its kind with the n-gram hashed, and the value."""
-        pairs = (F.struct(F.concat(F.lit(kind[:1]), gram).alias("name"), F.col(kind).cast("float").alias("value")) for kind, gram in values.items())
-        rows = df.select(F.explode(F.array(*pairs)).alias("row"))
-        return rows.select(F.xxhash64("row.name").alias("key"), "row.value")
-
-    context = F.expr("substr(gram, 1, length(gram) - 1)")
-    counts = put(top.withColumnsRenamed({"toxic": "t", "ordinary": "o"}), {"t": F.col("gram"), "o": F.col("gram")})
-    after = top.groupBy(context.alias("context")).agg(
-        F.sum("toxic").alias("T"), F.sum("ordinary").alias("O"),
-        F.count(F.when(F.col("toxic") > 0, 1)).alias("a"), F.count(F.when(F.col("ordinary") > 0, 1)).alias("b"),
+def statistics(top: DataFrame) -> Counts:
+    """All counts that the models need, of every n-gram in ``top``."""
+    context = F.expr("substr(gram, 1, length(gram) - 1)").alias("context")
+    after = top.groupBy(context).agg(
+        F.sum("toxic").alias("toxic_total"), F.sum("ordinary").alias("ordinary_total"),
+        F.count(F.when(F.col("toxic") > 0, 1)).alias("toxic_kinds"), F.count(F.when(F.col("ordinary") > 0, 1)).alias("ordinary_kinds"),
     )
-    contexts = put(after, {kind: F.col("context") for kind in "TOab"})
     # Each different n-gram counts once for its end without the first character; one at a word's start
     # has itself before it.
     ends = F.transform(F.sequence(F.lit(2), F.least(F.length("gram"), F.lit(ORDER))), lambda n: F.expr("gram").substr(F.length("gram") - n + 1, n))
     longer = top.select(F.explode(ends).alias("gram")).distinct().select(F.expr("substr(gram, 2)").alias("gram"))
     starts = top.select("gram").filter((F.length("gram") < ORDER) & F.col("gram").startswith("\x02"))
-    low = longer.unionByName(starts).groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
-    low = written(low, "low")
-    follow = low.groupBy(context.alias("context")).agg(F.sum("c").alias("C"), F.count(F.lit(1)).alias("d"))
-    sized = F.concat((F.length("context") + 1).cast("string"), F.col("context"))
-    total = counts.unionByName(contexts).unionByName(put(low, {"c": F.col("gram")}))
-    total = total.unionByName(put(follow, {"C": sized, "d": sized}))
-    return total.filter("value > 0")
-
-
-def bounded(entries: DataFrame, most: int = ENTRIES) -> DataFrame:
-    """The entries with the largest values, ``most`` at most: those above the least cut-off that fits."""
-    for cut in [0, *(2**k for k in range(40))]:
-        kept = entries.filter(F.col("value") > cut)
-        if kept.count() <= most:
-            return kept
-    raise ValueError("no cut-off keeps the model within its bound")
-
-
-class Evidence:
-    """Toxic minus ordinary log-likelihood of words, from keys and their values."""
-
-    def __init__(self, model: tuple[np.ndarray, np.ndarray]):
-        self.model = model
-        self.table = dict(zip(model[0].tolist(), model[1].tolist(), strict=True))
-        self.low: dict[str, float] = {}
-        self.of_gram: dict[str, float] = {}
-        self.of_word: dict[str, float] = {}
-
-    def get(self, kind: str, gram: str) -> float:
-        return self.table.get(entry(kind, gram), 0.0)
-
-    def shared(self, gram: str) -> float:
-        """The lower orders: what both classes back off to."""
-        known = self.low.get(gram)
-        if known is None:
-            if len(self.low) > HELD:
-                self.low.clear()
-            known = self.shared(gram[1:]) if len(gram) > 1 else 1e-3
-            context = f"{len(gram)}{gram[:-1]}"
-            total = self.get("C", context)
-            if total > 0:
-                known = (max(self.get("c", gram) - DISCOUNT, 0.0) + DISCOUNT * self.get("d", context) * known) / total
-            self.low[gram] = known
-        return known
-
-    def gram(self, gram: str) -> float:
-        known = self.of_gram.get(gram)
-        if known is None:
-            low = self.shared(gram[1:] if len(gram) == ORDER else gram)
-            logs = []
-            for count, context, kinds in (("t", "T", "a"), ("o", "O", "b")):
-                total = self.get(context, gram[:-1])
-                p = low
-                if total > 0:
-                    p = (max(self.get(count, gram) - DISCOUNT, 0.0) + DISCOUNT * self.get(kinds, gram[:-1]) * low) / total
-                logs.append(math.log(max(p, 1e-12)))
-            known = self.of_gram[gram] = logs[0] - logs[1]
-        return known
-
-    def word(self, word: str) -> float:
-        known = self.of_word.get(word)
-        if known is None:
-            if len(self.of_word) > HELD:
-                self.of_word.clear()
-            if len(self.of_gram) > 5 * HELD:
-                self.of_gram.clear()
-            known = self.of_word[word] = sum(map(self.gram, grams(word)))
-        return known
-
-    def compare(self, text: str | None) -> tuple[float, float]:
-        """Evidence per character of the whole text, and of its strongest window of words."""
-        words = WORD.findall((text or "").lower())
-        if not words:
-            return 0.0, 0.0
-        logs = np.fromiter(map(self.word, words), float, len(words))
-        sizes = np.fromiter(map(len, words), float, len(words)) + 1
-        whole = logs.sum() / sizes.sum()
-        if len(words) <= WINDOW:
-            return whole, whole
-        logs, sizes = (np.concatenate([[0.0], np.cumsum(x)]) for x in (logs, sizes))
-        return whole, float(((logs[WINDOW:] - logs[:-WINDOW]) / (sizes[WINDOW:] - sizes[:-WINDOW])).max())
-
-
-#: The model that a worker process has in use; its memory of words serves task after task.
-_loaded: list[Evidence] = []
-
-
-def evidence(docs: DataFrame, model) -> DataFrame:
-    """``docs`` with ``_whole`` and ``_window``. ``model`` is the broadcast pair of arrays."""
-
-    @F.pandas_udf("whole double, window double")
-    def compare(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if not _loaded or _loaded[0].model is not model.value:
-            _loaded[:] = [Evidence(model.value)]
-        known = _loaded[0]
-        for texts in batches:
-            yield pd.DataFrame([known.compare(text) for text in texts], columns=["whole", "window"])
-
-    compared = docs.withColumn("_found", compare("text"))
-    return compared.withColumn("_whole", F.col("_found.whole")).withColumn("_window", F.col("_found.window")).drop("_found")
+    low = written(longer.unionByName(starts).groupBy("gram").agg(F.count(F.lit(1)).alias("c")), "low")
+    follow = low.groupBy(context).agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))
+    return Counts(top, written(after, "after"), low, written(follow, "follow"))
+
+
+def _smoothed(count: Column, kinds: Column, total: Column, lower: Column) -> Column:
+    """The Kneser-Ney probability of a count in its context; ``lower`` where the context is unknown."""
+    known = F.greatest(F.coalesce(count, F.lit(0)) - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds * lower
+    return F.when(total > 0, known / total).otherwise(lower)
+
+
+def shared(grams: DataFrame, counts: Counts) -> DataFrame:
+    """(gram, p): the lower orders, what both classes back off to, for each distinct ``gram`` and its ends."""
+    ends = F.transform(F.sequence(F.lit(1), F.length("gram")), lambda n: F.expr("gram").substr(F.length("gram") - n + 1, n))
+    asked = written(grams.select(F.explode(ends).alias("gram")).distinct(), "asked")
+    total, lower = None, None
+    for size in range(1, ORDER):
+        rows = asked.filter(F.length("gram") == size).withColumn("context", F.expr("substr(gram, 1, length(gram) - 1)"))
+        rows = rows.join(counts.low, "gram", "left").join(counts.follow, "context", "left")
+        if lower is None:
+            rows = rows.withColumn("_lower", F.lit(1e-3))
+        else:
+            ends = lower.select(F.col("gram").alias("_end"), F.col("p").alias("_lower"))
+            rows = rows.withColumn("_end", F.expr("substr(gram, 2)")).join(ends, "_end")
+        p = _smoothed(F.col("c"), F.col("kinds"), F.col("total"), F.col("_lower"))
+        lower = written(rows.select("gram", p.alias("p")), "lower")
+        total = lower if total is None else total.unionByName(lower)
+    return total
+
+
+def gram_evidence(grams: DataFrame, counts: Counts) -> DataFrame:
+    """(gram, value): toxic minus ordinary log-likelihood of each distinct ``gram`` of words."""
+    end = F.when(F.length("gram") == ORDER, F.expr("substr(gram, 2)")).otherwise(F.col("gram"))
+    asked = grams.withColumn("_low", end)
+    lower = shared(asked.select(F.col("_low").alias("gram")).distinct(), counts)
+    rows = asked.join(lower.select(F.col("gram").alias("_low"), "p"), "_low")
+    rows = rows.withColumn("context", F.expr("substr(gram, 1, length(gram) - 1)"))
+    rows = rows.join(counts.top, "gram", "left").join(counts.after, "context", "left")
+
+    def log(kind: str) -> Column:
+        p = _smoothed(F.col(kind), F.col(f"{kind}_kinds"), F.col(f"{kind}_total"), F.col("p"))
+        return F.log(F.greatest(p, F.lit(1e-12)))
+
+    return rows.select("gram", (log("toxic") - log("ordinary")).alias("value"))
+
+
+#: Kinds of the rows of a block, in the order in which they are read.
+GRAM, WORDS, DOC = range(3)
+
+
+def blocks(docs: DataFrame) -> DataFrame:
+    """(block, kind, name, doc, ids) from (doc, text): documents as numbers of their block's words.
+
+    A block is a run of rows of one task. It has a row for each distinct n-gram, one row for its distinct
+    words in the order of their numbers, and one for each document; it ends after ``BLOCK_ROWS`` documents, or
+    ``HELD`` words or n-grams.
+    """
+    carried = docs.schema["doc"].dataType
+    schema = StructType().add("block", "long").add("kind", "integer").add("name", "string").add("doc", carried).add("ids", "binary")
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 33
+        words: dict[str, int] = {}
+        known: set[str] = set()
+        held, kind_of_doc = 0, None
+
+        def rows(kind: int, names: list | None, doc: pa.Array | None, ids: list | None) -> pa.RecordBatch:
+            n = len(names if names is not None else ids)
+            columns = [
+                pa.array(np.full(n, block)), pa.array(np.full(n, kind, np.int32)),
+                pa.nulls(n, pa.string()) if names is None else pa.array(names, pa.string()),
+                pa.nulls(n, kind_of_doc) if doc is None else doc,
+                pa.nulls(n, pa.binary()) if ids is None else pa.array(ids, pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["block", "kind", "name", "doc", "ids"])
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            nonlocal block, held
+            yield rows(WORDS, ["\n".join(words)], None, None)
+            if known:
+                yield rows(GRAM, list(known), None, None)
+            words.clear()
+            known.clear()
+            block, held = block + 1, 0
+
+        for batch in batches:
+            doc, texts = batch.column(0), batch.column(1).to_pylist()
+            kind_of_doc, start, ids = doc.type, 0, []
+            for at, text in enumerate(texts, 1):
+                found = []
+                for word in WORD.findall((text or "").lower()):
+                    number = words.get(word)
+                    if number is None:
+                        number = words[word] = len(words)
+                        known.update(grams(word))
+                    found.append(number)
+                ids.append(np.array(found, "<u4").tobytes())
+                held += 1
+                if held >= BLOCK_ROWS or len(words) > HELD or len(known) > HELD:
+                    yield rows(DOC, None, doc.slice(start, at - start), ids)
+                    yield from closed()
+                    start, ids = at, []
+            if ids:
+                yield rows(DOC, None, doc.slice(start), ids)
+        if held:
+            yield from closed()
+
+    return docs.select("doc", "text").mapInArrow(encode, schema)
+
+
+def strongest(logs: np.ndarray, sizes: np.ndarray) -> tuple[float, float]:
+    """Evidence per character of a whole text, and of its strongest window of words, from those of its words."""
+    if not len(logs):
+        return 0.0, 0.0
+    whole = float(logs.sum() / sizes.sum())
+    if len(logs) <= WINDOW:
+        return whole, whole
+    logs, sizes = (np.concatenate([[0.0], np.cumsum(x)]) for x in (logs, sizes))
+    return whole, float(((logs[WINDOW:] - logs[:-WINDOW]) / (sizes[WINDOW:] - sizes[:-WINDOW])).max())
+
+
+def evidence(docs: DataFrame, counts: Counts) -> DataFrame:
+    """(doc, whole, window) from (doc, text): the row's struct, and the evidence of its text.
+
+    The distinct n-grams of each block of documents are joined with the counts and go back to their block, so
+    no task has more of the model than its block's n-grams, however large the model is.
+    """
+    table = written(blocks(docs), "blocks", compression="zstd")
+    of_blocks = table.filter(F.col("kind") == GRAM)
+    values = written(gram_evidence(of_blocks.select(F.col("name").alias("gram")).distinct(), counts), "values")
+    valued = of_blocks.join(values.withColumnRenamed("gram", "name"), "name").select(*table.columns, "value")
+    others = table.filter(F.col("kind") != GRAM).withColumn("value", F.lit(None).cast("double"))
+    both = valued.unionByName(others).repartition("block").sortWithinPartitions("block", "kind")
+    schema = StructType().add("doc", docs.schema["doc"].dataType).add("whole", "double").add("window", "double")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, known, logs, sizes = None, {}, np.zeros(0), np.zeros(0)
+        for batch in batches:
+            block, kind = batch.column("block").to_numpy(), batch.column("kind").to_numpy()
+            cuts = np.flatnonzero((block[1:] != block[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for start, end in itertools.pairwise([0, *cuts.tolist(), len(block)]):
+                if start == end:
+                    continue
+                if block[start] != current:
+                    current, known = block[start], {}
+                part = batch.slice(start, end - start)
+                if kind[start] == GRAM:
+                    known.update(zip(part.column("name").to_pylist(), part.column("value").to_pylist(), strict=True))
+                elif kind[start] == WORDS:
+                    words = part.column("name")[0].as_py().split("\n")
+                    words = words if words != [""] else []
+                    logs = np.array([sum(map(known.__getitem__, grams(word))) for word in words], float)
+                    sizes = np.array([len(word) + 1 for word in words], float)
+                else:
+                    numbers = (np.frombuffer(ids, "<u4") for ids in part.column("ids").to_pylist())
+                    found = np.array([strongest(logs[n], sizes[n]) for n in numbers]).reshape(-1, 2)
+                    columns = [part.column("doc"), pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc", "whole", "window"])
+
+    return both.mapInArrow(compare, schema)
 
 
 def features(whole, window) -> np.ndarray:
@@ -260,21 +317,21 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 
 
 class ToxicityModel:
-    """A fitted model: broadcast counts and the curve's weights, or a constant score."""
+    """A fitted model: the tables of counts and the curve's weights, or a constant score."""
 
-    def __init__(self, counts, weights: np.ndarray | None, constant: float):
+    def __init__(self, counts: Counts | None, weights: np.ndarray | None, constant: float):
         self.counts, self.weights, self.constant = counts, weights, constant
 
-    def score(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with ``score`` (0 to 1) and ``predicted``."""
+    def score(self, docs: DataFrame, carry: Sequence[str] | None = None) -> DataFrame:
+        """The columns ``carry`` of ``docs``, by default all, with ``score`` (0 to 1) and ``predicted``."""
+        names = docs.columns if carry is None else list(carry)
         if self.weights is None:
-            scored = docs.withColumn("score", F.lit(float(self.constant)))
+            scored = docs.select(*names).withColumn("score", F.lit(float(self.constant)))
         else:
             a, b, c = map(float, self.weights)
-            compared = evidence(docs, self.counts)
-            scored = compared.withColumn(
-                "score", 1 / (1 + F.exp(-(F.lit(a) + F.col("_whole") * 10 * b + F.col("_window") * 10 * c)))
-            ).drop("_whole", "_window")
+            compared = evidence(docs.select(F.struct(*names).alias("doc"), "text"), self.counts)
+            score = 1 / (1 + F.exp(-(F.lit(a) + F.col("whole") * 10 * b + F.col("window") * 10 * c)))
+            scored = compared.select(*(F.col("doc")[name].alias(name) for name in names), score.alias("score"))
         return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
@@ -295,19 +352,15 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> ToxicityMode
     if not totals.toxic or not totals.ordinary:
         share = marks.agg(F.avg("toxic")).first()[0]
         return ToxicityModel(None, None, share or 0.0)
-    entries = written(statistics(top), "entries")
-    filled = bounded(entries).toArrow()
-    keys = filled["key"].to_numpy().view(np.uint64)
-    counts = spark.sparkContext.broadcast((keys, filled["value"].to_numpy()))
-    drop(entries)
+    counts = statistics(top)
     drop(words)
-    drop(top)
-    del filled, keys
     # Lowest hashes by a threshold, so that no text comes to the driver; equal texts stay together.
     rows = labelled.filter(curve_part).count()
     part = F.pmod(F.xxhash64("_split"), F.lit(1 << 20)) * rows < CALIBRATION_ROWS * (1 << 20)
-    seen = evidence(labelled.filter(curve_part & part), counts).select("toxic", "_whole", "_window").toArrow()
+    chosen = labelled.filter(curve_part & part).select(F.struct("toxic").alias("doc"), "text")
+    seen = evidence(chosen, counts).select("doc.toxic", "whole", "window").toArrow()
+    drop(labelled)
     y = seen["toxic"].to_numpy().astype(float)
     if y.min(initial=1) == y.max(initial=0) or not len(y):
         return ToxicityModel(counts, np.array([-2.0, 1.0, 1.0]), 0.0)
-    return ToxicityModel(counts, fit_curve(features(seen["_whole"].to_numpy(), seen["_window"].to_numpy()), y), 0.0)
+    return ToxicityModel(counts, fit_curve(features(seen["whole"].to_numpy(), seen["window"].to_numpy()), y), 0.0)

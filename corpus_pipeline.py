@@ -30,7 +30,7 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(spark, docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    return model.score(_packed(docs)).filter("predicted = 0").select("doc.*")
+    return model.score(_packed(docs), ["doc"]).filter("predicted = 0").select("doc.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

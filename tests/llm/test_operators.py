@@ -1,9 +1,11 @@
 """The operators against brute force, on edge rows and on the smallest tables."""
 
 import hashlib
+import math
 import re
 import shutil
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from alertflow.llm import chat, curves, jaccard, mixing, packing, polytope, secret_scan, sharding, toxicity, warc
-from alertflow.llm.common import components
+from alertflow.llm.common import components, written
 from alertflow.llm.queries import ORACLE, QUERIES, vocabulary
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -167,6 +169,70 @@ def test_toxicity_generalises_and_takes_odd_rows(spark):
     assert {(r.score, r.predicted) for r in empty} == {(0.0, 0)}
 
 
+def test_toxicity_keeps_rare_counts_of_a_large_model(spark):
+    """Toxic words learned from one text each are known, however many n-grams the labelled rows have."""
+    random = np.random.default_rng(4)
+
+    def words(n):
+        return ["".join(map(chr, random.integers(0x4E00, 0x9000, 10))) for _ in range(n)]
+
+    plain, rare = words(30_000), random.permutation(words(1000) * 2)
+    texts, toxic = [], []
+    for i in range(1000):
+        said = [*plain[30 * i : 30 * i + 30]]
+        toxic.append(i % 2)
+        if toxic[-1]:
+            said[10:14] = rare[2 * i - 2 : 2 * i + 2]
+        texts.append(" ".join(said))
+    docs = docs_of(spark, texts)
+    scored = toxicity.fit(spark, docs, spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")).score(docs)
+    held = [r for r in scored.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert np.mean([r.predicted == toxic[r.doc_id] for r in held]) > 0.85
+
+
+def brute_evidence(rows, text):
+    """Evidence of a whole text by Kneser-Ney counts in dictionaries, all of them."""
+    top = [Counter(), Counter()]
+    for said, toxic in rows:
+        for word in toxicity.WORD.findall(said.lower()):
+            top[toxic].update(toxicity.grams(word))
+    seen = {*top[0], *top[1]}
+    longer = {g[-n:] for g in seen for n in range(2, len(g) + 1)}
+    low = Counter(g[1:] for g in longer) + Counter(g for g in seen if len(g) < toxicity.ORDER and g[0] == "\x02")
+
+    def smooth(counts, gram, lower):
+        after = [n for g, n in counts.items() if len(g) == len(gram) and g[:-1] == gram[:-1]]
+        if not after:
+            return lower
+        return (max(counts[gram] - toxicity.DISCOUNT, 0) + toxicity.DISCOUNT * len(after) * lower) / sum(after)
+
+    def shared(gram):
+        return smooth(low, gram, shared(gram[1:]) if len(gram) > 1 else 1e-3)
+
+    total = size = 0
+    for word in toxicity.WORD.findall(text.lower()):
+        size += len(word) + 1
+        for gram in toxicity.grams(word):
+            lower = shared(gram[1:] if len(gram) == toxicity.ORDER else gram)
+            logs = [math.log(max(smooth(top[k], gram, lower), 1e-12)) for k in (1, 0)]
+            total += logs[0] - logs[1]
+    return total / size if size else 0.0
+
+
+def test_toxicity_evidence_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK_ROWS", 2)
+    rows = [("bad badly awful É😀x", 1), ("good well a b", 0), ("good bad day", 0), ("", 1), ("awfully bad", 1)]
+    texts = [*(said for said, _ in rows), "unseen Ωmega badness", None, "a", "bad bad", " . "]
+    labelled = spark.createDataFrame(rows, "text string, toxic int")
+    counts = toxicity.statistics(written(toxicity.gram_counts(toxicity.word_counts(labelled)), "grams"))
+    docs = docs_of(spark, texts).select(F.struct("doc_id").alias("doc"), "text")
+    found = {r.doc.doc_id: (r.whole, r.window) for r in toxicity.evidence(docs, counts).collect()}
+    wanted = [brute_evidence(rows, t or "") for t in texts]
+    assert np.allclose([found[i] for i in range(len(texts))], np.array([wanted, wanted]).T, atol=1e-12)
+    whole, window = toxicity.strongest(np.array([1.0] * 10 + [-1.0] * 40), np.full(50, 2.0))
+    assert np.isclose(whole, -0.3) and np.isclose(window, (10 - 22) / 64)
+
+
 def brute_spans(text):
     text, spans = text or "", []
     assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
