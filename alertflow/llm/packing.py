@@ -152,29 +152,28 @@ class Plan:
         return base
 
 
-def dominant(lengths: np.ndarray, left: np.ndarray, capacity: int) -> tuple[int, ...] | None:
-    """A set with the largest piece that dominates every other such set, by Martello and Toth's rules.
+def dominant(lengths: np.ndarray, left: np.ndarray, capacity: int, length: int) -> tuple[int, ...] | None:
+    """A set with the piece ``length`` that dominates every other such set, by Martello and Toth's rules.
 
     ``lengths`` are those with pieces left, ascending. Alone, if nothing else fits; with the largest
     second piece that fits, if that fills the sequence, if no two others fit, or if the best two together
     are no longer than it (no three others fitting); with the largest second and a third that no other
     pair's smaller piece exceeds (no three others fitting).
     """
-    largest = int(lengths[-1])
-    left[largest] -= 1
+    left[length] -= 1
     try:
         rest = lengths[left[lengths] > 0]
-        room = capacity - largest
+        room = capacity - length
         smallest = int(rest[0]) if len(rest) else capacity + 1
         if smallest > room:
-            return (largest,)
+            return (length,)
         second = int(rest[np.searchsorted(rest, room, "right") - 1])
         if second == room:
-            return (largest, second)
+            return (length, second)
         low = rest[:3]
         least = np.repeat(low, np.minimum(left[low], 3))
         if len(least) < 2 or least[0] + least[1] > room:
-            return (largest, second)
+            return (length, second)
         if len(least) > 2 and least[:3].sum() <= room:
             return None
         # For each longer piece of a pair, the largest other one that fits beside it.
@@ -185,29 +184,30 @@ def dominant(lengths: np.ndarray, left: np.ndarray, capacity: int) -> tuple[int,
         other = np.where(twice, lower, other)
         pair = np.where(other > 0, rest + other, 0)
         if second >= pair.max():
-            return (largest, second)
+            return (length, second)
         third = int(other[rest == second][0])
         if third > 0 and third >= other.max():
-            return (largest, second, third)
+            return (length, second, third)
         return None
     finally:
-        left[largest] += 1
+        left[length] += 1
 
 
 def reduce_dominated(plan: Plan) -> int:
-    """Fix dominating sets, largest piece first, until a rule says nothing; sequences fixed."""
+    """Fix dominating sets, largest piece first; sequences fixed.
+
+    A length for which no rule says anything is left as it is, and the next one is examined.
+    """
     before = plan.bins
-    while True:
-        lengths = np.flatnonzero(plan.left)
-        if not len(lengths):
-            break
-        chosen = dominant(lengths, plan.left, plan.capacity)
-        if chosen is None:
-            break
-        uses = {length: chosen.count(length) for length in chosen}
-        times = min(int(plan.left[length]) // n for length, n in uses.items())
-        # While three of a length are left, what the rules for three look at stays the same.
-        plan.fill(chosen, max(1, times if len(chosen) < 3 else times - 3))
+    for length in range(plan.capacity, 0, -1):
+        while plan.left[length]:
+            chosen = dominant(np.flatnonzero(plan.left), plan.left, plan.capacity, length)
+            if chosen is None:
+                break
+            uses = {piece: chosen.count(piece) for piece in chosen}
+            times = min(int(plan.left[piece]) // n for piece, n in uses.items())
+            # While three of a length are left, what the rules for three look at stays the same.
+            plan.fill(chosen, max(1, times if len(chosen) < 3 else times - 3))
     return plan.bins - before
 
 

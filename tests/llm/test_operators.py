@@ -134,6 +134,13 @@ def test_dominance_keeps_the_optimum():
         assert fixed + optimum(rest, capacity) == optimum(items, capacity)
 
 
+def test_dominance_goes_on_after_an_undecided_length():
+    # Three of 2 fit beside 14 and nothing fills it, but 11 and 9 fill a sequence.
+    plan = packing.Plan(np.bincount([14, 11, 9, 5, 2, 2, 2], minlength=21), 20)
+    assert packing.reduce_dominated(plan) >= 1
+    assert not plan.left[[11, 9]].any() and plan.left[14] == 1
+
+
 def test_mixing_meets_targets(spark):
     texts = [("red apple " * 5) if i % 4 else ("blue sky " * 5) for i in range(80)] + [None, ""]
     docs = docs_of(spark, texts)
