@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -142,5 +143,42 @@ def likely_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return df.filter(known(place))
 
 
+def bitmap(slots: DataFrame, slot: str, bits: int) -> np.ndarray:
+    """The places (0 to ``bits`` - 1) in a column as a map of ``bits`` // 64 numbers.
+
+    Spark sets the bits, so however many rows there are, no more than the map comes to the driver.
+    """
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col(slot), F.lit(64)).cast("int"))
+    words = slots.select(F.shiftright(slot, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    found = words.toArrow()
+    out = np.zeros(bits // 64, np.uint64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def in_bitmap(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Which of the ``slots`` (unsigned) are set in a ``bitmap``."""
+    return (bits[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) != 0
+
+
+def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """The rows of each value of ``key``, from batches that are sorted by it."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(key).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            if held and values[start] != current:
+                yield pa.Table.from_batches(held)
+                held = []
+            current = values[start]
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

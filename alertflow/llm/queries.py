@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertflow.llm import chat, curves, jaccard, mixing, packing, polytope, secret_scan, sharding, toxicity, warc
+from alertflow.llm import chat, collocations, curves, jaccard, mixing, packing, polytope, secret_scan, sharding, toxicity, warc
 from alertflow.llm.common import delete_on_exit, table, written
 from alertflow.streaming.scratch import new_folder
 
@@ -145,6 +145,11 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_similar(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leading collocations of every language."""
+    return collocations.ranked_phrases(collocations.mine(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_warc": op2_warc,
@@ -156,6 +161,7 @@ QUERIES = {
     "op8_polytope": op8_polytope,
     "op9_shards": op9_shards,
     "op10_jaccard": op10_jaccard,
+    "op11_collocations": op11_collocations,
 }
 
 ORACLE: dict[str, str] = {
@@ -179,4 +185,37 @@ m AS (SELECT *, CASE WHEN n >= {REVISIT_LEAST} THEN max(page_id) OVER (PARTITION
 SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
   CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id < top THEN top END AS refers_to FROM m""",
+    "op11_collocations": """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), said AS (
+  SELECT lang, regexp_extract_all(piece, '[^ \\x09]+') AS w FROM pieces
+), phrases AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM said, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size
+), f AS (
+  SELECT lang, size, phrase, count(*) AS n FROM phrases GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(n) AS n FROM f WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10
+), cuts AS (
+  SELECT *, unnest(range(1, size)) AS k FROM candidates
+), scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, k, x.n AS l, y.n AS r,
+    CAST(CAST(c.a AS HUGEINT) * c.a * 1000000 // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM candidates WHERE size = 3
+), kept AS (
+  SELECT * FROM lowest c WHERE NOT EXISTS (
+    SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.a >= 50 * c.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
 }
