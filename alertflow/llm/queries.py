@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertflow.llm import chat, collocations, curves, jaccard, mixing, packing, polytope, secret_scan, sharding, toxicity, warc
+from alertflow.llm import chat, collocations, curves, jaccard, mixing, packing, polytope, repeats, secret_scan, sharding, toxicity, warc
 from alertflow.llm.common import delete_on_exit, table, written
 from alertflow.streaming.scratch import new_folder
 
@@ -150,6 +150,15 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.ranked_phrases(collocations.mine(table(spark, sf_dir, "documents")))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the long strings that stand elsewhere too."""
+    found = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc.doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_warc": op2_warc,
@@ -162,6 +171,7 @@ QUERIES = {
     "op9_shards": op9_shards,
     "op10_jaccard": op10_jaccard,
     "op11_collocations": op11_collocations,
+    "op12_repeats": op12_repeats,
 }
 
 ORACLE: dict[str, str] = {
