@@ -140,6 +140,7 @@ def _input(docs: DataFrame) -> DataFrame:
 def local_counts(docs: DataFrame, longest: int, ranges: int) -> DataFrame:
     """(range, shard, keys, counts): packed hashes of the phrases of each shard, with counts up to 255."""
     bits = max(ranges - 1, 1).bit_length()
+    chunk, most = CHUNK, HELD
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = [[] for _ in range(SHARDS)]
@@ -167,7 +168,7 @@ def local_counts(docs: DataFrame, longest: int, ranges: int) -> DataFrame:
         for batch in batches:
             names, shards = batch.column("lang").to_pylist(), batch.column("shard").to_numpy()
             known = {name: _language_hash([name])[0] for name in set(names)}
-            for rows, parts in chunks(batch.column("text").to_pylist()):
+            for rows, parts in chunks(batch.column("text").to_pylist(), chunk):
                 words = Words(parts)
                 language = np.array([known[names[row]] for row in rows], U)
                 shard_of = shards[rows]
@@ -176,7 +177,7 @@ def local_counts(docs: DataFrame, longest: int, ranges: int) -> DataFrame:
                     for shard in range(SHARDS):
                         held[shard].append(keys[mine == shard])
                     size += len(keys)
-                if size >= HELD:
+                if size >= most:
                     yield packed()
                     size = 0
         yield packed()
@@ -186,7 +187,7 @@ def local_counts(docs: DataFrame, longest: int, ranges: int) -> DataFrame:
 
 def frequent_slots(local: DataFrame, support: int, ranges: int) -> DataFrame:
     """(slot): places in the map of all that some shard finds frequent and that may reach the support in all."""
-    bits, lowered = max(ranges - 1, 1).bit_length(), ceil(support / SHARDS)
+    bits, lowered, places = max(ranges - 1, 1).bit_length(), ceil(support / SHARDS), BITS
 
     def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches, "range"):
@@ -207,21 +208,22 @@ def frequent_slots(local: DataFrame, support: int, ranges: int) -> DataFrame:
                 at = np.minimum(np.searchsorted(keys, candidates), len(keys) - 1)
                 all_of += np.where(keys[at] == candidates, n[at], 0)
             whole = U(rows.column("range")[0].as_py()) << U(64 - bits) | candidates[all_of >= support].astype(U) << U(32 - bits)
-            slots = np.unique(_slot(whole, 32 + bits))
+            slots = np.unique(_slot(whole, 32 + bits, places))
             yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64))], ["slot"])
 
     return local.repartition("range").sortWithinPartitions("range").mapInArrow(union, "slot long")
 
 
-def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
+def _slot(keys: np.ndarray, bits: int, places: int) -> np.ndarray:
     """Place in the map of a hash, of which only the highest ``bits`` are known."""
-    return mix(keys >> U(64 - bits)) % U(BITS)
+    return mix(keys >> U(64 - bits)) % U(places)
 
 
 def counted(docs: DataFrame, slots: np.ndarray, longest: int, ranges: int) -> DataFrame:
     """(lang, words, phrase, n) of all phrases in the map; a row without a phrase counts a language's words."""
     known_bits = 32 + max(ranges - 1, 1).bit_length()
     shared = docs.sparkSession.sparkContext.broadcast(slots)
+    chunk, most, places = CHUNK, HELD_TEXTS, BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -237,14 +239,14 @@ def counted(docs: DataFrame, slots: np.ndarray, longest: int, ranges: int) -> Da
         for batch in batches:
             names = batch.column("lang").to_pylist()
             known = {name: _language_hash([name])[0] for name in set(names)}
-            for rows, parts in chunks(batch.column("text").to_pylist()):
+            for rows, parts in chunks(batch.column("text").to_pylist(), chunk):
                 words = Words(parts)
                 language = np.array([known[names[row]] for row in rows], U)
                 for row, n in zip(rows, np.bincount(words.text, minlength=len(rows)).tolist(), strict=True):
                     totals[names[row]] = totals.get(names[row], 0) + n
                 clashed = []
                 for size, at, one, two in words.phrases(language, longest, True):
-                    marked = in_bitmap(bits, _slot(one, known_bits))
+                    marked = in_bitmap(bits, _slot(one, known_bits, places))
                     at, one, two = at[marked], one[marked], two[marked]
                     order = np.lexsort((two, one))
                     at, one, two = at[order], one[order], two[order]
@@ -261,7 +263,7 @@ def counted(docs: DataFrame, slots: np.ndarray, longest: int, ranges: int) -> Da
                             clashed.append((names[rows[words.text[place]]], size, words.phrase(place, size), times))
                 if clashed:
                     yield flushed(clashed)
-                if len(held) > HELD_TEXTS:
+                if len(held) > most:
                     yield flushed([entry[:4] for entry in held.values()])
                     held.clear()
         yield flushed([entry[:4] for entry in held.values()])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertflow.llm import chat, collocations, curves, jaccard, mixing, packing, polytope, repeats, secret_scan, sharding, toxicity, warc
+from alertflow.llm import chat, collocations, curves, jaccard, mixing, packing, polytope, repeats, secret_scan, sharding, spelling, toxicity, warc
 from alertflow.llm.common import delete_on_exit, table, written
 from alertflow.streaming.scratch import new_folder
 
@@ -159,6 +159,11 @@ def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spelling variants among the words of all documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_warc": op2_warc,
@@ -172,6 +177,7 @@ QUERIES = {
     "op10_jaccard": op10_jaccard,
     "op11_collocations": op11_collocations,
     "op12_repeats": op12_repeats,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE: dict[str, str] = {

@@ -68,16 +68,16 @@ def least_of(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
 
 
-def parts(texts: list[bytes | None], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
-    """(row, start, bytes) of long enough texts, about ``CHUNK`` bytes at a time; parts overlap, so each window is in one."""
+def parts(texts: list[bytes | None], length: int, chunk: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """(row, start, bytes) of long enough texts, about ``chunk`` bytes at a time; parts overlap, so each window is in one."""
     rows, starts, held, size = [], [], [], 0
     for row, text in enumerate(texts):
-        for start in range(0, len(text or b"") - length + 1, CHUNK):
+        for start in range(0, len(text or b"") - length + 1, chunk):
             rows.append(row)
             starts.append(start)
-            held.append(text[start : start + CHUNK + length - 1])
+            held.append(text[start : start + chunk + length - 1])
             size += len(held[-1])
-            if size >= CHUNK:
+            if size >= chunk:
                 yield rows, starts, held
                 rows, starts, held, size = [], [], [], 0
     if rows:
@@ -114,10 +114,11 @@ def _slots(names: np.ndarray) -> np.ndarray:
 
 def repeated_names(docs: DataFrame, length: int) -> np.ndarray:
     """A map of the names that occur twice or share their place with another."""
+    chunk = CHUNK
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, held in parts(batch.column("text").to_pylist(), length):
+            for _, _, held in parts(batch.column("text").to_pylist(), length, chunk):
                 slots, n = np.unique(_slots(segments(held, length)[4]).astype(np.int64), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(np.minimum(n, 2).astype(np.int8))], ["slot", "n"])
 
@@ -130,12 +131,12 @@ ANCHOR = "row long, start long, windows int, name long, d1 long, d2 long"
 
 def anchors(docs: DataFrame, length: int, known: np.ndarray) -> DataFrame:
     """(row, start, windows, name, d1, d2) of the segments whose names are in the map."""
-    shared = docs.sparkSession.sparkContext.broadcast(known)
+    shared, chunk = docs.sparkSession.sparkContext.broadcast(known), CHUNK
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             numbers = batch.column("row").to_numpy()
-            for rows, begins, held in parts(batch.column("text").to_pylist(), length):
+            for rows, begins, held in parts(batch.column("text").to_pylist(), length, chunk):
                 buffer, part, starts, windows, names = segments(held, length)
                 some = in_bitmap(shared.value, _slots(names))
                 part, starts, windows, names = part[some], starts[some], windows[some], names[some]
@@ -202,6 +203,7 @@ def _runs(marks: np.ndarray) -> list[tuple[int, int]]:
 
 def repeated_in_shards(cut: DataFrame, length: int) -> DataFrame:
     """Ranges of windows that a shard repeats (w1 null), and digests of the others where a name has several shards."""
+    most = SHARD_BYTES
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -224,7 +226,7 @@ def repeated_in_shards(cut: DataFrame, length: int) -> DataFrame:
         for rows in groups(batches, "key"):
             held += zip(*(rows.column(c).to_pylist() for c in ("name", "kind", "bytes", "key")), strict=True)
             size += rows.column("bytes").nbytes
-            if size >= SHARD_BYTES:
+            if size >= most:
                 yield flushed()
                 held, size = [], 0
         yield flushed()
