@@ -20,7 +20,7 @@ from alertflow.plans.alerts import scored_messages
 from alertflow.schemas import ALERT, ALERT_MESSAGE, MESSAGE
 from alertflow.sinks import stores
 from alertflow.sources import csv_feed, news_feed, store, topics
-from alertflow.streaming import jobs
+from alertflow.streaming import jobs, windows
 from alertflow.streaming.scratch import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -541,11 +541,37 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+def shuffled_stream(spark: SparkSession, sf_dir: str, name: str, files: int = 4) -> DataFrame:
+    """The table as a stream of micro-batches of one file each, with rows of all times in every file."""
+    folder = new_folder(spark, name)
+    table(spark, sf_dir, name).repartition(files).write.parquet(folder)
+    return topics.stream_files(spark, folder, table(spark, sf_dir, name).schema, max_files_per_trigger=1)
+
+
 @registered
 def type_by_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The windows that are closed when the stream has read all events."""
+    """All windows of a stream whose rows come late, after several micro-batches."""
     path, checkpoint = new_folder(spark, "windows"), new_folder(spark, "checkpoint")
-    events = stream_table(spark, sf_dir, "events")
-    windows = reports.type_by_window(events, st.WINDOW, "ts", "event_type", "value", st.WATERMARK)
-    jobs.wait(jobs.start_files(windows, path, checkpoint, every=None, file_format="parquet"))
-    return spark.read.schema(windows.schema).parquet(path)
+    report = {"width": st.WINDOW, "timestamp": "ts", "kind": "event_type", "measure": "value"}
+    jobs.wait(windows.start_windows(shuffled_stream(spark, sf_dir, "events"), path, checkpoint, every=None, **report))
+    return windows.read_windows(spark, path)
+
+
+@registered
+def replayed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store after the same feed came twice, the second time with every message repeated."""
+    path = new_folder(spark, "store")
+    rows = storage.storage_rows(storage.checked(timed(main_alerts(spark, sf_dir))))
+    stores.write_store(rows, "new_files", path=path)
+    stores.write_store(rows.unionByName(rows), "new_files", path=path)
+    return shown(store.read_store(spark, "files", path=path))
+
+
+@registered
+def replayed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by two runs of a stream, each with a checkpoint of its own and every message twice."""
+    path = new_folder(spark, "store")
+    sent = streamed_alerts(spark, sf_dir)
+    for _ in range(2):
+        jobs.wait(jobs.start_new_rows(timed(sent.unionByName(sent)), path, new_folder(spark, "checkpoint"), every=None))
+    return shown(store.read_runs(spark, path))

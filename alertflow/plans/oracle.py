@@ -290,10 +290,9 @@ SQL: dict[str, str] = {
         WITH {_ALERTS}
         SELECT id, disaster, location, 'json' AS sink FROM alerts
         UNION ALL SELECT id, disaster, location, 'stored' FROM alerts""",
-    "type_by_window_stream": f"""
-        WITH {_EVENT_WINDOWS}
-        SELECT * FROM windows
-        WHERE window_end <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events)""",
+    "type_by_window_stream": f"WITH {_EVENT_WINDOWS} SELECT * FROM windows",
+    "replayed_store": f"WITH {_STORED} SELECT * FROM stored",
+    "replayed_stream": f"WITH {_STORED} SELECT * FROM stored",
 }
 
 _HALF = "len(embedding) // 2"

@@ -25,7 +25,6 @@ ONE_TYPE = "elle"
 ONE_PLACE = "orre"
 RANGE = (datetime(2024, 1, 1, 0, 30), datetime(2024, 1, 1, 2, 0))
 WINDOW = "1 hour"
-WATERMARK = "1 hour"
 
 # A response that holds no JSON object reads as malformed.
 REQUEST = "Where and what?\nSentence: {text}"

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertflow.functions.times import in_utc
 from alertflow.operators.storage import stamped, type_folder
 from alertflow.schemas import DATABASE_TYPES, DOCUMENT_DAY, EVENT_DAY, STORED_DDL, TYPE_FOLDER
+from alertflow.sources.store import read_files, sub_folders
+from alertflow.streaming.scratch import new_folder, remove_folder
 
 # What an index would serve is served by the file layout: folders by day (or by type), rows
 # sorted inside a file (min/max statistics), Bloom filters for places and ids.
@@ -43,6 +47,36 @@ def write_files(
     rows.write.mode(mode).partitionBy(folder).options(**BLOOM).parquet(path)
 
 
+def write_new_files(stored: DataFrame, path: str, **options) -> None:
+    """``write_files`` for rows that may have been written before: each row key is in the store once.
+
+    The rows are worked out once, into a table in the shared folder. Their keys are looked up in the store's folders of the
+    same days only; one more shuffle, by key, keeps one of each. A write that failed half way is completed by the
+    next. One writer at a time: two at once do not see each other's rows.
+    """
+    spark, folder = stored.sparkSession, new_folder(stored.sparkSession, "new")
+    try:
+        stored.dropDuplicates(["row_key"]).write.parquet(folder)
+        rows = with_folder(spark.read.schema(stored.schema).parquet(folder))
+        # As many as folders that this write would make.
+        days = [row[0] for row in rows.select(EVENT_DAY.name).distinct().collect()]
+        known = stored_days(spark, path, days)
+        if known is not None:
+            rows = rows.join(known.select("row_key"), "row_key", "left_anti")
+        write_files(rows.drop(EVENT_DAY.name), path, **options)
+    finally:
+        remove_folder(spark, folder)
+
+
+def stored_days(spark: SparkSession, path: str, days: list[date | None]) -> DataFrame | None:
+    """The rows of these days in stored files, from their folders alone; None if there is no store."""
+    if not sub_folders(spark, path):
+        return None
+    day = F.col(EVENT_DAY.name)
+    named = [d for d in days if d is not None]
+    return read_files(spark, path).filter(day.isin(named) | day.isNull() if None in days else day.isin(named))
+
+
 def create_table(spark: SparkSession, name: str) -> None:
     """Create the prediction table unless it is there."""
     if not spark.catalog.tableExists(name):
@@ -118,6 +152,7 @@ def write_mongo(alerts: DataFrame, uri: str, database: str, collection: str) ->
 
 _WRITERS = {
     "files": write_files,
+    "new_files": write_new_files,
     "table": write_table,
     "json": write_documents,
     "mongodb": write_mongo,

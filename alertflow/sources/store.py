@@ -14,6 +14,25 @@ def read_files(spark: SparkSession, path: str, by_type: bool = False) -> DataFra
     return spark.read.schema(schema).option("basePath", path).parquet(path).select(*schema.names)
 
 
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """What the runs of ``start_new_rows`` have stored below ``path``, each by its own log of finished batches."""
+    schema = T.StructType([*STORED.fields, EVENT_DAY])
+    rows = spark.createDataFrame([], schema)
+    for folder in sub_folders(spark, path, "run="):
+        rows = rows.unionByName(spark.read.schema(schema).parquet(folder))
+    return rows
+
+
+def sub_folders(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """The folders right below ``path`` whose names begin so; none if there is no such path."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    found = [status.getPath() for status in system.listStatus(root) if status.isDirectory()]
+    return sorted(p.toString() for p in found if p.getName().startswith(prefix))
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """JSON documents in folders by the day of processing, which comes as a last column."""
     return spark.read.schema(T.StructType([*DOCUMENT.fields, DOCUMENT_DAY])).json(path)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,16 +18,20 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from alertflow.operators.storage import checked, quarantine_rows, storage_rows
 from alertflow.sinks.stores import BLOOM, with_folder, write_files
+from alertflow.sources.store import read_runs
 
 # Pace of the file and the store sink, rows shown on the console.
 FILE_TRIGGER = "20 seconds"
 STORE_TRIGGER = "15 seconds"
 CONSOLE_ROWS = 10
 
+# How long a running stream remembers the keys it has seen.
+REMEMBERED = "1 day"
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def _paced(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+def paced(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     """A processing-time trigger, or with None one run over all there is."""
     return writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
 
@@ -40,14 +45,40 @@ def start_files(
 ) -> StreamingQuery:
     """Append to a folder of files; started again on its checkpoint it goes on where it stopped."""
     writer = df.writeStream.outputMode("append").format(file_format)
-    return _paced(writer.option("path", path).option("checkpointLocation", checkpoint), every).start()
+    return paced(writer.option("path", path).option("checkpointLocation", checkpoint), every).start()
 
 
 def start_store(alerts: DataFrame, path: str, checkpoint: str, every: str | None = FILE_TRIGGER) -> StreamingQuery:
     """Append the alerts that fit to stored files in folders by day."""
     rows = with_folder(storage_rows(checked(alerts)))
     writer = rows.writeStream.outputMode("append").format("parquet").partitionBy("event_day").options(**BLOOM)
-    return _paced(writer.option("path", path).option("checkpointLocation", checkpoint), every).start()
+    return paced(writer.option("path", path).option("checkpointLocation", checkpoint), every).start()
+
+
+def start_new_rows(
+    alerts: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = FILE_TRIGGER,
+    remember: str = REMEMBERED,
+    since: date | None = None,
+) -> StreamingQuery:
+    """``start_store`` for feeds that may be sent again: a message that the store has is not added.
+
+    A running stream remembers the row keys of the last ``remember`` of its own clock, so no message is late for it,
+    whatever time it carries. Messages of earlier runs, those of other checkpoints, are looked up in what the store held when the
+    query started, from the days after ``since`` on. Each run writes a folder of its own below ``path``; ``read_runs`` reads them all.
+    """
+    spark = alerts.sparkSession
+    rows = storage_rows(checked(alerts)).withColumn("_arrived", F.current_timestamp())
+    rows = rows.withWatermark("_arrived", remember).dropDuplicatesWithinWatermark(["row_key"]).drop("_arrived")
+    known = read_runs(spark, path)
+    if since is not None:
+        known = known.filter((F.col("event_day") >= F.lit(since)) | F.col("event_day").isNull())
+    new = with_folder(rows).join(known.select("row_key"), "row_key", "left_anti")
+    writer = new.writeStream.outputMode("append").format("parquet").partitionBy("event_day").options(**BLOOM)
+    folder = f"{path.rstrip('/')}/run={run_id(spark, checkpoint)}"
+    return paced(writer.option("path", folder).option("checkpointLocation", checkpoint), every).start()
 
 
 def start_quarantine(alerts: DataFrame, path: str, checkpoint: str, every: str | None = FILE_TRIGGER) -> StreamingQuery:
@@ -63,7 +94,7 @@ def start_console(
 ) -> StreamingQuery:
     """Print the first rows of every micro-batch."""
     writer = df.writeStream.outputMode("append").format("console").options(truncate="false", numRows=rows)
-    return _paced(writer.option("checkpointLocation", checkpoint), every).start()
+    return paced(writer.option("checkpointLocation", checkpoint), every).start()
 
 
 def start_kafka(
@@ -74,7 +105,7 @@ def start_kafka(
 ) -> StreamingQuery:
     """Send envelopes to a topic; ``options`` come from ``kafka_write_options``."""
     writer = envelopes.select("value").writeStream.format("kafka").options(**options)
-    return _paced(writer.option("checkpointLocation", checkpoint), every).start()
+    return paced(writer.option("checkpointLocation", checkpoint), every).start()
 
 
 def start_batches(
@@ -85,7 +116,7 @@ def start_batches(
 ) -> StreamingQuery:
     """Hand every micro-batch to a writer, for stores that have no streaming sink."""
     writer = df.writeStream.outputMode("append").foreachBatch(write)
-    return _paced(writer.option("checkpointLocation", checkpoint), every).start()
+    return paced(writer.option("checkpointLocation", checkpoint), every).start()
 
 
 def run_id(spark: SparkSession, checkpoint: str) -> str:

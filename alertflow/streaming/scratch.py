@@ -31,3 +31,9 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder made by ``new_folder`` that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
