@@ -93,6 +93,25 @@ def count_terms(text: Column, terms: Sequence[str]) -> Column:
     return F.regexp_count(F.lower(text), F.lit(_whole_token(_checked(terms))))
 
 
+def _checked_phrases(phrases: Sequence[str]) -> tuple[str, ...]:
+    phrases = tuple(dict.fromkeys(phrases))
+    if not phrases:
+        raise ValueError("the phrase list is empty")
+    bad = [p for p in phrases if not all(_TOKEN.fullmatch(t) for t in p.split(" "))]
+    if bad:
+        raise ValueError(f"phrases must be lower-case ASCII tokens with single spaces between them, got {bad[:3]}")
+    return phrases
+
+
+def first_phrase(text: Column, phrases: Sequence[str]) -> Column:
+    """The first listed phrase of the text, the longest of those that begin at the same token, else null.
+
+    A phrase is one or more tokens in a row, whatever stands between them in the text. The list is a trie
+    in which a longer phrase is tried before the shorter one that begins it.
+    """
+    return F.nullif(F.regexp_extract(normalize(text), _whole_token(_checked_phrases(phrases)), 1), F.lit(""))
+
+
 def first_term(text: Column, terms: Sequence[str]) -> Column:
     """The first token of the text that is in the list, else null."""
     return F.nullif(F.regexp_extract(F.lower(text), _whole_token(_checked(terms)), 1), F.lit(""))

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from alertflow.functions import text as txt
 from alertflow.functions.codec import decode_extraction
-from alertflow.operators.joins import KEY, POSITION, listed_tokens, with_key
+from alertflow.operators.joins import KEY, LENGTH, POSITION, listed_phrases, listed_tokens, with_key
 from alertflow.operators.messages import expand
 
 # Fixed value: what an extractor answers when it finds nothing. Null means a malformed answer.
@@ -44,6 +44,20 @@ class DictionaryExtractor:
         )
 
 
+@dataclass(frozen=True)
+class PhraseExtractor:
+    """The first listed place and the first listed event type, each of one or more tokens; the longest one there."""
+
+    places: tuple[str, ...]
+    types: tuple[str, ...]
+
+    def __call__(self, text: Column) -> Column:
+        return F.struct(
+            F.coalesce(txt.first_phrase(text, self.places), F.lit(MISSING)).alias("location"),
+            F.coalesce(txt.first_phrase(text, self.types), F.lit(MISSING)).alias("disaster"),
+        )
+
+
 def model_extractor(
     load_model: Callable[[], Callable[[list[str]], Sequence[str]]],
     template: str = REQUEST_TEMPLATE,
@@ -120,6 +134,40 @@ def extract_with_table(
     )
 
 
+#: Longest phrase of a term table, in tokens.
+LONGEST_PHRASE = 16
+
+
+def extract_phrases(
+    df: DataFrame,
+    terms: DataFrame,
+    text: str = "text",
+    key: Sequence[str] | None = None,
+) -> DataFrame:
+    """``extract_with_table`` for terms of one to ``LONGEST_PHRASE`` tokens, with single spaces between them.
+
+    Of the phrases of a kind the first in the text counts, and of those that begin there the longest. Every run of
+    tokens of a length that the table has is looked up by one join on the whole run; the first of each kind is
+    found with partial aggregation, so copies and hot phrases collapse before they are shuffled.
+    """
+    df = df.drop("location", "disaster")
+    keyed = with_key(df, text, key)
+    listed = terms.select("kind", "term")
+    sizes = listed.select(F.size(F.split("term", " ")).alias("n")).distinct().orderBy("n")
+    lengths = [row["n"] for row in sizes.limit(LONGEST_PHRASE + 1).collect()]
+    if not lengths:
+        return df.select(*df.columns, *[F.lit(MISSING).alias(k) for k in ("location", "disaster")])
+    if lengths[-1] > LONGEST_PHRASE:
+        raise ValueError(f"a term has {lengths[-1]} tokens, more than {LONGEST_PHRASE}")
+    kinds = ("location", "disaster")
+    found = listed_phrases(keyed, listed, txt.tokens(F.col(text)), lengths)
+    place = F.struct(F.col(POSITION), (-F.col(LENGTH)).alias("less"), F.col("term"))
+    first = found.groupBy(KEY).agg(*[F.min(F.when(F.col("kind") == k, place)).alias(f"_{k}") for k in kinds])
+    return keyed.join(first, KEY, "left").select(
+        *df.columns, *[F.coalesce(F.col(f"_{k}.term"), F.lit(MISSING)).alias(k) for k in kinds]
+    )
+
+
 def enrich_location(df: DataFrame, places: DataFrame, location: str = "location") -> DataFrame:
     """Append the country to a location that is only a known state or province.
 

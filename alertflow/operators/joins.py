@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 KEY = "_key"
 POSITION = "_pos"
+LENGTH = "_length"
 
 
 def with_key(df: DataFrame, text: str, key: Sequence[str] | None) -> DataFrame:
@@ -31,3 +32,24 @@ def listed_tokens(keyed: DataFrame, terms: DataFrame, tokens: Column) -> DataFra
     # twice more to filter out empty ones.
     words = keyed.select(KEY, F.posexplode(tokens).alias(POSITION, "term"))
     return words.join(terms.distinct(), "term").drop("term")
+
+
+def listed_phrases(keyed: DataFrame, terms: DataFrame, tokens: Column, lengths: Sequence[int]) -> DataFrame:
+    """Key, position, number of tokens and text of every run of tokens that is a phrase, with the other columns of ``terms``.
+
+    ``lengths`` are the numbers of tokens that phrases have. Whole runs are looked up, not their first tokens, so a token
+    that begins many phrases makes no large group.
+    """
+    run = f"array<struct<{POSITION}:int,{LENGTH}:int,term:string>>"
+
+    def of_length(n: int) -> Column:
+        def one(at: Column) -> Column:
+            return F.struct(at.alias(POSITION), F.lit(n).alias(LENGTH), F.array_join(F.slice("_tokens", at, n), " ").alias("term"))
+
+        starts = F.sequence(F.lit(1), F.size("_tokens") - n + 1)
+        # In a shorter text the sequence would count backwards.
+        return F.when(F.size("_tokens") >= n, F.transform(starts, one)).otherwise(F.array().cast(run))
+
+    words = keyed.select(KEY, F.explode(F.array(tokens)).alias("_tokens"))
+    words = words.select(KEY, F.inline(F.concat(*map(of_length, lengths))))
+    return words.join(terms.distinct(), "term")

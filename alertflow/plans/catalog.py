@@ -341,6 +341,26 @@ def extract_with_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", "location", "disaster")
 
 
+@registered
+def extract_phrase_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.extract_fields(feed(spark, sf_dir), st.PHRASES)
+    return found.select("id", "location", "disaster")
+
+
+@registered
+def extract_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first pair of words as a place, and of three words as a type, that some benchmark text has too; long single words are types as well."""
+    words = table(spark, sf_dir, "benchmark").select(txt.tokens(F.col("text")).alias("t"))
+    runs = words.select(F.explode(F.sequence(F.lit(1), F.size("t"))).alias("i"), F.explode(F.array(*map(F.lit, (1, 2, 3)))).alias("n"), "t")
+    terms = runs.filter((F.col("i") + F.col("n") - 1 <= F.size("t"))).select(
+        "n", F.array_join(F.slice("t", F.col("i"), F.col("n")), " ").alias("term")
+    )
+    terms = terms.filter((F.col("n") > 1) | (F.length("term") >= st.TYPE_LENGTH))
+    kind = F.when(F.col("n") == 2, "location").otherwise("disaster")
+    found = extraction.extract_phrases(feed(spark, sf_dir), terms.select(kind.alias("kind"), "term"), key=["id"])
+    return found.select("id", "location", "disaster")
+
+
 @registered
 def score_with_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = benchmark_words(spark, sf_dir)

@@ -119,6 +119,19 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+_PHRASES = """
+said AS (
+  SELECT id, n, unnest(list_transform(range(1, len(tokens) - n + 2), lambda i: array_to_string(tokens[i:i + n - 1], ' '))) AS term,
+         unnest(range(1, len(tokens) - n + 2)) AS pos
+  FROM feed, (SELECT unnest([1, 2, 3]) AS n) WHERE len(tokens) >= n
+),
+found AS (
+  SELECT id, kind, arg_min(term, pos * 10 - n) AS term FROM said JOIN listed USING (term) GROUP BY id, kind
+)
+SELECT feed.id, coalesce(l.term, 'None') AS location, coalesce(d.term, 'None') AS disaster
+FROM feed LEFT JOIN found l ON l.id = feed.id AND l.kind = 'location'
+  LEFT JOIN found d ON d.id = feed.id AND d.kind = 'disaster'"""
+
 _MESSAGE_JSON = (
     "CAST(to_json(struct_pack(id := id, keyword := keyword, location := location, text := text)) AS VARCHAR)"
 )
@@ -217,6 +230,23 @@ SQL: dict[str, str] = {
         )
         SELECT feed.id, coalesce(found.location, 'None') AS location, coalesce(disaster, 'None') AS disaster
         FROM feed LEFT JOIN found USING (id)""",
+    "extract_phrase_lists": f"""
+        WITH {_FEED},
+        listed AS (
+          SELECT unnest([{_list(st.PHRASE_PLACES)}]) AS term, 'location' AS kind
+          UNION ALL SELECT unnest([{_list(st.PHRASE_TYPES)}]), 'disaster'
+        ), {_PHRASES}""",
+    "extract_phrases": f"""
+        WITH {_FEED},
+        bench AS (SELECT {_tokens("text")} AS t FROM benchmark),
+        runs AS (
+          SELECT n, unnest(list_transform(range(1, len(t) - n + 2), lambda i: array_to_string(t[i:i + n - 1], ' '))) AS term
+          FROM bench, (SELECT unnest([1, 2, 3]) AS n) WHERE len(t) >= n
+        ),
+        listed AS (
+          SELECT DISTINCT term, CASE WHEN n = 2 THEN 'location' ELSE 'disaster' END AS kind
+          FROM runs WHERE n > 1 OR length(term) >= {st.TYPE_LENGTH}
+        ), {_PHRASES}""",
     "score_with_table": f"""
         WITH {_FEED},
         terms AS (SELECT DISTINCT unnest({_tokens("text")}) AS term FROM benchmark),

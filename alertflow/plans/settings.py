@@ -5,7 +5,7 @@ The prose of the test tables is invented, so the word lists are made of tokens t
 
 from datetime import datetime
 
-from alertflow.operators.extraction import DictionaryExtractor
+from alertflow.operators.extraction import DictionaryExtractor, PhraseExtractor
 from alertflow.operators.scoring import LexiconScorer
 
 # Word lists for the test tables.
@@ -13,8 +13,12 @@ LEXICON = ("that", "with", "this", "tion")
 TYPES = ("from", "ment", "rewh", "elle")
 PLACES = ("orre", "thatin", "ononst", "inoran")
 
+PHRASE_TYPES = ("that", "that the", "of the", "of", "from the", "elle", "elle est")
+PHRASE_PLACES = ("in", "in the", "in the of", "orre", "for that", "de la", "la", "to be")
+
 SCORER = LexiconScorer(LEXICON)
 EXTRACTOR = DictionaryExtractor(places=PLACES, types=TYPES)
+PHRASES = PhraseExtractor(places=PHRASE_PLACES, types=PHRASE_TYPES)
 
 # Document n of the feed is a message sent n * 10 seconds after this moment.
 FEED_START = datetime(2024, 1, 1)
