@@ -175,8 +175,9 @@ def _cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return joined.mapInArrow(cut, f"key string, name long, kind {KIND}, bytes binary")
 
 
-#: What tells the different segments of a name apart, and how many shards the name is dealt over.
-KIND = "struct<d1:long,d2:long,shards:int>"
+#: What tells the different segments of a name apart, how many shards the name is dealt over, and whether the segment
+#: stands once.
+KIND = "struct<d1:long,d2:long,shards:int,alone:boolean>"
 RANGE = "name long, d1 long, d2 long, offset int, count int"
 WINDOW_RANGE = f"{RANGE}, w1 long, w2 long, shard string"
 
@@ -202,7 +203,10 @@ def _runs(marks: np.ndarray) -> list[tuple[int, int]]:
 
 
 def repeated_in_shards(cut: DataFrame, length: int) -> DataFrame:
-    """Ranges of windows that a shard repeats (w1 null), and digests of the others where a name has several shards."""
+    """Ranges of windows that a shard repeats (w1 null), and digests of windows where a name has several shards.
+
+    A digest has a count of 1 for a window that no shard has repeated yet, of 0 for one that others may meet.
+    """
     most = SHARD_BYTES
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,13 +215,20 @@ def repeated_in_shards(cut: DataFrame, length: int) -> DataFrame:
 
         def flushed() -> pa.RecordBatch:
             out = []
+            targets: set[tuple] = set()
             for (name, kind, body, key), marks in zip(held, _in_shard([h[2] for h in held], length) if held else [], strict=True):
                 here = (name, kind["d1"], kind["d2"])
-                out += [(*here, offset, count, None, None, None) for offset, count in _runs(marks)]
+                if kind["alone"]:
+                    out += [(*here, offset, count, None, None, None) for offset, count in _runs(marks)]
                 if kind["shards"] > 1:
-                    for i in range(len(marks)):
+                    for i, marked in enumerate(marks.tolist()):
                         w1, w2 = np.frombuffer(blake2b(body[i : i + length], digest_size=16).digest(), np.int64).tolist()
-                        out.append((*here, i, 1, w1, w2, key))
+                        if kind["alone"] and not marked:
+                            out.append((*here, i, 1, w1, w2, key))
+                        elif (key, w1, w2) not in targets:
+                            # What is known to repeat only has to be met by windows of other shards.
+                            targets.add((key, w1, w2))
+                            out.append((*here, i, 0, w1, w2, key))
             names = [c.split()[0] for c in WINDOW_RANGE.split(", ")]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
             columns = list(zip(*out, strict=True)) if out else [[]] * len(names)
@@ -239,22 +250,22 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     found = written(anchors(docs, length, repeated_names(docs, length)), "anchors")
     here = F.struct("row", "start", "windows")
     kinds = written(found.groupBy("name", "d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(here).alias("at")), "kinds")
-    several = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    # Segments that stand more than once repeat whole; a name needs a shard for those that stand alone.
+    several = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1")
     shards = F.ceil(F.col("kinds") / SEGMENTS).cast("int").alias("shards")
-    wanted = kinds.join(several, "name").select("at.*", "name", "d1", "d2", shards)
+    wanted = kinds.join(several, "name").select("at.*", "name", "d1", "d2", shards, (F.col("n") == 1).alias("alone"))
     wanted = written(wanted, "wanted")
     # A key names a shard of a name; the digest deals its segments.
     key = F.concat_ws(":", F.col("name").cast("string"), F.pmod("d2", "shards").cast("string")).alias("key")
-    cut = _cut_out(docs, wanted.select("row", "start", "windows", key, "name", F.struct("d1", "d2", "shards").alias("kind")), length)
+    cut = _cut_out(docs, wanted.select("row", "start", "windows", key, "name", F.struct("d1", "d2", "shards", "alone").alias("kind")), length)
     ranges = written(repeated_in_shards(cut, length), "ranges")
     across = ranges.filter("w1 IS NOT NULL")
     met = across.groupBy("name", "w1", "w2").agg(F.min("shard").alias("lo"), F.max("shard").alias("hi")).filter("lo <> hi")
-    between = across.join(met.select("name", "w1", "w2"), ["name", "w1", "w2"]).select("name", "d1", "d2", "offset", "count")
+    between = across.filter("count > 0").join(met.select("name", "w1", "w2"), ["name", "w1", "w2"])
+    between = between.select("name", "d1", "d2", "offset", "count")
     whole = kinds.filter("n > 1").select("name", "d1", "d2", F.lit(0).alias("offset"), F.col("at.windows").alias("count"))
     parts_of = ranges.filter("w1 IS NULL").select("name", "d1", "d2", "offset", "count").unionByName(between)
-    # Segments that repeat whole need no parts.
-    some = parts_of.join(whole.select("name", "d1", "d2"), ["name", "d1", "d2"], "left_anti").unionByName(whole)
-    marked = found.join(some, ["name", "d1", "d2"]).select("row", (F.col("start") + F.col("offset")).alias("start"), "count")
+    marked = found.join(parts_of.unionByName(whole), ["name", "d1", "d2"]).select("row", (F.col("start") + F.col("offset")).alias("start"), "count")
     marked = written(marked, "windows")
     for table in (found, kinds, wanted, ranges):
         drop(table)

@@ -81,21 +81,25 @@ def _induce_one_by_one(s, small, order, sizes) -> np.ndarray:
     ends = np.cumsum(sizes)
     array = np.full(len(s), -1, np.int64)
     array[_places(order, s, ends)] = order
-    sa, text, kind = array.tolist(), s.tolist(), small.tolist()
+    sa = array.tolist()
+    # The bucket of what stands to the left, where it is of the wanted type; the last is for places not filled yet.
+    left = np.where(small[:-1], -1, s[:-1])
+    bucket = [-1, *left.tolist(), -1]
     fill = (ends - sizes).tolist()
-    for i in range(len(sa)):
-        before = sa[i] - 1
-        if before >= 0 and not kind[before]:
-            c = text[before]
-            sa[fill[c]] = before
+    # The lists grow while they are read: what is induced is met later in the same pass.
+    for suffix in sa:
+        c = bucket[suffix]
+        if c >= 0:
+            sa[fill[c]] = suffix - 1
             fill[c] += 1
+    left = np.where(small[:-1], s[:-1], -1)
+    bucket = [-1, *left.tolist(), -1]
     tail = ends.tolist()
-    for i in range(len(sa) - 1, -1, -1):
-        before = sa[i] - 1
-        if before >= 0 and kind[before]:
-            c = text[before]
+    for suffix in reversed(sa):
+        c = bucket[suffix]
+        if c >= 0:
             tail[c] -= 1
-            sa[tail[c]] = before
+            sa[tail[c]] = suffix - 1
     sa[0] = len(s) - 1
     return np.array(sa, np.int64)
 
