@@ -21,6 +21,7 @@ has to fit in a task. Counts up to 10^15 are exact in the scores.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from math import ceil
 
@@ -40,11 +41,11 @@ TOP = 2000
 SHARDS = 4
 NO_LANGUAGE = "und"
 #: Bytes of text worked on at once, and for which the first pass has one range of hashes.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 RANGE_BYTES = 1 << 23
 #: Phrases after which a task hands on its counts.
-HELD = 4_000_000
-HELD_TEXTS = 400_000
+HELD = 3_000_000
+HELD_TEXTS = 500_000
 BITS = 1 << 26
 
 U = np.uint64
@@ -225,23 +226,32 @@ def counted(docs: DataFrame, slots: np.ndarray, longest: int, ranges: int) -> Da
     shared = docs.sparkSession.sparkContext.broadcast(slots)
     chunk, most, places = CHUNK, HELD_TEXTS, BITS
 
+    names_of = ["lang", "words", "phrase", "n"]
+    kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        held: dict[int, list] = {}
         totals: dict[str, int] = {}
-
-        def flushed(rows: list) -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-            kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
-            arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, ["lang", "words", "phrase", "n"])
+        # Number of each known hash, and what is known of it, in columns: objects of their own would take three times as much.
+        known: dict[int, int] = {}
+        others, times, sizes = array("Q"), array("q"), array("i")
+        phrases: list[str] = []
+        languages: list[str] = []
+
+        def flushed() -> pa.RecordBatch:
+            columns = [languages, np.frombuffer(sizes, np.int32), phrases, np.frombuffer(times, np.int64)]
+            out = pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names_of)
+            known.clear()
+            phrases.clear()
+            languages.clear()
+            return out
 
         for batch in batches:
             names = batch.column("lang").to_pylist()
-            known = {name: _language_hash([name])[0] for name in set(names)}
+            hashes = {name: _language_hash([name])[0] for name in set(names)}
             for rows, parts in chunks(batch.column("text").to_pylist(), chunk):
                 words = Words(parts)
-                language = np.array([known[names[row]] for row in rows], U)
+                language = np.array([hashes[names[row]] for row in rows], U)
                 for row, n in zip(rows, np.bincount(words.text, minlength=len(rows)).tolist(), strict=True):
                     totals[names[row]] = totals.get(names[row], 0) + n
                 clashed = []
@@ -253,21 +263,28 @@ def counted(docs: DataFrame, slots: np.ndarray, longest: int, ranges: int) -> Da
                     new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])[: len(one)]
                     first = np.flatnonzero(new)
                     n = np.diff(np.append(first, len(one)))
-                    for key, other, place, times in zip(one[first].tolist(), two[first].tolist(), at[first].tolist(), n.tolist(), strict=True):
-                        entry = held.get(key)
-                        if entry is None:
-                            held[key] = [names[rows[words.text[place]]], size, words.phrase(place, size), times, other]
-                        elif entry[4] == other:
-                            entry[3] += times
+                    for key, other, place, more in zip(one[first].tolist(), two[first].tolist(), at[first].tolist(), n.tolist(), strict=True):
+                        number = known.get(key)
+                        if number is None:
+                            known[key] = len(phrases)
+                            phrases.append(words.phrase(place, size))
+                            languages.append(names[rows[words.text[place]]])
+                            others.append(other)
+                            times.append(more)
+                            sizes.append(size)
+                        elif others[number] == other:
+                            times[number] += more
                         else:
-                            clashed.append((names[rows[words.text[place]]], size, words.phrase(place, size), times))
+                            clashed.append((names[rows[words.text[place]]], size, words.phrase(place, size), more))
                 if clashed:
-                    yield flushed(clashed)
-                if len(held) > most:
-                    yield flushed([entry[:4] for entry in held.values()])
-                    held.clear()
-        yield flushed([entry[:4] for entry in held.values()])
-        yield flushed([(name, 0, None, n) for name, n in totals.items()])
+                    columns = zip(*clashed, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names_of)
+                if len(known) > most:
+                    yield flushed()
+                    others, times, sizes = array("Q"), array("q"), array("i")
+        yield flushed()
+        columns = [list(totals), [0] * len(totals), [None] * len(totals), list(totals.values())]
+        yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names_of)
 
     rows = docs.mapInArrow(count, "lang string, words int, phrase string, n long")
     return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
