@@ -6,16 +6,17 @@ Documents are dealt into ``SHARDS`` shards. A phrase with ``support`` occurrence
 * the first pass mines every shard completely at that lower support. Tasks send hashes of phrases with counts, packed by
   range of hash, and each range is counted per shard. Two phrases with one hash only make each other
   candidates. The ranges follow the size of the texts, so one holds the same amount of work at every size;
-* the union of what the shards found is marked in a map of ``BITS`` places, a bound at every size;
-* the second pass counts the phrases marked there over all documents, by their texts. A full map marks too many,
-  never too few; what is below the support goes after the count.
+* the union of what the shards found goes back to the blocks of documents that sent it, a block being what one task reads;
+* the second pass counts these candidates over all documents, by their texts. A block has its own candidates at hand
+  and no others, however many there are in all.
 
 Every candidate is scored at each cut into two parts, in decimals, and the lowest score counts.
 
 Defined results: null texts are empty, null languages are ``und``; repeated rows and ids count each; other columns are
 ignored; equal scores are ordered by count, then by the bytes of the phrase; an empty table gives no rows.
 Texts are worked on in parts cut at ends of pieces, so a text of any length is whole, and only a single piece
-has to fit in a task. Counts up to 10^15 are exact in the scores.
+has to fit in a task. Counts up to 10^15 are exact in the scores. ``docs`` must be dealt to tasks alike at each
+reading, as tables in files are.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 from math import ceil
 
 import numpy as np
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from alertflow.llm.common import bitmap, groups, in_bitmap, written
+from alertflow.llm.common import groups, written
 from alertflow.llm.jaccard import mix, odd_factors
 
 SUPPORT = 10
@@ -46,7 +48,6 @@ RANGE_BYTES = 1 << 23
 #: Phrases after which a task hands on its counts.
 HELD = 3_000_000
 HELD_TEXTS = 500_000
-BITS = 1 << 26
 
 U = np.uint64
 PIECE_END = re.compile(rb"[.,;:!?\n-\r]")
@@ -134,18 +135,18 @@ def _input(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), text.cast("binary").alias("text"),
-        F.pmod(F.xxhash64("text"), F.lit(SHARDS)).cast("int").alias("shard"),
+        F.pmod(F.xxhash64("text"), F.lit(SHARDS)).cast("int").alias("shard"), F.spark_partition_id().cast("long").alias("block"),
     )
 
 
 def local_counts(docs: DataFrame, longest: int, ranges: int) -> DataFrame:
-    """(range, shard, keys, counts): packed hashes of the phrases of each shard, with counts up to 255."""
+    """(range, shard, block, keys, counts): packed hashes of the phrases of each shard and block, with counts up to 255."""
     bits = max(ranges - 1, 1).bit_length()
     chunk, most = CHUNK, HELD
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = [[] for _ in range(SHARDS)]
-        size = 0
+        size = block = 0
 
         def packed() -> pa.RecordBatch:
             out: list[list] = [[], [], [], []]
@@ -161,12 +162,12 @@ def local_counts(docs: DataFrame, longest: int, ranges: int) -> DataFrame:
                 for name, start, end in zip(names.tolist(), first.tolist(), ends, strict=True) if len(keys) else ():
                     for column, value in zip(out, (name, shard, short[start:end].tobytes(), n[start:end].tobytes()), strict=True):
                         column.append(value)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())],
-                ["range", "shard", "keys", "counts"],
-            )
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            arrays = [pa.array(column, kind) for column, kind in zip((*out[:2], [block] * len(out[0]), *out[2:]), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, ["range", "shard", "block", "keys", "counts"])
 
         for batch in batches:
+            block = batch.column("block")[0].as_py() if batch.num_rows else block
             names, shards = batch.column("lang").to_pylist(), batch.column("shard").to_numpy()
             known = {name: _language_hash([name])[0] for name in set(names)}
             for rows, parts in chunks(batch.column("text").to_pylist(), chunk):
@@ -183,55 +184,81 @@ def local_counts(docs: DataFrame, longest: int, ranges: int) -> DataFrame:
                     size = 0
         yield packed()
 
-    return docs.mapInArrow(count, "range int, shard int, keys binary, counts binary")
+    return docs.mapInArrow(count, "range int, shard int, block long, keys binary, counts binary")
 
 
-def frequent_slots(local: DataFrame, support: int, ranges: int) -> DataFrame:
-    """(slot): places in the map of all that some shard finds frequent and that may reach the support in all."""
-    bits, lowered, places = max(ranges - 1, 1).bit_length(), ceil(support / SHARDS), BITS
+def candidates(local: DataFrame, support: int) -> DataFrame:
+    """(block, range, keys): for each block, what some shard finds frequent and may reach the support in all."""
+    lowered = ceil(support / SHARDS)
 
     def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches, "range"):
-            shards = rows.column("shard").to_numpy()
-            total, found = {}, []
-            for shard in np.unique(shards):
-                mine = rows.filter(pa.array(shards == shard))
-                keys = np.concatenate([np.frombuffer(k, np.uint32) for k in mine.column("keys").to_pylist()])
-                n = np.concatenate([np.frombuffer(c, np.uint8) for c in mine.column("counts").to_pylist()])
-                order = np.argsort(keys, kind="stable")
-                keys, n = keys[order], n[order].astype(np.int64)
-                first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-                total[shard] = keys[first], np.add.reduceat(n, first)
-                found.append(keys[first][total[shard][1] >= lowered])
-            candidates = np.unique(np.concatenate(found))
-            all_of = np.zeros(len(candidates), np.int64)
-            for keys, n in total.values():
-                at = np.minimum(np.searchsorted(keys, candidates), len(keys) - 1)
-                all_of += np.where(keys[at] == candidates, n[at], 0)
-            whole = U(rows.column("range")[0].as_py()) << U(64 - bits) | candidates[all_of >= support].astype(U) << U(32 - bits)
-            slots = np.unique(_slot(whole, 32 + bits, places))
-            yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64))], ["slot"])
-
-    return local.repartition("range").sortWithinPartitions("range").mapInArrow(union, "slot long")
-
-
-def _slot(keys: np.ndarray, bits: int, places: int) -> np.ndarray:
-    """Place in the map of a hash, of which only the highest ``bits`` are known."""
-    return mix(keys >> U(64 - bits)) % U(places)
-
-
-def counted(docs: DataFrame, slots: np.ndarray, longest: int, ranges: int) -> DataFrame:
-    """(lang, words, phrase, n) of all phrases in the map; a row without a phrase counts a language's words."""
-    known_bits = 32 + max(ranges - 1, 1).bit_length()
-    shared = docs.sparkSession.sparkContext.broadcast(slots)
-    chunk, most, places = CHUNK, HELD_TEXTS, BITS
+            keys = [np.frombuffer(k, np.uint32) for k in rows.column("keys").to_pylist()]
+            counts = [np.frombuffer(c, np.uint8) for c in rows.column("counts").to_pylist()]
+            shards, blocks = rows.column("shard").to_numpy(), rows.column("block").to_numpy()
+            sums, frequent = [], [np.zeros(0, np.uint32)]
+            for shard in np.unique(shards).tolist():
+                mine = np.flatnonzero(shards == shard).tolist()
+                all_keys, n = np.concatenate([keys[i] for i in mine]), np.concatenate([counts[i] for i in mine])
+                order = np.argsort(all_keys, kind="stable")
+                all_keys, n = all_keys[order], n[order].astype(np.int64)
+                first = np.flatnonzero(np.concatenate([[True], all_keys[1:] != all_keys[:-1]]))
+                sums.append((all_keys[first], np.add.reduceat(n, first)))
+                frequent.append(sums[-1][0][sums[-1][1] >= lowered])
+            union_of = np.unique(np.concatenate(frequent))
+            total = np.zeros(len(union_of), np.int64)
+            for all_keys, n in sums:
+                at = np.minimum(np.searchsorted(all_keys, union_of), len(all_keys) - 1)
+                total += np.where(all_keys[at] == union_of, n[at], 0)
+            good = union_of[total >= support]
+            found: dict[int, list] = {}
+            for sent, block in zip(keys, blocks.tolist(), strict=True):
+                at = np.searchsorted(good, sent)
+                found.setdefault(block, []).append(sent[good[np.minimum(at, len(good) - 1)] == sent] if len(good) else sent[:0])
+            answers = [(block, np.unique(np.concatenate(parts)).tobytes()) for block, parts in found.items()]
+            columns = [pa.array([a[0] for a in answers]), pa.array([rows.column("range")[0].as_py()] * len(answers), pa.int32()), pa.array([a[1] for a in answers], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "range", "keys"])
+
+    return local.repartition("range").sortWithinPartitions("range").mapInArrow(union, "block long, range int, keys binary")
+
+
+def counted(docs: DataFrame, wanted: DataFrame, longest: int, ranges: int) -> DataFrame:
+    """(lang, words, phrase, n) of all ``wanted`` phrases; a row without a phrase counts a language's words."""
+    shift = U(32 - max(ranges - 1, 1).bit_length())
+    chunk, most = CHUNK, HELD_TEXTS
+    nothing = {"range": "int", "keys": "binary"}
+    texts = docs.select("block", *[F.lit(None).cast(kind).alias(name) for name, kind in nothing.items()], "lang", "text")
+    both = texts.unionByName(wanted, allowMissingColumns=True)
+    # What a block asked for comes before its texts.
+    both = both.repartition("block").sortWithinPartitions("block", F.desc("range"))
+
+    def by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray | pa.RecordBatch]:
+        """The sorted keys of each block, then its texts."""
+        current, held = None, []
+        for batch in batches:
+            block, asked = batch.column("block").to_numpy(), batch.column("range").is_valid().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((block[1:] != block[:-1]) | (asked[1:] != asked[:-1])) + 1
+            for start, end in pairwise([0, *cuts.tolist(), len(block)]):
+                if start == end:
+                    continue
+                if block[start] != current:
+                    current, held = block[start], [np.zeros(0, U)]
+                part = batch.slice(start, end - start)
+                if asked[start]:
+                    for name, keys in zip(part.column("range").to_pylist(), part.column("keys").to_pylist(), strict=True):
+                        held.append(np.frombuffer(keys, np.uint32).astype(U) | U(name) << U(32))
+                    continue
+                if held:
+                    yield np.sort(np.concatenate(held))
+                    held = []
+                yield part
 
     names_of = ["lang", "words", "phrase", "n"]
     kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         totals: dict[str, int] = {}
+        wanted_keys = np.zeros(0, U)
         # Number of each known hash, and what is known of it, in columns: objects of their own would take three times as much.
         known: dict[int, int] = {}
         others, times, sizes = array("Q"), array("q"), array("i")
@@ -246,7 +273,10 @@ def counted(docs: DataFrame, slots: np.ndarray, longest: int, ranges: int) -> Da
             languages.clear()
             return out
 
-        for batch in batches:
+        for batch in by_block(batches):
+            if isinstance(batch, np.ndarray):
+                wanted_keys = batch
+                continue
             names = batch.column("lang").to_pylist()
             hashes = {name: _language_hash([name])[0] for name in set(names)}
             for rows, parts in chunks(batch.column("text").to_pylist(), chunk):
@@ -256,7 +286,9 @@ def counted(docs: DataFrame, slots: np.ndarray, longest: int, ranges: int) -> Da
                     totals[names[row]] = totals.get(names[row], 0) + n
                 clashed = []
                 for size, at, one, two in words.phrases(language, longest, True):
-                    marked = in_bitmap(bits, _slot(one, known_bits, places))
+                    short = one >> shift
+                    place = np.searchsorted(wanted_keys, short)
+                    marked = wanted_keys[np.minimum(place, len(wanted_keys) - 1)] == short if len(wanted_keys) else np.zeros(len(at), bool)
                     at, one, two = at[marked], one[marked], two[marked]
                     order = np.lexsort((two, one))
                     at, one, two = at[order], one[order], two[order]
@@ -286,7 +318,7 @@ def counted(docs: DataFrame, slots: np.ndarray, longest: int, ranges: int) -> Da
         columns = [list(totals), [0] * len(totals), [None] * len(totals), list(totals.values())]
         yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names_of)
 
-    rows = docs.mapInArrow(count, "lang string, words int, phrase string, n long")
+    rows = both.mapInArrow(count, "lang string, words int, phrase string, n long")
     return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
@@ -331,8 +363,8 @@ def mine(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, inside
     given = _input(docs)
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = 1 << max(size // RANGE_BYTES, 1).bit_length()
-    slots = bitmap(frequent_slots(local_counts(given, longest, ranges), support, ranges), "slot", BITS)
-    counts = written(counted(given, slots, longest, ranges), "phrases")
+    wanted = candidates(local_counts(given, longest, ranges), support)
+    counts = written(counted(given, wanted, longest, ranges), "phrases")
     return scored(counts, support, longest, inside)
 
 

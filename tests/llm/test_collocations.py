@@ -39,13 +39,12 @@ def brute(rows, support, longest):
 
 @pytest.mark.parametrize(("longest", "chunk"), [(3, 1 << 22), (4, 50)])
 def test_collocations_equal_brute_force(spark, monkeypatch, longest, chunk):
-    """Null languages and texts, long and repeated texts, other columns, a map that is full."""
+    """Null languages and texts, long and repeated texts, other columns."""
     monkeypatch.setattr(collocations, "CHUNK", chunk)
     if chunk == 50:
         monkeypatch.setattr(collocations, "HELD", 500)
         monkeypatch.setattr(collocations, "HELD_TEXTS", 20)
         monkeypatch.setattr(collocations, "RANGE_BYTES", 512)
-        monkeypatch.setattr(collocations, "BITS", 64)
     random = np.random.default_rng(3)
     words = ["New", "york", "Ärger", "É", "a", "\x0b", "b.", "c,d", "new york", "x\ty", "ÿ　z", "<|x|>"]
     rows = []
