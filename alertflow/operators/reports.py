@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -38,14 +40,50 @@ def observed(scored: DataFrame, observation: Observation | str) -> DataFrame:
     return scored.observe(observation, *_counters())
 
 
-def _newest_first(rows: DataFrame, n: int, *order: str) -> DataFrame:
-    """The first n rows by the given columns, descending, ties told apart by all the others.
+#: Rows of a report whose keys are looked up as literals; longer ones are joined.
+KEYS_LISTED = 1_000
 
-    Every task sends its own first n rows to the driver, so rows should be narrow by now:
-    texts cut to previews, not whole.
+
+def _first_rows(rows: DataFrame, n: int, order: Sequence[str], key: str, folder: str | None) -> DataFrame:
+    """The first n rows by the given columns, descending, nulls last; ties go by the key.
+
+    Two phases. The first reads what the order needs and no more, and brings n keys to the driver. The second
+    reads whole rows, from the folders of these keys, and of these only row groups that may hold one.
+    """
+    order = [*order, key]
+    by = [F.desc(c) for c in order]
+    place = [folder] if folder in rows.columns else []
+    keys = rows.select(*order, *place).orderBy(*by).limit(n)
+    if n > KEYS_LISTED:
+        same = F.struct(*order).alias("_order")
+        return rows.withColumn("_order", F.struct(*order)).join(keys.select(same).distinct(), "_order", "left_semi").drop("_order").orderBy(*by).limit(n)
+    found = keys.collect()
+    wanted = _one_of(key, [row[key] for row in found])
+    if place:
+        wanted = wanted & _one_of(folder, [row[folder] for row in found])
+    # Copies of a row have its key too.
+    return rows.filter(wanted).orderBy(*by).limit(n)
+
+
+def _one_of(column: str, values: Sequence) -> Column:
+    known = F.col(column).isin([v for v in dict.fromkeys(values) if v is not None])
+    return known | F.col(column).isNull() if None in values else known
+
+
+def newest_folders(rows: DataFrame, folder: str, n: int) -> DataFrame:
+    """The rows of as many of the newest folders as hold n rows, found without opening older ones.
+
+    ``folder`` is the day column that names the folders of ``rows``; rows without a day come last.
     """
-    rest = [c for c in rows.columns if c not in order]
-    return rows.orderBy(*[F.desc(c) for c in (*order, *rest)]).limit(n)
+    names = {unquote(part.partition("=")[2]) for file in rows.inputFiles() for part in file.split("/") if part.startswith(f"{folder}=")}
+    days = sorted((name for name in names if name[:1].isdigit()), reverse=True)
+    count = 1
+    while count < len(days):
+        newest = rows.filter(F.col(folder) >= F.lit(days[count - 1]).cast("date"))
+        if newest.select(folder).limit(n).count() >= n:
+            return newest
+        count *= 2
+    return rows
 
 
 def _shown(stored: DataFrame, time: str) -> DataFrame:
@@ -55,21 +93,30 @@ def _shown(stored: DataFrame, time: str) -> DataFrame:
 
 def latest_predictions(stored: DataFrame, n: int = 10) -> DataFrame:
     """The newest n stored rows."""
-    return _newest_first(_shown(stored, "processing_timestamp"), n, "processing_timestamp", "tweet_id")
+    rows = _first_rows(stored, n, ["processing_timestamp", "tweet_id"], "row_key", "event_day")
+    return _shown(rows, "processing_timestamp")
 
 
 def top_confidence(stored: DataFrame, n: int = 10) -> DataFrame:
     """The n most confident rows, newest first among equals."""
-    return _newest_first(_shown(stored, "kafka_timestamp"), n, "confidence", "kafka_timestamp", "tweet_id")
+    rows = _first_rows(stored, n, ["confidence", "kafka_timestamp", "tweet_id"], "row_key", "event_day")
+    return _shown(rows, "kafka_timestamp")
 
 
 def latest_documents(documents: DataFrame, n: int = 10) -> DataFrame:
-    """The newest n documents as display texts, with stand-ins for missing fields."""
+    """The newest n documents as display texts, with stand-ins for missing fields.
+
+    Documents in folders by day are read from the newest folder on, until there are n.
+    """
+    if "processing_day" in documents.columns:
+        documents = newest_folders(documents, "processing_day", n)
     narrow = documents.select(
         "processing_timestamp", "id", "disaster", "location", "confidence", txt.preview(F.col("text")).alias("text")
     )
+    rest = [c for c in narrow.columns if c not in ("processing_timestamp", "id")]
+    first = narrow.orderBy(*[F.desc(c) for c in ("processing_timestamp", "id", *rest)]).limit(n)
     time = F.date_format("processing_timestamp", "yyyy-MM-dd HH:mm:ss")
-    return _newest_first(narrow, n, "processing_timestamp", "id").select(
+    return first.select(
         *[F.coalesce(c, F.lit("N/A")).alias(c) for c in ("id", "disaster", "location")],
         F.format_string("%.3f", F.coalesce("confidence", F.lit(0.0))).alias("confidence"),
         F.concat(F.coalesce("text", F.lit("")), F.lit("...")).alias("text"),

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from alertflow.plans.alerts import failed_rows as failures
 from alertflow.plans.alerts import scored_messages
 from alertflow.schemas import ALERT, ALERT_MESSAGE, MESSAGE
 from alertflow.sinks import stores
-from alertflow.sources import csv_feed, news_feed, store, topics
+from alertflow.sources import csv_feed, csv_ranges, news_feed, store, topics
 from alertflow.streaming import jobs, windows
 from alertflow.streaming.scratch import new_folder
 
@@ -131,6 +132,33 @@ def csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_feed.read_csv(spark, path)
 
 
+@contextmanager
+def split_at(spark: SparkSession, size: str) -> Iterator[None]:
+    """Read files in ranges of this size."""
+    before = spark.conf.get(_RANGE_SIZE)
+    spark.conf.set(_RANGE_SIZE, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(_RANGE_SIZE, before)
+
+
+_RANGE_SIZE = "spark.sql.files.maxPartitionBytes"
+
+
+@registered
+def csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV file with line breaks inside quotes, read in many ranges."""
+    path, read = new_folder(spark, "csv"), new_folder(spark, "rows")
+    rows = feed(spark, sf_dir).select(*MESSAGE.names)
+    whole = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows.coalesce(1).write.options(header="true", escape='"', **whole).csv(path)
+    # The setting counts when the plan runs, so it runs here. Ranges are small enough to make many of the smallest table.
+    with split_at(spark, "256k"):
+        csv_ranges.read_csv_ranges(spark, path).write.parquet(read)
+    return spark.read.parquet(read)
+
+
 @registered
 def kafka_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelopes(spark, sf_dir).select(F.col("value").cast("string").alias("value"), "timestamp")
@@ -447,11 +475,15 @@ def store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(store.read_store(spark, "files", path=path))
 
 
-@registered
-def document_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "documents")
     stores.write_store(timed(main_alerts(spark, sf_dir)), "json", path=path)
-    return store.read_documents(spark, path).drop("processing_day")
+    return store.read_documents(spark, path)
+
+
+@registered
+def document_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_documents(spark, sf_dir).drop("processing_day")
 
 
 @registered
@@ -471,7 +503,7 @@ def latest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def latest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.latest_documents(document_roundtrip(spark, sf_dir), st.REPORT_ROWS)
+    return reports.latest_documents(stored_documents(spark, sf_dir), st.REPORT_ROWS)
 
 
 @registered

@@ -141,6 +141,7 @@ _ALERT_COLUMNS = "id, text, disaster, location, confidence, kafka_timestamp"
 SQL: dict[str, str] = {
     # Sources
     "csv_source": f"WITH {_FEED} SELECT id, keyword, location, text FROM feed",
+    "csv_split": f"WITH {_FEED} SELECT id, keyword, location, text FROM feed",
     "kafka_envelope": f"WITH {_FEED} SELECT {_MESSAGE_JSON} AS value, kafka_timestamp AS timestamp FROM feed",
     "feed_items": f"""
         WITH {_FEED}, lines AS (
