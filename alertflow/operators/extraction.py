@@ -105,6 +105,67 @@ def build_requests(df: DataFrame, template: str = REQUEST_TEMPLATE, text: str =
     return df.select("id", request_text(F.col(text), template).alias("request"))
 
 
+# What became of a request.
+ANSWERED, MALFORMED, REPEATED, UNANSWERED = "answered", "malformed", "repeated", "unanswered"
+
+
+def request_key(request: Column) -> Column:
+    return F.sha2(request, 256)
+
+
+def request_table(df: DataFrame, template: str = REQUEST_TEMPLATE, text: str = "text") -> DataFrame:
+    """``(request_key, request)``: each different request once, however many rows share it.
+
+    Copies collapse where they are read, so a text that a third of the rows have is one row of the shuffle per task.
+    Rows without a text ask nothing.
+    """
+    request = request_text(F.col(text), template)
+    asked = df.select(request.alias("request")).filter(F.col("request").isNotNull())
+    return asked.groupBy(request_key(F.col("request")).alias("request_key")).agg(F.first("request").alias("request"))
+
+
+def unanswered(requests: DataFrame, answers: DataFrame) -> DataFrame:
+    """The requests that have no usable answer yet, to be asked again."""
+    good = answer_table(answers).filter(F.col("answer_state") != MALFORMED)
+    return requests.join(good.select("request_key"), "request_key", "left_anti")
+
+
+def answer_table(answers: DataFrame) -> DataFrame:
+    """``(request_key, location, disaster, answer_state)`` from ``answers(request_key, answer)``, one row per request.
+
+    Answers may come more than once: equal ones, as a replay brings them, count once. Of different usable
+    ones the smallest text is taken, whatever the order they came in, and the state says ``repeated``. A request with none that
+    can be read is ``malformed``.
+    """
+    read = expand(answers.select("request_key", "answer"), decode_extraction(F.col("answer")))
+    usable = F.col("location").isNotNull() | F.col("disaster").isNotNull()
+    row = F.struct("answer", "location", "disaster")
+    first = F.min(F.when(usable, row)).alias("first")
+    per_request = read.groupBy("request_key").agg(first, F.max(F.when(usable, F.col("answer"))).alias("last"))
+    state = F.when(F.col("first").isNull(), MALFORMED).when(F.col("first.answer") < F.col("last"), REPEATED).otherwise(ANSWERED)
+    return per_request.select("request_key", "first.location", "first.disaster", state.alias("answer_state"))
+
+
+def attach_answers(
+    df: DataFrame,
+    answers: DataFrame,
+    template: str = REQUEST_TEMPLATE,
+    text: str = "text",
+) -> DataFrame:
+    """Replace ``location`` and ``disaster`` by the answers of an offline run, and say in ``answer_state`` what became of them.
+
+    ``answers(request_key, answer)`` answers a ``request_table`` made with the same template. Every row stays: one
+    without an answer, or without a text, is ``unanswered``. The join meets one row per request, so a hot
+    request makes a large partition on one side only, which adaptive execution splits.
+    """
+    df = df.drop("location", "disaster")
+    keyed = df.withColumn("request_key", request_key(request_text(F.col(text), template)))
+    joined = keyed.join(answer_table(answers), "request_key", "left")
+    return joined.select(
+        *df.columns, "location", "disaster", F.coalesce("answer_state", F.lit(UNANSWERED)).alias("answer_state")
+    )
+
+
 def extract_fields(df: DataFrame, extractor: Extractor, text: str = "text") -> DataFrame:
     """Replace ``location`` and ``disaster`` by what the extractor finds in the text."""
     return expand(df.drop("location", "disaster"), extractor(F.col(text)))

@@ -430,6 +430,30 @@ def build_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.build_requests(messages.positives(scored_feed(spark, sf_dir)))
 
 
+def asked_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short texts, many of which stand on many pages."""
+    return messages.nonempty_text(segments(spark, sf_dir))
+
+
+@registered
+def request_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.request_table(asked_segments(spark, sf_dir), st.REQUEST)
+
+
+@registered
+def attach_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of a run that left some requests out, answered some in prose and some twice, and came a second time."""
+    asked = asked_segments(spark, sf_dir)
+    requests = extraction.request_table(asked, st.REQUEST)
+    digit = F.substring("request_key", 1, 1)
+    words = F.split_part("request", F.lit(" "), F.lit(-1))
+    good = F.to_json(F.struct(words.alias("location"), digit.alias("disaster")))
+    answer = F.when(digit.isin("2", "3"), F.col("request")).otherwise(good)
+    answers = requests.filter(~digit.isin("0", "1")).select("request_key", answer.alias("answer"))
+    other = requests.filter(digit.isin("3", "4")).select("request_key", F.lit('{"location":"aside"}').alias("answer"))
+    return extraction.attach_answers(asked, answers.unionByName(other).unionByName(answers), st.REQUEST)
+
+
 def half_read_model() -> scoring.Predict:
     """The word-list model, which cannot read texts with an at sign."""
     predict = python_lexicon()

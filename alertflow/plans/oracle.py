@@ -119,6 +119,14 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+_ask_before, _ask_after = st.REQUEST.split("{text}")
+_REQUESTS = f"""
+requests AS (
+  SELECT id, text, {_quoted(_ask_before)} || text || {_quoted(_ask_after)} AS request,
+         sha256({_quoted(_ask_before)} || text || {_quoted(_ask_after)}) AS request_key
+  FROM segments WHERE text <> ''
+)"""
+
 _PHRASES = """
 said AS (
   SELECT id, n, unnest(list_transform(range(1, len(tokens) - n + 2), lambda i: array_to_string(tokens[i:i + n - 1], ' '))) AS term,
@@ -268,6 +276,18 @@ SQL: dict[str, str] = {
     "build_requests": f"""
         WITH {_FEED}, {_scored("feed")}
         SELECT id, {_quoted(_before)} || text || {_quoted(_after)} AS request FROM scored WHERE prediction = 1""",
+    "request_table": f"""
+        WITH {_SEGMENTS}, {_REQUESTS} SELECT DISTINCT request_key, request FROM requests""",
+    "attach_answers": f"""
+        WITH {_SEGMENTS}, {_REQUESTS},
+        told AS (SELECT *, request_key[1] AS digit, regexp_extract(request, '[^ ]*$') AS word FROM requests)
+        SELECT id, text,
+               CASE WHEN digit IN ('0', '1', '2') THEN NULL WHEN digit = '3' THEN 'aside'
+                    WHEN digit = '4' AND word > 'aside' THEN 'aside' ELSE word END AS location,
+               CASE WHEN digit IN ('0', '1', '2', '3') OR (digit = '4' AND word > 'aside') THEN NULL ELSE digit END AS disaster,
+               CASE WHEN digit IN ('0', '1') THEN 'unanswered' WHEN digit = '2' THEN 'malformed'
+                    WHEN digit = '4' THEN 'repeated' ELSE 'answered' END AS answer_state
+        FROM told""",
     "failed_rows": f"""
         WITH {_FEED}
         SELECT CASE WHEN contains(text, chr(10)) THEN 'undecodable' ELSE 'prediction_failed' END AS reason,
