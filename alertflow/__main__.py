@@ -13,7 +13,7 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from alertflow.operators.extraction import DictionaryExtractor
 from alertflow.operators.messages import encode_messages, parse_messages_explicit
 from alertflow.operators.reports import latest_predictions
 from alertflow.operators.scoring import LexiconScorer, model_scorer, transformer_model
-from alertflow.plans.alerts import alerts
+from alertflow.plans.alerts import alert_rows, dead_letters, routed
 from alertflow.session import open_session
 from alertflow.sinks.topics import write_envelopes, write_kafka
 from alertflow.sources import csv_feed, topics
@@ -64,6 +64,7 @@ def parser() -> argparse.ArgumentParser:
     find.add_argument("--places", required=True, help="word list")
     find.add_argument("--types", required=True, help="word list")
     find.add_argument("--store", help="folder of stored predictions")
+    find.add_argument("--dead-letters", help="folder of messages that could not be decoded or scored; default: OUT-dead-letters")
     find.add_argument("--quarantine", help="folder of rows that do not fit the store; default: STORE-quarantine")
     latest = commands.add_parser("latest")
     latest.add_argument("--store", required=True)
@@ -109,26 +110,37 @@ def find(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         raise SystemExit("alerts needs --model or --lexicon")
     extractor = DictionaryExtractor(words(args.places), words(args.types))
-    found = alerts(source(spark, args, "latest"), scorer, extractor)
+    rows = routed(source(spark, args, "latest"), scorer, extractor)
     every = None if args.once else jobs.FILE_TRIGGER
     below = args.checkpoint.rstrip("/")
-    sinks = [lambda rows: jobs.start_files(rows, args.out, f"{below}/json", every)]
+    dead = args.dead_letters or f"{args.out.rstrip('/')}-dead-letters"
+    sinks = [
+        lambda rows: jobs.start_files(alert_rows(rows), args.out, f"{below}/json", every),
+        lambda rows: jobs.start_files(dead_letters(rows), dead, f"{below}/dead-letters", every),
+    ]
     if args.console:
-        sinks.append(lambda rows: jobs.start_console(rows, f"{below}/console", every))
+        sinks.append(lambda rows: jobs.start_console(alert_rows(rows), f"{below}/console", every))
     if args.store:
         bad = args.quarantine or f"{args.store.rstrip('/')}-quarantine"
-        sinks.append(lambda rows: jobs.start_store(rows, args.store, f"{below}/store", every))
-        sinks.append(lambda rows: jobs.start_quarantine(rows, bad, f"{below}/quarantine", every))
+        sinks.append(lambda rows: jobs.start_store(alert_rows(rows), args.store, f"{below}/store", every))
+        sinks.append(lambda rows: jobs.start_quarantine(alert_rows(rows), bad, f"{below}/quarantine", every))
     shared = f"{below}/scored"
-    finish(jobs.start_fan_out(found, shared, f"{below}/alerts", sinks, every), args.once)
 
+    def report() -> None:
+        counts = jobs.running_totals(spark, shared).first().asDict()
+        print("  ".join(f"{name.removeprefix('n_')} {n}" for name, n in counts.items()), flush=True)
 
-def finish(queries: list, once: bool) -> None:
+    finish(jobs.start_routed(rows, shared, f"{below}/alerts", sinks, every), args.once, report)
+
+
+def finish(queries: list, once: bool, report: Callable[[], None] | None = None) -> None:
     if once:
         for query in queries:
             jobs.wait(query)
+        if report is not None:
+            report()
     else:
-        jobs.run_all(queries)
+        jobs.run_all(queries, report=report)
 
 
 def latest(spark: SparkSession, args: argparse.Namespace) -> None:

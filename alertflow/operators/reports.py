@@ -32,6 +32,15 @@ def batch_metrics(scored: DataFrame) -> DataFrame:
     return scored.agg(*_counters())
 
 
+def totals(kinds: DataFrame) -> DataFrame:
+    """The counters of ``batch_metrics`` over rows with the ``kind`` that ``routed`` gives, and two more for what has no score."""
+    of = lambda *names: F.count_if(F.col("kind").isin(*names))
+    return kinds.agg(
+        of("blank", "quiet", "alert", "prediction_failed").alias("n_rows"), of("blank").alias("n_blank"), of("alert").alias("n_positive"),
+        of("prediction_failed").alias("n_failed"), of("empty").alias("n_empty"), of("undecodable").alias("n_undecodable"),
+    )
+
+
 def observed(scored: DataFrame, observation: Observation | str) -> DataFrame:
     """The same counters, taken along the way by whatever action runs the frame.
 

@@ -17,7 +17,7 @@ from alertflow.operators import extraction, messages, reports, scoring, storage
 from alertflow.plans import settings as st
 from alertflow.plans.alerts import alerts as find_alerts
 from alertflow.plans.alerts import failed_rows as failures
-from alertflow.plans.alerts import scored_messages
+from alertflow.plans.alerts import routed, scored_messages
 from alertflow.schemas import ALERT, ALERT_MESSAGE, MESSAGE
 from alertflow.sinks import stores
 from alertflow.sources import csv_feed, csv_ranges, news_feed, store, topics
@@ -466,15 +466,35 @@ def half_read_model() -> scoring.Predict:
     return careful
 
 
-@registered
-def failed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dead letters of a feed that sends texts with line breaks as they are, without JSON around them."""
-    rows = feed(spark, sf_dir)
+def mixed_envelopes(rows: DataFrame) -> DataFrame:
+    """Envelopes of a feed that sends texts with line breaks as they are, without JSON around them."""
     value = F.when(F.col("text").contains("\n"), F.col("text").cast("binary")).otherwise(
         codec.encode_message(*MESSAGE.names)
     )
-    sent = rows.select(value.alias("value"), F.col("kafka_timestamp").alias("timestamp"))
-    return failures(sent, scoring.model_scorer(half_read_model))
+    return rows.select(value.alias("value"), F.col("kafka_timestamp").alias("timestamp"))
+
+
+@registered
+def failed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return failures(mixed_envelopes(feed(spark, sf_dir)), scoring.model_scorer(half_read_model))
+
+
+@registered
+def routed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts and dead letters in one pass over the feed, and how many messages were neither."""
+    rows = routed(mixed_envelopes(feed(spark, sf_dir)), scoring.model_scorer(half_read_model), st.EXTRACTOR)
+    return rows.groupBy("kind", "id", "disaster", "location", "confidence", "payload").agg(F.count(F.lit(1)).alias("n"))
+
+
+@registered
+def running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a stream of several micro-batches that is started again when it has ended."""
+    path, checkpoint = new_folder(spark, "routed"), new_folder(spark, "checkpoint")
+    sent = mixed_envelopes(as_feed(shuffled_stream(spark, sf_dir, "documents")))
+    rows = routed(sent, scoring.model_scorer(half_read_model), st.EXTRACTOR)
+    for _ in range(2):
+        jobs.wait(*jobs.start_routed(rows, path, checkpoint, [], every=None))
+    return jobs.running_totals(spark, path)
 
 
 # Counts

@@ -119,6 +119,14 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+_SORTED = f"""
+sorted AS (
+  SELECT *, CASE WHEN contains(text, chr(10)) THEN 'undecodable' WHEN text = '' THEN 'empty'
+                 WHEN contains(text, '@') THEN 'prediction_failed' WHEN prediction = 1 THEN 'alert'
+                 WHEN {_BLANK} THEN 'blank' ELSE 'quiet' END AS kind
+  FROM scored
+)"""
+
 _ask_before, _ask_after = st.REQUEST.split("{text}")
 _REQUESTS = f"""
 requests AS (
@@ -293,6 +301,21 @@ SQL: dict[str, str] = {
         SELECT CASE WHEN contains(text, chr(10)) THEN 'undecodable' ELSE 'prediction_failed' END AS reason,
                CASE WHEN NOT contains(text, chr(10)) THEN id END AS id, text AS payload, kafka_timestamp
         FROM feed WHERE contains(text, chr(10)) OR contains(text, '@')""",
+    "routed_rows": f"""
+        WITH {_FEED}, {_scored("feed")}, {_SORTED}
+        SELECT kind, CASE WHEN kind IN ('alert', 'prediction_failed') THEN id END AS id,
+               CASE WHEN kind = 'alert' THEN {_first(st.TYPES)} END AS disaster,
+               CASE WHEN kind = 'alert' THEN {_first(st.PLACES)} END AS location,
+               CASE WHEN kind = 'alert' THEN confidence END AS confidence,
+               CASE WHEN kind IN ('undecodable', 'prediction_failed') THEN text END AS payload, count(*) AS n
+        FROM sorted GROUP BY ALL""",
+    "running_totals": f"""
+        WITH {_FEED}, {_scored("feed")}, {_SORTED}
+        SELECT count(*) FILTER (WHERE kind NOT IN ('undecodable', 'empty')) AS n_rows,
+               count(*) FILTER (WHERE kind = 'blank') AS n_blank, count(*) FILTER (WHERE kind = 'alert') AS n_positive,
+               count(*) FILTER (WHERE kind = 'prediction_failed') AS n_failed, count(*) FILTER (WHERE kind = 'empty') AS n_empty,
+               count(*) FILTER (WHERE kind = 'undecodable') AS n_undecodable
+        FROM sorted""",
     # Counts
     "positive_count": f"""
         WITH {_FEED}, {_scored("feed")} SELECT count(*) AS n_positive FROM scored WHERE prediction = 1""",

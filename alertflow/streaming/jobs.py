@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from alertflow.operators.reports import totals
 from alertflow.operators.storage import checked, quarantine_rows, storage_rows
 from alertflow.sinks.stores import BLOOM, with_folder, write_files
 from alertflow.sources.store import read_runs
@@ -203,6 +204,32 @@ def start_fan_out(
     return [first, *[start(shared) for start in sinks]]
 
 
+def start_routed(
+    routed_rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    sinks: Iterable[Callable[[DataFrame], StreamingQuery]],
+    every: str | None = FILE_TRIGGER,
+) -> list[StreamingQuery]:
+    """``start_fan_out`` of all that became of the messages, in folders by kind; every sink gets the rows of ``routed``.
+
+    A sink that filters by kind reads that folder only. What is written here counts once, whatever batch is
+    tried again and however often the query is stopped, so ``running_totals`` of this folder are exact.
+    """
+    writer = routed_rows.writeStream.outputMode("append").format("parquet").partitionBy("kind")
+    first = paced(writer.option("path", path).option("checkpointLocation", checkpoint), every).start()
+    if every is None:
+        first.awaitTermination()
+    spark = routed_rows.sparkSession
+    return [first, *[start(spark.readStream.schema(routed_rows.schema).parquet(path)) for start in sinks]]
+
+
+def running_totals(spark: SparkSession, path: str) -> DataFrame:
+    """What became of all messages so far, one row; counts come from the folders' names and the files' row counts."""
+    kinds = spark.read.schema("kind string, kafka_timestamp timestamp_ntz").parquet(path)
+    return totals(kinds.select("kind"))
+
+
 def wait(query: StreamingQuery, seconds: float | None = None) -> bool:
     """Wait for the query to end, for so long at most; it runs on if it has not ended."""
     if seconds is None:
@@ -211,15 +238,25 @@ def wait(query: StreamingQuery, seconds: float | None = None) -> bool:
     return bool(query.awaitTermination(seconds))
 
 
-def run_all(queries: Iterable[StreamingQuery], poll_seconds: float = 1.0) -> None:
+def run_all(
+    queries: Iterable[StreamingQuery],
+    poll_seconds: float = 1.0,
+    report: Callable[[], None] | None = None,
+    report_seconds: float = 20.0,
+) -> None:
     """Wait until any query ends, then stop all; the failure of any one is raised.
 
-    Waiting for the first query, then the second, would hide a failure of the second.
+    Waiting for the first query, then the second, would hide a failure of the second. Meanwhile ``report`` is called every
+    ``report_seconds``.
     """
     queries = list(queries)
+    due = time.monotonic() + report_seconds
     try:
         while all(query.isActive for query in queries):
             time.sleep(poll_seconds)
+            if report is not None and time.monotonic() >= due:
+                report()
+                due = time.monotonic() + report_seconds
     finally:
         for query in queries:
             query.stop()
