@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -16,7 +17,7 @@ from alertflow.streaming.scratch import new_folder
 #: Rows in one file of a ranked table, and so in one window of ``ranked``.
 ROWS_PER_FILE = 500_000
 #: Bits of the map that tells which keys a join will want.
-BITMAP = 1 << 22
+BITMAP = 1 << 24
 
 
 def written(df: DataFrame, purpose: str, **options) -> DataFrame:
@@ -36,8 +37,13 @@ def delete_on_exit(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
 
 
-def drop(df: DataFrame) -> None:
-    """Delete a table made by ``written`` that nothing reads any more."""
+def drop(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that nothing reads any more."""
+    for df in tables:
+        _drop(df)
+
+
+def _drop(df: DataFrame) -> None:
     spark = df.sparkSession
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -119,30 +125,6 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def place_map(key: str, wanted: DataFrame) -> tuple[Column, Broadcast]:
-    """A key's place in a bitmap, and the broadcast map (``np.packbits``) of the places in ``wanted``.
-
-    The map has a fixed size, so it keeps most rows that a join would drop from being shuffled, not all.
-    """
-    place = F.pmod(F.xxhash64(key), F.lit(BITMAP)).cast("int")
-    bits = np.zeros(BITMAP, bool)
-    bits[wanted.select(place.alias("place")).distinct().toArrow()["place"].to_numpy()] = True
-    return place, wanted.sparkSession.sparkContext.broadcast(np.packbits(bits))
-
-
-def likely_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """``df`` without most of the rows whose ``key`` is not in ``wanted``, before a join that finds the rest."""
-    place, bits = place_map(key, wanted)
-
-    @F.pandas_udf("boolean")
-    def known(places: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        asked = np.unpackbits(bits.value).view(bool)
-        for batch in places:
-            yield pd.Series(asked[batch.to_numpy(np.int64)])
-
-    return df.filter(known(place))
-
-
 def bitmap(slots: DataFrame, slot: str, bits: int) -> np.ndarray:
     """The places (0 to ``bits`` - 1) in a column as a map of ``bits`` // 64 numbers.
 
@@ -161,6 +143,28 @@ def in_bitmap(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (bits[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) != 0
 
 
+def place_map(key: str, wanted: DataFrame) -> tuple[Column, Broadcast]:
+    """A key's place in a map of ``BITMAP`` bits, and the broadcast ``bitmap`` of the places in ``wanted``.
+
+    The map has a fixed size, so it keeps most rows that a join would drop from being shuffled, not all; of very many keys
+    it keeps none.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(BITMAP)).alias("place")
+    return place, wanted.sparkSession.sparkContext.broadcast(bitmap(wanted.select(place), "place", BITMAP))
+
+
+def likely_in(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``df`` without most of the rows whose ``key`` is not in ``wanted``, before a join that finds the rest."""
+    place, bits = place_map(key, wanted)
+
+    @F.pandas_udf("boolean")
+    def known(places: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in places:
+            yield pd.Series(in_bitmap(bits.value, batch.to_numpy(np.uint64)))
+
+    return df.filter(known(place))
+
+
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The rows of each value of ``key``, from batches that are sorted by it."""
     held: list[pa.RecordBatch] = []
@@ -180,5 +184,24 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def blocks(batches: Iterator[pa.RecordBatch], answer: str) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """Whether these are answers, and rows of one block: from batches sorted by ``block``, answers first.
+
+    Rows with a value in the column ``answer`` are answers; a block always has its answers in one or more parts, empty if there
+    is none, before its other rows.
+    """
+    current = None
+    for batch in batches:
+        block, answers = batch.column("block").to_numpy(), batch.column(answer).is_valid().to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((block[1:] != block[:-1]) | (answers[1:] != answers[:-1])) + 1
+        for start, end in itertools.pairwise([0, *cuts.tolist(), len(block)]):
+            if start == end:
+                continue
+            if block[start] != current:
+                current = block[start]
+                yield True, batch.slice(start, 0)
+            yield bool(answers[start]), batch.slice(start, end - start)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -7,15 +7,16 @@ they must share, so:
 * light sets (no larger than a boundary) enumerate their subsets of just that many shingles, for each
   partner size. Sets that meet in a subset are linked without looking at them again, by a star, so a
   group of any size gives as many links as it has rows;
-* heavy sets put a prefix of their shingles into inverted lists, rare shingles first. Lists are scanned
-  in rounds: members are compared with the list's leader, and what is linked becomes one component. When
+* heavy sets put a prefix of their shingles into inverted lists, rare shingles first, as counted over all rows; what no other row
+  has needs no list. Lists are scanned in rounds: members are compared with the list's leader, and what is linked becomes one component. When
   few pairs are left, every pair of a list that is in two components is compared, unless the number and places
   of the lists that it shares rule a link out. Groups of near copies collapse in the first rounds, so
   their pairs are never all made; no link between components is left out.
 
 The boundary is the size at which the summed cost of both ways, taken from the counts of sizes, is least.
-The order of shingles is any fixed order; which ones come last as frequent is learned from
-``SAMPLE_ROWS`` rows, and at most ``FREQUENT`` of them are sent to the tasks. Results don't depend on it.
+Counts are made by range of hash, and go back to the blocks of rows that sent the shingles, a block being what one task
+reads; ranges follow the size of the texts. Results depend on the order only in that all sets have the same one. ``docs`` must come
+in the same order at each reading, as tables in files do.
 
 Defined results: texts without words (or null) have no shingles and link with nothing; fewer words than
 a shingle make the whole sequence the only one; letters A-Z are lower-cased, nothing else; repeated
@@ -25,23 +26,27 @@ another id is there; other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from alertflow.llm.common import components, drop, place_map, written
+from alertflow.llm.common import blocks, components, drop, groups, in_bitmap, place_map, written
 
 WORDS = 5
 #: Similarity as a fraction of whole numbers.
 SHARE = (80, 100)
-SAMPLE_ROWS = 32_000
-FREQUENT_LEAST = 4
-FREQUENT = 1 << 18
+#: Bytes of text for which there is one range of hashes, and hashes a task holds before it hands them on.
+RANGE_BYTES = 1 << 23
+HELD = 2_000_000
 #: No light boundary is looked for above this size; subsets grow too fast there.
 LIGHT_MOST = 32
 #: Cost of an entry of an inverted list against that of a subset: it is shuffled twice and compared.
@@ -129,45 +134,119 @@ def _longs(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values).view(np.int64)
 
 
-def frequent(docs: DataFrame, words: int) -> np.ndarray:
-    """The shingles that are common in a bounded sample of rows, sorted."""
-    rows = docs.count()
-    part = F.xxhash64("doc_id", F.length("text"))
-    sample = docs.filter((F.pmod(part, F.lit(1 << 20)) * max(rows, 1)) < SAMPLE_ROWS * (1 << 20))
+def shared_levels(docs: DataFrame, words: int, ranges: int) -> DataFrame:
+    """(block, range, keys, levels): the shingles of each block that more than one row has, with the logarithm of their count."""
+    bits, most = max(ranges - 1, 1).bit_length(), HELD
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingles(text, words) for text in batch["text"]]
-            keys, n = np.unique(np.concatenate([*sets, np.zeros(0, U)]), return_counts=True)
-            yield pd.DataFrame({"key": _longs(keys), "n": n})
-
-    counted = sample.select("text").mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    top = counted.filter(F.col("n") >= FREQUENT_LEAST).orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
-    return np.sort(top["key"].to_numpy().view(U))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = block = 0
 
+        def packed() -> pa.RecordBatch:
+            # The highest bits name the range, the next 32 are the key in it.
+            keys, n = np.unique(np.concatenate([*held, np.zeros(0, U)]) >> U(32 - bits), return_counts=True)
+            held.clear()
+            names, first = np.unique((keys >> U(32)).astype(np.int32), return_index=True)
+            spans = list(itertools.pairwise([*first.tolist(), len(keys)]))
+            short, few = keys.astype(np.uint32), np.minimum(n, 255).astype(np.uint8)
+            columns = [
+                pa.array(names), pa.array([block] * len(names), pa.int64()),
+                pa.array([short[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([few[a:b].tobytes() for a, b in spans], pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["range", "block", "keys", "counts"])
 
-def _set_rows(docs: DataFrame, words: int, share: tuple[int, int], common) -> DataFrame:
-    """(row, doc_id, node, n, prefix, small): a row per document; ``small`` is the whole set of a small one."""
-    most_small = LIGHT_MOST * share[1] // share[0]
-
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        late = common.value
         for batch in batches:
-            node, n, prefix, small = [], [], [], []
-            for text in batch["text"]:
+            block = batch.column("block")[0].as_py() if batch.num_rows else block
+            for text in batch.column("text").to_pylist():
+                held.append(shingles(text, words))
+                size += len(held[-1])
+                if size >= most:
+                    yield packed()
+                    size = 0
+        yield packed()
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, "range"):
+            sent = [np.frombuffer(k, np.uint32) for k in rows.column("keys").to_pylist()]
+            keys, n = np.concatenate(sent), np.concatenate([np.frombuffer(c, np.uint8) for c in rows.column("counts").to_pylist()])
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], n[order].astype(np.int64)
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+            n = np.add.reduceat(n, first) if len(first) else n
+            several = n > 1
+            keys, levels = keys[first][several], np.minimum(np.log2(n[several]), 255).astype(np.uint8)
+            found: dict[int, list] = {}
+            for block, mine in zip(rows.column("block").to_pylist(), sent, strict=True):
+                at = np.minimum(np.searchsorted(keys, mine), max(len(keys) - 1, 0))
+                found.setdefault(block, []).append(at[keys[at] == mine] if len(keys) else at[:0])
+            places = {block: np.unique(np.concatenate(parts)) for block, parts in found.items()}
+            columns = [
+                pa.array(list(places), pa.int64()), pa.array([rows.column("range")[0].as_py()] * len(places), pa.int32()),
+                pa.array([keys[at].tobytes() for at in places.values()], pa.binary()), pa.array([levels[at].tobytes() for at in places.values()], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "range", "keys", "levels"])
+
+    sent = docs.select(block_of("row"), "text").mapInArrow(count, "range int, block long, keys binary, counts binary")
+    return sent.repartition("range").sortWithinPartitions("range").mapInArrow(answer, "block long, range int, keys binary, levels binary")
+
+
+def block_of(row: str) -> Column:
+    """The rows that one task reads, from the number that ``monotonically_increasing_id`` gives."""
+    return F.shiftright(row, 33).alias("block")
+
+
+SET = "row long, node long, n long, keys array<long>, places array<int>, small array<long>"
+
+
+def _set_rows(docs: DataFrame, levels: DataFrame, words: int, share: tuple[int, int], ranges: int) -> DataFrame:
+    """``SET`` with doc_id: the shared shingles of each document's prefix with their places, and the whole set of a small one."""
+    most_small = LIGHT_MOST * share[1] // share[0]
+    shift = U(32 - max(ranges - 1, 1).bit_length())
+    texts = docs.select(block_of("row"), F.lit(None).cast("int").alias("range"), "row", "doc_id", "text")
+    both = texts.unionByName(levels, allowMissingColumns=True)
+    both = both.repartition("block").sortWithinPartitions("block", F.desc("range"))
+    schema = StructType([*StructType.fromDDL(SET).fields, StructField("doc_id", docs.schema["doc_id"].dataType)])
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, level, held = np.zeros(0, U), np.zeros(0, np.uint8), []
+        for is_answer, batch in blocks(batches, "range"):
+            if is_answer:
+                if not batch.num_rows:
+                    held = [(np.zeros(0, U), np.zeros(0, np.uint8))]
+                columns = (batch.column(c).to_pylist() for c in ("range", "keys", "levels"))
+                for name, keys, of in zip(*columns, strict=True):
+                    held.append((np.frombuffer(keys, np.uint32).astype(U) | U(name) << U(32), np.frombuffer(of, np.uint8)))
+                continue
+            if held:
+                known, level = (np.concatenate(part) for part in zip(*held, strict=True))
+                order = np.argsort(known)
+                known, level, held = known[order], level[order], []
+            node, n, keys_of, places_of, small = [], [], [], [], []
+            for text in batch.column("text").to_pylist():
                 keys = shingles(text, words)
                 n.append(len(keys))
                 node.append(int(_longs(mix(mix(keys).sum(keepdims=True, dtype=U) + U(len(keys))))[0]) if len(keys) else None)
                 small.append(_longs(keys) if len(keys) <= most_small else None)
-                if len(late) and len(keys):
-                    at = np.minimum(late.searchsorted(keys), len(late) - 1)
-                    last = late[at] == keys
-                    keys = np.concatenate([keys[~last], keys[last]])
-                prefix.append(_longs(keys[: prefix_size(len(keys), share)]) if len(keys) else None)
-            out = batch[["row", "doc_id"]].assign(n=n, prefix=prefix, small=small, node=pd.array(node, "Int64"))
-            yield out[["row", "doc_id", "node", "n", "prefix", "small"]]
-
-    return docs.mapInPandas(build, "row long, doc_id long, node long, n long, prefix array<long>, small array<long>")
+                of = np.zeros(len(keys), np.int16)
+                if len(known) and len(keys):
+                    short = keys >> shift
+                    at = np.minimum(np.searchsorted(known, short), len(known) - 1)
+                    there = known[at] == short
+                    # One that a single row has comes first, at level -1.
+                    of = np.where(there, level[at].astype(np.int16), -1)
+                else:
+                    of -= 1
+                first = np.lexsort((keys, of))[: prefix_size(len(keys), share)] if len(keys) else np.zeros(0, np.int64)
+                places = np.flatnonzero(of[first] >= 0)
+                keys_of.append(_longs(keys[first[places]]))
+                places_of.append(places.astype(np.int32))
+            arrays = [
+                batch.column("row"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(keys_of, pa.list_(pa.int64())),
+                pa.array(places_of, pa.list_(pa.int32())), pa.array(small, pa.list_(pa.int64())), batch.column("doc_id"),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, schema.names)
+
+    return both.mapInArrow(build, schema)
 
 
 def _light_links(sets: DataFrame, light: int, share: tuple[int, int]) -> DataFrame:
@@ -203,21 +282,20 @@ def _light_links(sets: DataFrame, light: int, share: tuple[int, int]) -> DataFra
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, set) for the ``wanted`` (node, row), worked out from their texts again."""
-
     place, bits = place_map("row", wanted)
 
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        asked = np.unpackbits(bits.value).view(bool)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            some = batch[asked[batch["place"].to_numpy(np.int64)]]
-            yield pd.DataFrame({"row": some["row"], "set": [shingles(text, words).tobytes() for text in some["text"]]})
+            some = batch.filter(pa.array(in_bitmap(bits.value, batch.column("place").to_numpy().astype(U))))
+            sets = [shingles(text, words).tobytes() for text in some.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([some.column("row"), pa.array(sets, pa.binary())], ["row", "set"])
 
-    found = docs.select("row", "text", place.alias("place")).mapInPandas(whole, "row long, set binary")
+    found = docs.select("row", "text", place).mapInArrow(whole, "row long, set binary")
     return found.join(wanted, "row").select("node", "set")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """The pairs (src, dst) that link, by counting what their whole sets share."""
+    """The pairs (src, dst, low, high) that link, by counting what their whole sets share."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -226,11 +304,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> Data
                 a, b = np.frombuffer(one, U), np.frombuffer(two, U)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 good.append(both * share[1] >= share[0] * (len(a) + len(b) - both))
-            yield batch.loc[np.array(good, bool), ["src", "dst"]]
+            yield batch.loc[np.array(good, bool), ["src", "dst", "low", "high"]]
 
     one = sets.select(F.col("node").alias("src"), F.col("set").alias("one"))
     two = sets.select(F.col("node").alias("dst"), F.col("set").alias("two"))
-    return pairs.join(one, "src").join(two, "dst").mapInPandas(check, "src long, dst long")
+    return pairs.join(one, "src").join(two, "dst").mapInPandas(check, "src long, dst long, low long, high long")
 
 
 def _met_early(met: DataFrame, share: tuple[int, int], more: int) -> DataFrame:
@@ -250,7 +328,7 @@ def _met_early(met: DataFrame, share: tuple[int, int], more: int) -> DataFrame:
 
     early = met.filter((F.least(n, m) * b >= F.greatest(n, m) * a) & (i < counted(n)) & (j < counted(m)))
     return early.select(
-        F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"),
+        F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"), "low", "high",
         *(F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("n", "m"), ("i", "j"))),
         *(F.when(turned, F.col(x)).otherwise(F.col(y)).alias(y) for x, y in (("n", "m"), ("i", "j"))),
         F.greatest(n - counted(n), m - counted(m)).alias("after"),
@@ -258,7 +336,7 @@ def _met_early(met: DataFrame, share: tuple[int, int], more: int) -> DataFrame:
 
 
 def _possible(met: DataFrame, share: tuple[int, int], more: int = MORE_PLACES) -> DataFrame:
-    """Distinct pairs (src, dst) of ``met`` (a, n, i, b, m, j per shared list) that may link.
+    """Distinct pairs (src, dst, low, high) of ``met`` (a, n, i, b, m, j per shared list, and their components) that may link.
 
     After the last list that two sets share, at places i and j, they can share no more than what is left
     of either; and past the places that count, no more than ``after``.
@@ -267,35 +345,35 @@ def _possible(met: DataFrame, share: tuple[int, int], more: int = MORE_PLACES) -
     n, m, i, j = (F.col(c) for c in ("n", "m", "i", "j"))
     counted = _met_early(met, share, more).groupBy("src", "dst").agg(
         F.count(F.lit(1)).alias("both"), F.first("n").alias("n"), F.first("m").alias("m"),
-        F.max("i").alias("i"), F.max("j").alias("j"), F.first("after").alias("after"),
+        F.max("i").alias("i"), F.max("j").alias("j"), F.first("after").alias("after"), F.first("low").alias("low"), F.first("high").alias("high"),
     )
     most = F.col("both") + F.least(n - i - 1, m - j - 1, "after")
-    return counted.filter(most * (a + b) >= (n + m) * a).select("src", "dst")
+    return counted.filter(most * (a + b) >= (n + m) * a).select("src", "dst", "low", "high")
+
+
+def _pair(one: str, two: str) -> list[Column]:
+    return [F.least(one, two).alias("low"), F.greatest(one, two).alias("high")]
 
 
 def _heavy_links(docs: DataFrame, sets: DataFrame, light: int, words: int, share: tuple[int, int], known: DataFrame) -> DataFrame:
-    """Links that join all heavy sets which link, given the links already ``known``."""
+    """Links that join all heavy sets which link, the ``known`` ones included."""
     heavy = sets.filter(F.col("n") > light)
-    entries = heavy.select(F.posexplode("prefix").alias("at", "key"), "node", F.col("n").cast("int").alias("n"))
-    # One shuffle finds the lists of at least two sets, and one entry for each set in them.
-    ordered = Window.partitionBy("key").orderBy("node")
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    entries = entries.select(
-        "key", "node", "n", "at", F.lag("node").over(ordered).alias("before"),
-        F.first("node").over(whole).alias("lo"), F.last("node").over(whole).alias("hi"),
-    )
-    entries = entries.filter("lo <> hi AND (before IS NULL OR before <> node)")
-    entries = written(entries.select("key", "node", "n", "at"), "lists")
+    entries = heavy.select("node", F.col("n").cast("int").alias("n"), F.explode(F.arrays_zip("places", "keys")).alias("e"))
+    # Equal sets have equal entries, which combine before they are shuffled.
+    entries = entries.groupBy(F.col("e.keys").alias("key"), "node").agg(F.min("n").alias("n"), F.min("e.places").alias("at"))
+    entries = written(entries, "entries")
+    shared = entries.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("key")
+    label = components(known).select("node", F.col("component").alias("_component"))
+    listed = entries.join(shared, "key").join(label, "node", "left")
+    members = written(listed.select("key", "node", "n", "at", F.coalesce("_component", "node").alias("component")), "members")
+    drop(entries)
     rows = written(heavy.groupBy("node").agg(F.min("row").alias("row")), "rows")
 
-    links, seen, turn = known, None, 0
+    links, compared, turn = [known], [], 0
     while True:
-        label = components(links).select("node", F.col("component").alias("_component"))
-        members = entries.join(label, "node", "left").select(
-            "key", "node", "n", "at", F.coalesce("_component", "node").alias("component")
-        )
         split = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         open_lists = written(members.join(split.filter("lo <> hi").select("key"), "key"), "open")
+        drop(members)
         parts = open_lists.groupBy("key", "component").agg(F.count(F.lit(1)).alias("rows"))
         lists = parts.groupBy("key").agg(F.max_by("component", "rows").alias("main"), F.max("rows").alias("most"), F.sum("rows").alias("rows"))
         lists = written(lists, "sizes")
@@ -313,42 +391,48 @@ def _heavy_links(docs: DataFrame, sets: DataFrame, light: int, words: int, share
             met = others.join(theirs, "key").filter(
                 (F.col("mine") != F.col("component")) & (F.col("is_main") | (F.col("a") < F.col("b")))
             )
+            met = met.select("a", "n", "i", "b", "m", "j", *_pair("mine", "component"))
         else:
             chosen = F.xxhash64("node", F.lit(turn))
             lead = open_lists.groupBy("key").agg(F.min_by(F.struct("node", "n", "at", "component"), chosen).alias("lead"))
             met = open_lists.join(lead, "key").filter(F.col("component") != F.col("lead.component")).select(
-                F.col("node").alias("a"), "n", F.col("at").alias("i"),
-                F.col("lead.node").alias("b"), F.col("lead.n").alias("m"), F.col("lead.at").alias("j"),
+                F.col("node").alias("a"), "n", F.col("at").alias("i"), F.col("lead.node").alias("b"), F.col("lead.n").alias("m"),
+                F.col("lead.at").alias("j"), *_pair("component", "lead.component"),
             )
         pairs = _possible(met, share)
-        if seen is not None:
-            pairs = pairs.join(seen, ["src", "dst"], "left_anti")
+        for before in compared:
+            pairs = pairs.join(before.select("src", "dst"), ["src", "dst"], "left_anti")
         pairs = written(pairs, "pairs")
         ends = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct()
         wanted = written(ends.join(rows, "node"), "wanted")
-        found = written(_verified(pairs, written(_whole_sets(docs, wanted, words), "sets"), share), "links")
-        links = links.unionByName(found)
-        seen = pairs if seen is None else seen.unionByName(pairs)
-        drop(open_lists)
-        drop(lists)
+        whole = written(_whole_sets(docs, wanted, words), "sets")
+        found = written(_verified(pairs, whole, share), "links")
+        drop(wanted, whole, lists)
+        links.append(found.select("src", "dst"))
+        compared.append(pairs)
         turn += 1
         if last:
-            break
-    drop(entries)
-    return written(links, "links")
+            drop(open_lists, rows, *compared)
+            return reduce(DataFrame.unionByName, links)
+        # Components grow together by the new links alone.
+        step = components(found.select(F.col("low").alias("src"), F.col("high").alias("dst")))
+        step = step.select(F.col("node").alias("component"), F.col("component").alias("_next"))
+        members = open_lists.join(step, "component", "left").withColumn("component", F.coalesce("_next", "component")).drop("_next")
+        members = written(members, "members")
+        drop(open_lists)
 
 
 def _components(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
     """(row, doc_id, n_shingles, component) of ``docs`` (row, doc_id, text); texts without words have none."""
-    common = docs.sparkSession.sparkContext.broadcast(frequent(docs, words))
-    sets = written(_set_rows(docs, words, share, common), "shingles")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = 1 << max(size // RANGE_BYTES, 1).bit_length()
+    sets = written(_set_rows(docs, shared_levels(docs, words, ranges), words, share, ranges), "shingles")
     # Sizes above the bound have no part in the boundary: they are heavy at any of them.
     most = LIGHT_MOST * share[1] // share[0]
     sizes = sets.filter((F.col("n") > 0) & (F.col("n") <= most)).groupBy("n").count().collect()
     light = boundary({row["n"]: row["count"] for row in sizes}, share)
     known = written(_light_links(sets, light, share), "links")
-    links = _heavy_links(docs, sets, light, words, share, known)
-    joined = components(links).select("node", "component")
+    joined = components(_heavy_links(docs, sets, light, words, share, known)).select("node", "component")
     placed = sets.select("row", "doc_id", "node", F.col("n").alias("n_shingles")).join(joined, "node", "left")
     return placed.select("row", "doc_id", "n_shingles", F.coalesce("component", "node").alias("component"))
 

@@ -7,8 +7,8 @@ pieces that are at least as good as any other set with the same largest piece, m
 packed best fit, longest first. The plan comes back as runs: the pieces of one length with ranks from a
 to b go to so many sequences at one offset. Ranks are counted in Spark without gathering a length.
 
-Defined results: null and empty texts are the end token alone; repeated rows are packed each; ties of
-length are ordered by place in the written table; other columns are ignored; an empty table gives none.
+Defined results: null and empty texts are the end token alone; repeated rows are packed each, and ids, null ones too, come back as
+they are; long texts are tokenised whole, and so held by one task; ties of length are ordered by place in the written table; other columns are ignored; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from alertflow.llm.common import ranked
 
@@ -94,27 +96,39 @@ _loaded: list[WordIds] = []
 def tokenised(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """The pieces (doc_id, piece, start, length, ids_crc32) of all documents, and ``ids`` if asked for."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not _loaded or _loaded[0].path != path:
             _loaded[:] = [WordIds(path)]
         end = np.asarray([END_TOKEN], "<u4").tobytes()
         for batch in batches:
-            rows = []
-            texts = [text or "" for text in batch["text"]]
+            texts = [text or "" for text in batch.column("text").to_pylist()]
             share = np.cumsum([len(text) for text in texts]) // CHARS_AT_ONCE
             cuts = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(texts)]
             coded = (ids for a, b in zip(cuts, cuts[1:], strict=False) for ids in _loaded[0].encode(texts[a:b]))
-            for doc_id, ids in zip(batch["doc_id"], coded, strict=True):
+            row_of, piece_of, start_of, length_of, sums, parts = [], [], [], [], [], []
+            for row, ids in enumerate(coded):
                 ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
-                    row = (doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part))
-                    rows.append((*row, part) if with_ids else row)
-            columns = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 if with_ids else 5]
-            yield pd.DataFrame(rows, columns=columns)
-
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
-    return docs.select("doc_id", "text").mapInPandas(cut, schema)
+                    row_of.append(row)
+                    piece_of.append(piece)
+                    start_of.append(start // 4)
+                    length_of.append(len(part) // 4)
+                    sums.append(zlib.crc32(part))
+                    if with_ids:
+                        parts.append(part)
+            # Ids go along as they are: a column with a null among large ids would not come back the same from pandas.
+            columns = [batch.column("doc_id").take(pa.array(row_of, pa.int64())), pa.array(piece_of, pa.int32())]
+            columns += [pa.array(values, pa.int64()) for values in (start_of, length_of, sums)]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            if with_ids:
+                columns.append(pa.array(parts, pa.binary()))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = "piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
+    schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *StructType.fromDDL(schema).fields])
+    return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 
 @dataclass(frozen=True)
