@@ -38,12 +38,13 @@ from alertflow.llm.suffixes import common_prefixes, suffix_array
 LENGTH = 200
 GRAM = 64
 #: Bytes of text worked on at once; places in it take ``PLACE_BITS``.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 PLACE_BITS = 24
 BITS = 1 << 26
 SHARD_BYTES = 1 << 20
 #: Segments of one name in a shard.
 SEGMENTS = 2048
+ROWS_AT_ONCE = 20_000
 
 U = np.uint64
 _PLACE = U((1 << PLACE_BITS) - 1)
@@ -109,7 +110,8 @@ def segments(held: list[bytes], length: int) -> tuple[memoryview, np.ndarray, np
 
 
 def _slots(names: np.ndarray) -> np.ndarray:
-    return names >> U(64 - BITS.bit_length() + 1)
+    # Names are the least of many hashes, so they are spread again.
+    return mix(names) >> U(64 - BITS.bit_length() + 1)
 
 
 def repeated_names(docs: DataFrame, length: int) -> np.ndarray:
@@ -213,8 +215,14 @@ def repeated_in_shards(cut: DataFrame, length: int) -> DataFrame:
         held: list[tuple] = []
         size = 0
 
-        def flushed() -> pa.RecordBatch:
-            out = []
+        def packed(out: list[tuple]) -> pa.RecordBatch:
+            names = [c.split()[0] for c in WINDOW_RANGE.split(", ")]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
+            columns = list(zip(*out, strict=True)) if out else [[]] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            out: list[tuple] = []
             targets: set[tuple] = set()
             for (name, kind, body, key), marks in zip(held, _in_shard([h[2] for h in held], length) if held else [], strict=True):
                 here = (name, kind["d1"], kind["d2"])
@@ -229,18 +237,18 @@ def repeated_in_shards(cut: DataFrame, length: int) -> DataFrame:
                             # What is known to repeat only has to be met by windows of other shards.
                             targets.add((key, w1, w2))
                             out.append((*here, i, 0, w1, w2, key))
-            names = [c.split()[0] for c in WINDOW_RANGE.split(", ")]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
-            columns = list(zip(*out, strict=True)) if out else [[]] * len(names)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+                if len(out) > ROWS_AT_ONCE:
+                    yield packed(out)
+                    out = []
+            yield packed(out)
 
         for rows in groups(batches, "key"):
             held += zip(*(rows.column(c).to_pylist() for c in ("name", "kind", "bytes", "key")), strict=True)
             size += rows.column("bytes").nbytes
             if size >= most:
-                yield flushed()
+                yield from flushed()
                 held, size = [], 0
-        yield flushed()
+        yield from flushed()
 
     return cut.repartition("key").sortWithinPartitions("key").mapInArrow(search, WINDOW_RANGE)
 
