@@ -4,47 +4,50 @@ Words of the labelled rows are counted per class, and from them character n-gram
 is counted for toxic and for ordinary rows apart; all lower orders are one shared model of
 continuation counts, so an expression too rare in one class is smoothed by what both share. A word's
 evidence is the difference of its two log-likelihoods; a document is compared by evidence per
-character, over the whole text and over its strongest window of words, and two numbers are turned
-into a probability by a logistic curve fitted on labelled rows kept out of the counts.
+character, over the whole text and over its strongest windows of words, and by its strongest different words. These
+numbers are turned into a probability by a logistic curve fitted on labelled rows kept out of the counts; where these have
+one class only, on all labelled rows.
 
 Counts are made by Spark over all labelled rows, and all are kept, in written tables: documents are
-dealt in blocks, and the distinct n-grams of each block are joined with the counts. ``CALIBRATION_ROWS`` is
-about how many labelled rows, those of lowest text hash, the curve is fitted to on the driver: two numbers and
-a label of each.
+dealt in blocks, each asks for its distinct n-grams once, and gets their values back. ``CALIBRATION_ROWS`` is
+about how many labelled rows, those of lowest text hash, the curve is fitted to on the driver: a dozen numbers and
+a label of each. ``docs`` must be dealt to tasks alike at each reading, as tables in files are.
 
 Defined results: null and empty texts and texts without words get the evidence 0, and so the score
 that the curve has there; words are runs of letters, digits and underscores in lower case; a document
 labelled twice counts as toxic if any label is 1; null labels are ignored; repeated rows are scored
 each; without labelled rows of both classes every score is the share of toxic labels (0 without labels);
-other columns are carried along.
+other columns are carried along; a text of any length is read whole, by one task.
 """
 
 from __future__ import annotations
 
 import itertools
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 from alertflow.llm.common import drop, likely_in, written
 
 ORDER = 5
 DISCOUNT = 0.75
-WINDOW = 32
 CALIBRATION_ROWS = 20_000
-#: Entries after which a task hands on its counts or ends its block of documents.
-HELD = 200_000
+#: Entries after which a task hands on its counts, and words after which it ends its block of documents.
+HELD = 300_000
 #: Documents after which a block ends.
-BLOCK_ROWS = 4_000
+BLOCK_ROWS = 50_000
+#: Bytes of text for which there is one range of n-grams.
+RANGE_BYTES = 1 << 24
 
 WORD = re.compile(r"\w+")
 
@@ -145,30 +148,31 @@ def _smoothed(count: Column, kinds: Column, total: Column, lower: Column) -> Col
     return F.when(total > 0, known / total).otherwise(lower)
 
 
-def shared(grams: DataFrame, counts: Counts) -> DataFrame:
-    """(gram, p): the lower orders, what both classes back off to, for each distinct ``gram`` and its ends."""
+def shared(grams: DataFrame, counts: Counts) -> list[DataFrame]:
+    """(gram, p) tables: the lower orders, what both classes back off to, for each distinct ``gram`` and its ends, by length."""
     ends = F.transform(F.sequence(F.lit(1), F.length("gram")), lambda n: F.expr("gram").substr(F.length("gram") - n + 1, n))
     asked = written(grams.select(F.explode(ends).alias("gram")).distinct(), "asked")
-    total, lower = None, None
+    tables: list[DataFrame] = []
     for size in range(1, ORDER):
         rows = asked.filter(F.length("gram") == size).withColumn("context", F.expr("substr(gram, 1, length(gram) - 1)"))
         rows = rows.join(counts.low, "gram", "left").join(counts.follow, "context", "left")
-        if lower is None:
+        if not tables:
             rows = rows.withColumn("_lower", F.lit(1e-3))
         else:
-            ends = lower.select(F.col("gram").alias("_end"), F.col("p").alias("_lower"))
-            rows = rows.withColumn("_end", F.expr("substr(gram, 2)")).join(ends, "_end")
+            shorter = tables[-1].select(F.col("gram").alias("_end"), F.col("p").alias("_lower"))
+            rows = rows.withColumn("_end", F.expr("substr(gram, 2)")).join(shorter, "_end")
         p = _smoothed(F.col("c"), F.col("kinds"), F.col("total"), F.col("_lower"))
-        lower = written(rows.select("gram", p.alias("p")), "lower")
-        total = lower if total is None else total.unionByName(lower)
-    return total
+        tables.append(written(rows.select("gram", p.alias("p")), "lower"))
+    drop(asked)
+    return tables
 
 
 def gram_evidence(grams: DataFrame, counts: Counts) -> DataFrame:
-    """(gram, value): toxic minus ordinary log-likelihood of each distinct ``gram`` of words."""
+    """(gram, value), written: toxic minus ordinary log-likelihood of each distinct ``gram`` of words."""
     end = F.when(F.length("gram") == ORDER, F.expr("substr(gram, 2)")).otherwise(F.col("gram"))
     asked = grams.withColumn("_low", end)
-    lower = shared(asked.select(F.col("_low").alias("gram")).distinct(), counts)
+    tables = shared(asked.select(F.col("_low").alias("gram")).distinct(), counts)
+    lower = reduce(DataFrame.unionByName, tables)
     rows = asked.join(lower.select(F.col("gram").alias("_low"), "p"), "_low")
     rows = rows.withColumn("context", F.expr("substr(gram, 1, length(gram) - 1)"))
     rows = rows.join(counts.top, "gram", "left").join(counts.after, "context", "left")
@@ -177,97 +181,199 @@ def gram_evidence(grams: DataFrame, counts: Counts) -> DataFrame:
         p = _smoothed(F.col(kind), F.col(f"{kind}_kinds"), F.col(f"{kind}_total"), F.col("p"))
         return F.log(F.greatest(p, F.lit(1e-12)))
 
-    return rows.select("gram", (log("toxic") - log("ordinary")).alias("value"))
+    values = written(rows.select("gram", (log("toxic") - log("ordinary")).alias("value")), "values")
+    drop(*tables)
+    return values
 
 
-#: Kinds of the rows of a block, in the order in which they are read.
-GRAM, WORDS, DOC = range(3)
+class Block:
+    """The words of a run of documents of one task, numbered as they come; it ends by itself when it is large enough.
 
+    Both passes over the documents make the same blocks.
+    """
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """(block, kind, name, doc, ids) from (doc, text): documents as numbers of their block's words.
+    def __init__(self, rows: int, words: int):
+        self.most_rows, self.most_words = rows, words
+        self.number, self.words, self.rows = 0, {}, 0
 
-    A block is a run of rows of one task. It has a row for each distinct n-gram, one row for its distinct
-    words in the order of their numbers, and one for each document; it ends after ``BLOCK_ROWS`` documents, or
-    ``HELD`` words or n-grams.
-    """
+    def encode(self, text: str | None) -> list[int]:
+        self.rows += 1
+        words = self.words
+        return [words.setdefault(word, len(words)) for word in WORD.findall((text or "").lower())]
+
+    def is_full(self) -> bool:
+        return self.rows >= self.most_rows or len(self.words) > self.most_words
+
+    def name(self, part: int) -> int:
+        return part << 33 | self.number
+
+    def close(self) -> None:
+        self.number, self.words, self.rows = self.number + 1, {}, 0
+
+
+def varints(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**35 in as many bytes as they need, seven bits in each."""
+    shifts = np.arange(0, 35, 7)
+    groups_of = numbers[:, None] >> shifts
+    sizes = np.maximum((groups_of > 0).sum(1), 1)
+    place = np.arange(len(shifts))
+    raw = (groups_of & 127) | np.where(place < sizes[:, None] - 1, 128, 0)
+    return raw[place < sizes[:, None]].astype(np.uint8).tobytes()
+
+
+def from_varints(raw: bytes) -> np.ndarray:
+    data = np.frombuffer(raw, np.uint8)
+    if not len(data):
+        return np.zeros(0, np.int64)
+    starts = np.concatenate([[0], np.flatnonzero(data < 128)[:-1] + 1])
+    place = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))
+    return np.add.reduceat((data & 127).astype(np.int64) << (7 * place), starts)
+
+
+def asked_grams(docs: DataFrame, ranges: int) -> DataFrame:
+    """(block, range, names): the distinct n-grams of each block of ``docs`` (part, doc, text), by range of their hash."""
+    rows, words = BLOCK_ROWS, HELD
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, part = Block(rows, words), 0
+
+        def asked() -> pa.RecordBatch:
+            names: list[list[str]] = [[] for _ in range(ranges)]
+            for gram in {gram for word in block.words for gram in grams(word)}:
+                names[zlib.crc32(gram.encode("utf-8", "surrogatepass")) % ranges].append(gram)
+            used = [i for i in range(ranges) if names[i]]
+            columns = [
+                pa.array([block.name(part)] * len(used), pa.int64()), pa.array(used, pa.int32()),
+                pa.array(["\n".join(sorted(names[i])) for i in used], pa.string()),
+            ]
+            block.close()
+            return pa.RecordBatch.from_arrays(columns, ["block", "range", "names"])
+
+        for batch in batches:
+            part = batch.column("part")[0].as_py() if batch.num_rows else part
+            for text in batch.column("text").to_pylist():
+                block.encode(text)
+                if block.is_full():
+                    yield asked()
+        yield asked()
+
+    return docs.select("part", "text").mapInArrow(ask, "block long, range int, names string")
+
+
+def answered(asks: DataFrame, values: DataFrame, ranges: int) -> DataFrame:
+    """(block, names, numbers): the asks with a value (double) of each name; what is the same for many blocks is looked up per range."""
+    keyed = values.select(F.pmod(F.crc32("gram"), F.lit(ranges)).cast("int").alias("range"), "gram", "value")
+    both = keyed.unionByName(asks, allowMissingColumns=True)
+    both = both.repartition("range").sortWithinPartitions("range", "block")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, known = None, {}
+        for batch in batches:
+            names = ("range", "gram", "value", "block", "names")
+            out: list[tuple] = []
+            for name, gram, value, block, asked in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if name != current:
+                    current, known = name, {}
+                # Values have no block, and so come first.
+                if block is None:
+                    known[gram] = value
+                else:
+                    out.append((block, asked, np.array([known[gram] for gram in asked.split("\n")]).tobytes()))
+            columns = list(zip(*out, strict=True)) or [[]] * 3
+            kinds = (pa.int64(), pa.string(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["block", "names", "numbers"])
+
+    return both.mapInArrow(answer, "block long, names string, numbers binary")
+
+
+#: Kinds of the rows of a block, in the order in which they are read.
+ANSWER, WORDS, DOC = range(3)
+
+
+def encoded(docs: DataFrame) -> DataFrame:
+    """(block, kind, names, doc, numbers): the words of each block in one row, and each document as numbers of them."""
+    rows, words = BLOCK_ROWS, HELD
     carried = docs.schema["doc"].dataType
-    schema = StructType().add("block", "long").add("kind", "integer").add("name", "string").add("doc", carried).add("ids", "binary")
+    schema = StructType().add("block", "long").add("kind", "integer").add("names", "string").add("doc", carried).add("numbers", "binary")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 33
-        words: dict[str, int] = {}
-        known: set[str] = set()
-        held, kind_of_doc = 0, None
+        block, part, kind_of_doc = Block(rows, words), 0, None
 
-        def rows(kind: int, names: list | None, doc: pa.Array | None, ids: list | None) -> pa.RecordBatch:
-            n = len(names if names is not None else ids)
+        def of(kind: int, n: int, names: list | None, doc: pa.Array | None, numbers: list | None) -> pa.RecordBatch:
             columns = [
-                pa.array(np.full(n, block)), pa.array(np.full(n, kind, np.int32)),
+                pa.array([block.name(part)] * n, pa.int64()), pa.array([kind] * n, pa.int32()),
                 pa.nulls(n, pa.string()) if names is None else pa.array(names, pa.string()),
                 pa.nulls(n, kind_of_doc) if doc is None else doc,
-                pa.nulls(n, pa.binary()) if ids is None else pa.array(ids, pa.binary()),
+                pa.nulls(n, pa.binary()) if numbers is None else pa.array(numbers, pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["block", "kind", "name", "doc", "ids"])
+            return pa.RecordBatch.from_arrays(columns, schema.names)
 
-        def closed() -> Iterator[pa.RecordBatch]:
-            nonlocal block, held
-            yield rows(WORDS, ["\n".join(words)], None, None)
-            if known:
-                yield rows(GRAM, list(known), None, None)
-            words.clear()
-            known.clear()
-            block, held = block + 1, 0
+        def closed() -> pa.RecordBatch:
+            out = of(WORDS, 1, ["\n".join(block.words)], None, None)
+            block.close()
+            return out
 
         for batch in batches:
-            doc, texts = batch.column(0), batch.column(1).to_pylist()
-            kind_of_doc, start, ids = doc.type, 0, []
-            for at, text in enumerate(texts, 1):
-                found = []
-                for word in WORD.findall((text or "").lower()):
-                    number = words.get(word)
-                    if number is None:
-                        number = words[word] = len(words)
-                        known.update(grams(word))
-                    found.append(number)
-                ids.append(np.array(found, "<u4").tobytes())
-                held += 1
-                if held >= BLOCK_ROWS or len(words) > HELD or len(known) > HELD:
-                    yield rows(DOC, None, doc.slice(start, at - start), ids)
-                    yield from closed()
-                    start, ids = at, []
-            if ids:
-                yield rows(DOC, None, doc.slice(start), ids)
-        if held:
-            yield from closed()
-
-    return docs.select("doc", "text").mapInArrow(encode, schema)
-
-
-def strongest(logs: np.ndarray, sizes: np.ndarray) -> tuple[float, float]:
-    """Evidence per character of a whole text, and of its strongest window of words, from those of its words."""
-    if not len(logs):
-        return 0.0, 0.0
-    whole = float(logs.sum() / sizes.sum())
-    if len(logs) <= WINDOW:
-        return whole, whole
-    logs, sizes = (np.concatenate([[0.0], np.cumsum(x)]) for x in (logs, sizes))
-    return whole, float(((logs[WINDOW:] - logs[:-WINDOW]) / (sizes[WINDOW:] - sizes[:-WINDOW])).max())
+            part = batch.column("part")[0].as_py() if batch.num_rows else part
+            doc, start, numbers = batch.column("doc"), 0, []
+            kind_of_doc = doc.type
+            for at, text in enumerate(batch.column("text").to_pylist(), 1):
+                numbers.append(varints(np.array(block.encode(text), np.int64)))
+                if block.is_full():
+                    yield of(DOC, at - start, None, doc.slice(start, at - start), numbers)
+                    yield closed()
+                    start, numbers = at, []
+            if numbers:
+                yield of(DOC, len(numbers), None, doc.slice(start), numbers)
+        if block.rows:
+            yield closed()
+
+    return docs.select("part", "doc", "text").mapInArrow(encode, schema)
+
+
+#: Windows of words, and numbers of strongest words, whose evidence is compared.
+WINDOWS = (1, 2, 4, 8, 32)
+STRONGEST = (1, 3, 5, 10)
+
+
+def features(numbers: np.ndarray, logs: np.ndarray, sizes: np.ndarray) -> list[float]:
+    """What a document is judged by, from the words it has, and the evidence and characters of every word.
+
+    Evidence per ten characters of the whole text and of its strongest window of each width; mean evidence of its strongest
+    different words; the logarithm of its length.
+    """
+    if not len(numbers):
+        return [0.0] * (2 + len(WINDOWS) + len(STRONGEST))
+    evidence_of, size_of = logs[numbers], sizes[numbers]
+    whole = 10 * float(evidence_of.sum() / size_of.sum())
+    out = [whole]
+    running, lengths = (np.concatenate([[0.0], np.cumsum(x)]) for x in (evidence_of, size_of))
+    for width in WINDOWS:
+        if len(numbers) <= width:
+            out.append(whole)
+        else:
+            out.append(10 * float(((running[width:] - running[:-width]) / (lengths[width:] - lengths[:-width])).max()))
+    different = np.sort(logs[np.unique(numbers)])[::-1]
+    out += [float(different[:k].mean()) for k in STRONGEST]
+    return [*out, float(np.log(len(numbers) + 1))]
 
 
 def evidence(docs: DataFrame, counts: Counts) -> DataFrame:
-    """(doc, whole, window) from (doc, text): the row's struct, and the evidence of its text.
+    """(doc, features) from (doc, text): the row's struct, and what its text is judged by.
 
-    The distinct n-grams of each block of documents are joined with the counts and go back to their block, so
-    no task has more of the model than its block's n-grams, however large the model is.
+    The distinct n-grams of each block of documents are looked up in the counts, and their values go back to
+    the block, whose documents come as numbers of its words. No task has more of the model than its block's n-grams.
     """
-    table = written(blocks(docs), "blocks", compression="zstd")
-    of_blocks = table.filter(F.col("kind") == GRAM)
-    values = written(gram_evidence(of_blocks.select(F.col("name").alias("gram")).distinct(), counts), "values")
-    valued = of_blocks.join(values.withColumnRenamed("gram", "name"), "name").select(*table.columns, "value")
-    others = table.filter(F.col("kind") != GRAM).withColumn("value", F.lit(None).cast("double"))
-    both = valued.unionByName(others).repartition("block").sortWithinPartitions("block", "kind")
-    schema = StructType().add("doc", docs.schema["doc"].dataType).add("whole", "double").add("window", "double")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = 1 << max(size // RANGE_BYTES, 1).bit_length()
+    given = docs.select(F.spark_partition_id().cast("long").alias("part"), "doc", "text")
+    asks = written(asked_grams(given, ranges), "asks", compression="zstd")
+    names = asks.select(F.explode(F.split("names", "\n")).alias("gram")).distinct()
+    values = gram_evidence(names, counts)
+    answers = answered(asks, values, ranges).withColumn("kind", F.lit(ANSWER))
+    both = encoded(given).unionByName(answers, allowMissingColumns=True)
+    both = both.repartition("block").sortWithinPartitions("block", "kind")
+    schema = StructType().add("doc", docs.schema["doc"].dataType).add("features", ArrayType(DoubleType()))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, known, logs, sizes = None, {}, np.zeros(0), np.zeros(0)
@@ -280,29 +386,29 @@ def evidence(docs: DataFrame, counts: Counts) -> DataFrame:
                 if block[start] != current:
                     current, known = block[start], {}
                 part = batch.slice(start, end - start)
-                if kind[start] == GRAM:
-                    known.update(zip(part.column("name").to_pylist(), part.column("value").to_pylist(), strict=True))
+                if kind[start] == ANSWER:
+                    for asked, numbers in zip(part.column("names").to_pylist(), part.column("numbers").to_pylist(), strict=True):
+                        known.update(zip(asked.split("\n"), np.frombuffer(numbers, float).tolist(), strict=True))
                 elif kind[start] == WORDS:
-                    words = part.column("name")[0].as_py().split("\n")
+                    words = part.column("names")[0].as_py().split("\n")
                     words = words if words != [""] else []
                     logs = np.array([sum(map(known.__getitem__, grams(word))) for word in words], float)
                     sizes = np.array([len(word) + 1 for word in words], float)
+                    known = {}
                 else:
-                    numbers = (np.frombuffer(ids, "<u4") for ids in part.column("ids").to_pylist())
-                    found = np.array([strongest(logs[n], sizes[n]) for n in numbers]).reshape(-1, 2)
-                    columns = [part.column("doc"), pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc", "whole", "window"])
-
-    return both.mapInArrow(compare, schema)
-
+                    numbers = part.column("numbers").to_pylist()
+                    found = [features(from_varints(raw), logs, sizes) for raw in numbers]
+                    yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(found, pa.list_(pa.float64()))], ["doc", "features"])
 
-def features(whole, window) -> np.ndarray:
-    whole, window = np.asarray(whole, float), np.asarray(window, float)
-    return np.stack([np.ones_like(whole), whole * 10, window * 10], axis=1)
+    out = written(both.mapInArrow(compare, schema), "features")
+    drop(asks, values)
+    return out
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Ridge logistic regression by Newton's method."""
+def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Ridge logistic regression by Newton's method on features brought to one scale; a constant and a weight per feature as given."""
+    mean, spread = x.mean(0), x.std(0) + 1e-9
+    x = np.column_stack([np.ones(len(x)), (x - mean) / spread])
     weights = np.zeros(x.shape[1])
     keep = np.array([0.0] + [ridge] * (x.shape[1] - 1))
     for _ in range(60):
@@ -313,7 +419,8 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
         weights -= np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
-    return weights
+    scaled = weights[1:] / spread
+    return np.concatenate([[weights[0] - (scaled * mean).sum()], scaled])
 
 
 class ToxicityModel:
@@ -328,9 +435,10 @@ class ToxicityModel:
         if self.weights is None:
             scored = docs.select(*names).withColumn("score", F.lit(float(self.constant)))
         else:
-            a, b, c = map(float, self.weights)
+            first, *others = map(float, self.weights)
             compared = evidence(docs.select(F.struct(*names).alias("doc"), "text"), self.counts)
-            score = 1 / (1 + F.exp(-(F.lit(a) + F.col("whole") * 10 * b + F.col("window") * 10 * c)))
+            terms = F.zip_with("features", F.array(*map(F.lit, others)), lambda x, w: x * w)
+            score = 1 / (1 + F.exp(-F.aggregate(terms, F.lit(first), lambda total, x: total + x)))
             scored = compared.select(*(F.col("doc")[name].alias(name) for name in names), score.alias("score"))
         return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
@@ -355,12 +463,15 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> ToxicityMode
     counts = statistics(top)
     drop(words)
     # Lowest hashes by a threshold, so that no text comes to the driver; equal texts stay together.
-    rows = labelled.filter(curve_part).count()
-    part = F.pmod(F.xxhash64("_split"), F.lit(1 << 20)) * rows < CALIBRATION_ROWS * (1 << 20)
-    chosen = labelled.filter(curve_part & part).select(F.struct("toxic").alias("doc"), "text")
-    seen = evidence(chosen, counts).select("doc.toxic", "whole", "window").toArrow()
-    drop(labelled)
-    y = seen["toxic"].to_numpy().astype(float)
-    if y.min(initial=1) == y.max(initial=0) or not len(y):
-        return ToxicityModel(counts, np.array([-2.0, 1.0, 1.0]), 0.0)
-    return ToxicityModel(counts, fit_curve(features(seen["whole"].to_numpy(), seen["window"].to_numpy()), y), 0.0)
+    curve = labelled.filter(curve_part)
+    if curve.select("toxic").distinct().count() < 2:
+        # Too few labelled texts for a part of their own: the counted ones have both classes.
+        curve = labelled
+    rows = curve.count()
+    part = F.pmod(F.xxhash64("_split", F.lit(1)), F.lit(1 << 20)) * rows < CALIBRATION_ROWS * (1 << 20)
+    chosen = curve.filter(part if rows > CALIBRATION_ROWS else F.lit(True)).select(F.struct("toxic").alias("doc"), "text")
+    judged = evidence(chosen, counts)
+    seen = judged.select("doc.toxic", "features").toArrow()
+    drop(labelled, marks, judged)
+    x = np.array(seen["features"].to_pylist(), float)
+    return ToxicityModel(counts, fit_curve(x, seen["toxic"].to_numpy().astype(float)), 0.0)

@@ -233,11 +233,33 @@ def test_toxicity_evidence_equals_brute_force(spark, monkeypatch):
     labelled = spark.createDataFrame(rows, "text string, toxic int")
     counts = toxicity.statistics(written(toxicity.gram_counts(toxicity.word_counts(labelled)), "grams"))
     docs = docs_of(spark, texts).select(F.struct("doc_id").alias("doc"), "text")
-    found = {r.doc.doc_id: (r.whole, r.window) for r in toxicity.evidence(docs, counts).collect()}
-    wanted = [brute_evidence(rows, t or "") for t in texts]
-    assert np.allclose([found[i] for i in range(len(texts))], np.array([wanted, wanted]).T, atol=1e-12)
-    whole, window = toxicity.strongest(np.array([1.0] * 10 + [-1.0] * 40), np.full(50, 2.0))
-    assert np.isclose(whole, -0.3) and np.isclose(window, (10 - 22) / 64)
+    found = {r.doc.doc_id: r.features for r in toxicity.evidence(docs, counts).collect()}
+    wanted = [10 * brute_evidence(rows, t or "") for t in texts]
+    assert np.allclose([found[i][0] for i in range(len(texts))], wanted, atol=1e-12)
+    assert all(found[i][5] == found[i][0] for i in range(len(texts)))
+    numbers = np.array([0] * 10 + [1] * 40)
+    seen = toxicity.features(numbers, np.array([1.0, -1.0]), np.array([2.0, 2.0]))
+    assert np.allclose(seen, [-3, 5, 5, 5, 5, 10 * (10 - 22) / 64, 1, 0, 0, 0, np.log(51)])
+
+
+def test_numbers_in_few_bytes():
+    numbers = np.array([0, 1, 127, 128, 300, 16383, 16384, 2**21, 2**28, 2**34])
+    assert toxicity.from_varints(toxicity.varints(numbers)).tolist() == numbers.tolist()
+    assert toxicity.from_varints(toxicity.varints(numbers[:0])).tolist() == []
+
+
+def test_toxicity_on_held_out_rows(spark):
+    """The whole table of 10,000 documents; no label of a held-out row is learned."""
+    folder = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").filter("toxic IN (0, 1)").collect()}
+    rows = [r for r in QUERIES["op5_toxicity"](spark, folder).collect() if r.held_out and r.doc_id in labels]
+    score, toxic = np.array([r.score for r in rows]), np.array([labels[r.doc_id] == 1 for r in rows])
+    order = np.argsort(score, kind="stable")
+    rank = np.empty(len(score))
+    rank[order] = np.arange(1, len(score) + 1)
+    auc = (rank[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / (toxic.sum() * (~toxic).sum())
+    said = np.array([r.predicted == 1 for r in rows])
+    assert auc > 0.93 and 2 * (said & toxic).sum() / (said.sum() + toxic.sum()) > 0.85
 
 
 def brute_spans(text):
