@@ -434,7 +434,10 @@ def _components(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFram
     known = written(_light_links(sets, light, share), "links")
     joined = components(_heavy_links(docs, sets, light, words, share, known)).select("node", "component")
     placed = sets.select("row", "doc_id", "node", F.col("n").alias("n_shingles")).join(joined, "node", "left")
-    return placed.select("row", "doc_id", "n_shingles", F.coalesce("component", "node").alias("component"))
+    placed = placed.select("row", "doc_id", "n_shingles", F.coalesce("component", "node").alias("component"))
+    placed = written(placed, "placed")
+    drop(sets, known)
+    return placed
 
 
 def join_similar(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:

@@ -101,7 +101,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(spark, docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     held_out = (toxicity.label_fold(F.col("doc_id")) == 0).alias("held_out")
-    return model.score(docs, ["doc_id"]).select("doc_id", held_out, "score", "predicted")
+    scored = model.score(docs, ["doc_id"]).select("doc_id", held_out, "score", "predicted")
+    model.drop()
+    return scored
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -429,6 +429,11 @@ class ToxicityModel:
     def __init__(self, counts: Counts | None, weights: np.ndarray | None, constant: float):
         self.counts, self.weights, self.constant = counts, weights, constant
 
+    def drop(self) -> None:
+        """Delete the tables of counts; what ``score`` gave before stays."""
+        if self.counts is not None:
+            drop(*self.counts)
+
     def score(self, docs: DataFrame, carry: Sequence[str] | None = None) -> DataFrame:
         """The columns ``carry`` of ``docs``, by default all, with ``score`` (0 to 1) and ``predicted``."""
         names = docs.columns if carry is None else list(carry)
