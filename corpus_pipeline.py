@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertflow.llm import jaccard, mixing, packing, secret_scan, toxicity
-from alertflow.llm.common import table, written
+from alertflow.llm.common import drop, table, written
 from alertflow.llm.queries import TARGETS, quality_domains, vocabulary
 
 
@@ -30,7 +30,9 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(spark, docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    return model.score(_packed(docs), ["doc"]).filter("predicted = 0").select("doc.*")
+    kept = model.score(_packed(docs), ["doc"]).filter("predicted = 0").select("doc.*")
+    model.drop()
+    return kept
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,6 +75,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table of documents, each written and read again."""
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            drop(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
