@@ -32,9 +32,15 @@ def batch_metrics(scored: DataFrame) -> DataFrame:
     return scored.agg(*_counters())
 
 
-def totals(kinds: DataFrame) -> DataFrame:
-    """The counters of ``batch_metrics`` over rows with the ``kind`` that ``routed`` gives, and two more for what has no score."""
-    of = lambda *names: F.count_if(F.col("kind").isin(*names))
+def totals(kinds: DataFrame, times: Column | None = None) -> DataFrame:
+    """The counters of ``batch_metrics`` over rows with the ``kind`` that ``routed`` gives, and two more for what has no score.
+
+    ``times`` says how many rows each stands for, one by default.
+    """
+    def of(*names: str) -> Column:
+        is_one = F.col("kind").isin(*names)
+        return F.count_if(is_one) if times is None else F.coalesce(F.sum(F.when(is_one, times)), F.lit(0))
+
     return kinds.agg(
         of("blank", "quiet", "alert", "prediction_failed").alias("n_rows"), of("blank").alias("n_blank"), of("alert").alias("n_positive"),
         of("prediction_failed").alias("n_failed"), of("empty").alias("n_empty"), of("undecodable").alias("n_undecodable"),

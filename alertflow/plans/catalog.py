@@ -19,7 +19,7 @@ from alertflow.plans.alerts import alerts as find_alerts
 from alertflow.plans.alerts import failed_rows as failures
 from alertflow.plans.alerts import routed, scored_messages
 from alertflow.schemas import ALERT, ALERT_MESSAGE, MESSAGE
-from alertflow.sinks import stores
+from alertflow.sinks import clustered, stores
 from alertflow.sources import csv_feed, csv_ranges, news_feed, store, topics
 from alertflow.streaming import jobs, windows
 from alertflow.streaming.scratch import new_folder
@@ -576,6 +576,21 @@ def time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(reports.time_range(stored_alerts(spark, sf_dir), *st.RANGE))
 
 
+@registered
+def clustered_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three look-ups in one store, each of which opens only the files it needs."""
+    path = new_folder(spark, "store")
+    rows = storage.storage_rows(storage.checked(timed(main_alerts(spark, sf_dir))))
+    clustered.write_clustered(rows, path, rows_per_file=st.ROWS_PER_FILE)
+    asked = {
+        "type": {"wanted": {"disaster_type": st.ONE_TYPE}},
+        "place": {"wanted": {"location": st.ONE_PLACE}},
+        "confident": {"at_least": {"confidence": 0.95}},
+    }
+    parts = [shown(clustered.read_clustered(spark, path, **a)).withColumn("asked", F.lit(name)) for name, a in asked.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @registered
 def type_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")

@@ -343,6 +343,11 @@ SQL: dict[str, str] = {
     "by_type": f"WITH {_STORED} SELECT * FROM stored WHERE disaster_type = '{st.ONE_TYPE}'",
     "by_location": f"WITH {_STORED} SELECT * FROM stored WHERE location = '{st.ONE_PLACE}'",
     "confident": f"WITH {_STORED} SELECT * FROM stored WHERE confidence >= 0.95",
+    "clustered_store": f"""
+        WITH {_STORED}
+        SELECT *, 'type' AS asked FROM stored WHERE disaster_type = '{st.ONE_TYPE}'
+        UNION ALL SELECT *, 'place' FROM stored WHERE location = '{st.ONE_PLACE}'
+        UNION ALL SELECT *, 'confident' FROM stored WHERE confidence >= 0.95""",
     "top_confidence": f"""
         WITH {_STORED}
         SELECT tweet_id, disaster_type, location, confidence, left(text, 50) AS text_preview, kafka_timestamp

@@ -25,6 +25,8 @@ FEED_START = datetime(2024, 1, 1)
 FEED_STEP_SECONDS = 10
 
 REPORT_ROWS = 10
+# Few, so that small tables make many files too.
+ROWS_PER_FILE = 20
 ONE_TYPE = "elle"
 ONE_PLACE = "orre"
 RANGE = (datetime(2024, 1, 1, 0, 30), datetime(2024, 1, 1, 2, 0))

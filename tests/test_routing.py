@@ -13,7 +13,7 @@ from alertflow.plans import alerts as plans
 from alertflow.schemas import ALERT
 from alertflow.sinks import stores
 from alertflow.sources import store, topics
-from alertflow.streaming import jobs, windows
+from alertflow.streaming import jobs, retention, windows
 
 SCORER = LexiconScorer(("flood",), weight=4.0)
 EXTRACTOR = DictionaryExtractor(("houston",), ("flood",))
@@ -162,3 +162,41 @@ def test_only_the_newest_folders_are_opened(spark, tmp_path):
     assert {r.processing_day for r in newest.select("processing_day").distinct().collect()} == {date(2024, 1, 7), date(2024, 1, 8)}
     assert reports.newest_folders(documents, "processing_day", 100).count() == 24
     assert [r.id for r in reports.latest_documents(documents, 4).collect()] == ["82", "81", "80", "72"]
+
+
+def test_files_go_when_every_sink_is_past_them(spark, tmp_path):
+    """A fast sink and one that takes a file at a time: no row is lost, totals stay, the folder does not grow."""
+    source, shared, counts = (str(tmp_path / name) for name in ("source", "shared", "counts"))
+    rows = plans.routed(spark.createDataFrame([], "value binary, timestamp timestamp"), SCORER, EXTRACTOR)
+
+    def send(part):
+        values = [(f'{{"id":"{part}-{i}","text":"flood {part}"}}'.encode(), datetime(2024, 1, 1)) for i in range(3)] + [(b"no json", None)]
+        spark.createDataFrame(values, "value binary, timestamp timestamp").coalesce(1).write.mode("append").parquet(source)
+
+    def route():
+        envelopes = topics.stream_files(spark, source, rows_schema, max_files_per_trigger=1)
+        jobs.wait(*jobs.start_routed(plans.routed(envelopes, SCORER, EXTRACTOR), shared, str(tmp_path / "c0"), [], every=None))
+
+    def sink(name):
+        stream = spark.readStream.schema(rows.schema).parquet(shared)
+        jobs.wait(jobs.start_files(plans.alert_rows(stream), str(tmp_path / name), str(tmp_path / f"c-{name}"), every=None))
+
+    def files():
+        return len(list((tmp_path / "shared").glob("kind=*/*.parquet")))
+
+    checkpoints = [str(tmp_path / "c-fast"), str(tmp_path / "c-slow")]
+    rows_schema = spark.createDataFrame([], "value binary, timestamp timestamp").schema
+    for part in range(4):
+        send(part)
+        route()
+        sink("fast")
+        if part in (1, 3):
+            sink("slow")
+        before = files()
+        gone = retention.retire(spark, shared, checkpoints, counts)
+        assert (gone > 0) == (part in (1, 3)) and files() == before - gone
+        told = retention.totals_so_far(spark, shared, counts).first()
+        assert (told.n_rows, told.n_positive, told.n_undecodable) == (3 * (part + 1), 3 * (part + 1), part + 1)
+    assert files() == 0 and retention.retire(spark, shared, checkpoints, counts) == 0
+    for name in ("fast", "slow"):
+        assert sorted(r.id for r in spark.read.schema(ALERT).json(str(tmp_path / name)).collect()) == [f"{p}-{i}" for p in range(4) for i in range(3)]

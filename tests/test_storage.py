@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from alertflow.functions.times import as_moment
 from alertflow.operators import reports, storage
 from alertflow.schemas import DATABASE_TYPES
-from alertflow.sinks import stores
+from alertflow.sinks import clustered, stores
 from alertflow.sources import store
 
 SENT = datetime(2024, 1, 1, 12, 30)
@@ -243,3 +243,34 @@ def test_database_writes(spark, monkeypatch):
         "format": "mongodb", "mode": "append", "saved": True,
         "connection.uri": "mongodb://h", "database": "d", "collection": "c",
     }
+
+
+def test_look_ups_open_few_files_of_a_clustered_store(spark, tmp_path):
+    path = str(tmp_path / "store")
+    kinds, places = ["flood", "fire", "quake", None, ""], [f"place {i}" for i in range(40)] + [None]
+    rows = [
+        row(id=str(i), disaster=kinds[i % 3 if i < 500 else i % 5], location=places[(i * 7) % 41], confidence=(i % 97) / 100)
+        for i in range(2000)
+    ]
+    kept = stored(spark, rows)
+    clustered.write_clustered(kept, path, rows_per_file=10)
+    whole = clustered.read_clustered(spark, path)
+    assert whole.count() == 2000 and len(clustered.files_met(spark, path, {})) == 200
+    same = ["row_key", "tweet_id", "disaster_type", "location", "confidence"]
+    for wanted, at_least in [({"disaster_type": "quake"}, {}), ({"location": "place 7"}, {}), ({}, {"confidence": 0.9}),
+                             ({"disaster_type": "fire", "location": "place 3"}, {"confidence": 0.5}), ({"location": None}, {}), ({"disaster_type": "absent"}, {})]:
+        found = clustered.read_clustered(spark, path, wanted, at_least)
+        want = kept
+        for c, v in wanted.items():
+            want = want.filter(F.col(c).eqNullSafe(F.lit(v)))
+        for c, v in at_least.items():
+            want = want.filter(F.col(c) >= v)
+        assert sorted(map(str, found.select(*same).collect())) == sorted(map(str, want.select(*same).collect()))
+        files = clustered.files_met(spark, path, wanted, at_least)
+        assert len(found.inputFiles()) == len(files) <= 100, (wanted, len(files))
+    assert len(clustered.files_met(spark, path, {"location": "place 7"})) <= 80
+    assert len(clustered.files_met(spark, path, {"disaster_type": "fire", "location": "place 7"}, {"confidence": 0.9})) <= 20
+    with pytest.raises(ValueError, match="not clustered"):
+        clustered.read_clustered(spark, path, {"tweet_id": "1"})
+    clustered.write_clustered(kept.limit(0), str(tmp_path / "empty"))
+    assert clustered.read_clustered(spark, str(tmp_path / "empty")).count() == 0
