@@ -29,6 +29,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -222,8 +223,11 @@ def candidates(local: DataFrame, support: int) -> DataFrame:
     return local.repartition("range").sortWithinPartitions("range").mapInArrow(union, "block long, range int, keys binary")
 
 
-def counted(docs: DataFrame, wanted: DataFrame, longest: int, ranges: int) -> DataFrame:
-    """(lang, words, phrase, n) of all ``wanted`` phrases; a row without a phrase counts a language's words."""
+def counted(docs: DataFrame, wanted: DataFrame, support: int, longest: int, ranges: int) -> DataFrame:
+    """(lang, words, phrase, n) of all ``wanted`` phrases that reach the support; one of no words counts a language's words.
+
+    Blocks send their counts packed by range and language, and the phrases of a range are added up by their texts.
+    """
     shift = U(32 - max(ranges - 1, 1).bit_length())
     chunk, most = CHUNK, HELD_TEXTS
     nothing = {"range": "int", "keys": "binary"}
@@ -253,21 +257,36 @@ def counted(docs: DataFrame, wanted: DataFrame, longest: int, ranges: int) -> Da
                     held = []
                 yield part
 
-    names_of = ["lang", "words", "phrase", "n"]
-    kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
+    names_of = ["range", "lang", "words", "phrases", "counts"]
+    kinds = (pa.int32(), pa.string(), pa.int32(), pa.string(), pa.binary())
+
+    def packed(keys: np.ndarray, languages: list[str], sizes: np.ndarray, phrases: list[str], times: np.ndarray) -> pa.RecordBatch:
+        codes = {name: code for code, name in enumerate(dict.fromkeys(languages))}
+        of = np.array([codes[name] for name in languages], np.int64)
+        places = (keys >> (shift + U(32))).astype(np.int64)
+        order = np.lexsort((sizes, of, places))
+        group = np.stack([places, of, sizes])[:, order]
+        first = np.flatnonzero(np.concatenate([[True], (group[:, 1:] != group[:, :-1]).any(0)])[: len(order)]).tolist()
+        # Words hold no line breaks.
+        rows = [
+            (int(group[0, i]), languages[order[i]], int(group[2, i]), "\n".join([phrases[k] for k in order[i:j]]), times[order[i:j]].tobytes())
+            for i, j in pairwise([*first, len(order)])
+        ] if first else []
+        columns = list(zip(*rows, strict=True)) or [[]] * len(names_of)
+        return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names_of)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, int] = {}
         wanted_keys = np.zeros(0, U)
         # Number of each known hash, and what is known of it, in columns: objects of their own would take three times as much.
         known: dict[int, int] = {}
-        others, times, sizes = array("Q"), array("q"), array("i")
+        others, times, sizes = array("Q"), array("q"), array("q")
         phrases: list[str] = []
         languages: list[str] = []
 
         def flushed() -> pa.RecordBatch:
-            columns = [languages, np.frombuffer(sizes, np.int32), phrases, np.frombuffer(times, np.int64)]
-            out = pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names_of)
+            keys = np.fromiter(known, U, len(known))
+            out = packed(keys, languages, np.array(sizes, np.int64), phrases, np.array(times, np.int64))
             known.clear()
             phrases.clear()
             languages.clear()
@@ -307,19 +326,30 @@ def counted(docs: DataFrame, wanted: DataFrame, longest: int, ranges: int) -> Da
                         elif others[number] == other:
                             times[number] += more
                         else:
-                            clashed.append((names[rows[words.text[place]]], size, words.phrase(place, size), more))
+                            clashed.append((key, names[rows[words.text[place]]], size, words.phrase(place, size), more))
                 if clashed:
-                    columns = zip(*clashed, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names_of)
+                    keys, of, lengths, said, n = zip(*clashed, strict=True)
+                    yield packed(np.array(keys, U), list(of), np.array(lengths), list(said), np.array(n, np.int64))
                 if len(known) > most:
                     yield flushed()
-                    others, times, sizes = array("Q"), array("q"), array("i")
+                    others, times, sizes = array("Q"), array("q"), array("q")
         yield flushed()
-        columns = [list(totals), [0] * len(totals), [None] * len(totals), list(totals.values())]
-        yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names_of)
+        zeros = np.zeros(len(totals), np.int64)
+        yield packed(zeros.astype(U), list(totals), zeros, [""] * len(totals), np.array(list(totals.values()), np.int64))
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, "range"):
+            parts = []
+            for lang, size, said, n in zip(*(rows.column(c).to_pylist() for c in names_of[1:]), strict=True):
+                said = said.split("\n")
+                parts.append(pa.table({"lang": [lang] * len(said), "words": pa.array([size] * len(said), pa.int32()), "phrase": said, "n": np.frombuffer(n, np.int64)}))
+            total = pa.concat_tables(parts).group_by(["lang", "words", "phrase"], use_threads=False).aggregate([("n", "sum")])
+            total = total.select(["lang", "words", "phrase", "n_sum"]).rename_columns(["lang", "words", "phrase", "n"])
+            enough = pc.or_(pc.greater_equal(total.column("n"), support), pc.equal(total.column("words"), 0))
+            yield from total.filter(enough).to_batches()
 
-    rows = both.mapInArrow(count, "lang string, words int, phrase string, n long")
-    return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    rows = both.mapInArrow(count, "range int, lang string, words int, phrases string, counts binary")
+    return rows.repartition("range").sortWithinPartitions("range").mapInArrow(add_up, "lang string, words int, phrase string, n long")
 
 
 def _part(first: Column | int, size: Column) -> Column:
@@ -364,7 +394,7 @@ def mine(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, inside
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = 1 << max(size // RANGE_BYTES, 1).bit_length()
     wanted = candidates(local_counts(given, longest, ranges), support)
-    counts = written(counted(given, wanted, longest, ranges), "phrases")
+    counts = written(counted(given, wanted, support, longest, ranges), "phrases")
     return scored(counts, support, longest, inside)
 
 
