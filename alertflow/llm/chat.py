@@ -8,7 +8,8 @@ repeated in full are messages of their own when they come from ``turns_as_tree``
 (tree, node) in ``format_trees`` is refused by no check and gives one turn per row. All messages of the
 null tree are one conversation, as in a GROUP BY. Messages whose
 parents run in a circle have no root and belong to no branch. Ties of score go to the smaller node.
-An empty table gives no rows. Other columns are ignored.
+An empty table gives no rows. Other columns are ignored. Texts of any length are kept whole; the texts of one
+conversation have to fit in a row.
 """
 
 from __future__ import annotations

@@ -11,6 +11,8 @@ from alertflow.streaming.scratch import new_folder
 
 SHARDS = 16
 REVISIT_LEAST = 1000
+#: Small enough that a good part of the pages is stored in several segments of several chunks.
+SEGMENT_BYTES, CHUNK_BYTES = 1 << 12, 1 << 10
 CONTROL_TURN = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -37,8 +39,8 @@ def _page_name(page_id: Column, place: Column) -> Column:
     return F.concat_ws(":", F.lit("urn:page"), F.coalesce(page_id.cast("string"), F.lit("null")), place.cast("string"))
 
 
-def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written to WARC archives and read back."""
+def page_archive(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of an archive of all pages."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     pages = pages.withColumn("_place", F.monotonically_increasing_id())
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
@@ -50,9 +52,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "digest", _page_name(F.col("refers_to.page_id"), F.col("refers_to._place")).alias("refers_to"), "payload",
     )
     folder = new_folder(spark, "warc")
-    warc.write_archive(rows, folder)
+    warc.write_archive(rows, folder, segment_bytes=SEGMENT_BYTES, chunk_bytes=CHUNK_BYTES)
     delete_on_exit(spark, folder)
-    found = warc.payload_facts(warc.reassemble(warc.read_records(spark, folder)))
+    return folder
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    found = warc.payload_facts(warc.reassemble(warc.read_records(spark, page_archive(spark, sf_dir))))
 
     def page(name: Column) -> Column:
         text = F.split_part(name, F.lit(":"), F.lit(3))

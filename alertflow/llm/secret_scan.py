@@ -6,7 +6,8 @@ entropy is kept by adding the character that enters and taking off the one that
 above the class's threshold merge into spans, unless the candidate is on the allow-list.
 
 Defined results: a null or empty text has no spans; positions are code points, ends exclusive;
-repeated rows are scanned each; other columns are carried as they are; an empty table stays empty.
+repeated rows are scanned each; other columns are carried as they are; an empty table stays empty. Texts of any
+length are scanned whole; matching takes time with the square of the matches in one text.
 """
 
 from __future__ import annotations
