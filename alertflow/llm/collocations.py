@@ -309,7 +309,9 @@ def counted(docs: DataFrame, wanted: DataFrame, support: int, longest: int, rang
                     place = np.searchsorted(wanted_keys, short)
                     marked = wanted_keys[np.minimum(place, len(wanted_keys) - 1)] == short if len(wanted_keys) else np.zeros(len(at), bool)
                     at, one, two = at[marked], one[marked], two[marked]
-                    order = np.lexsort((two, one))
+                    order = np.argsort(one)
+                    if ((one[order[1:]] == one[order[:-1]]) & (two[order[1:]] != two[order[:-1]])).any():
+                        order = np.lexsort((two, one))
                     at, one, two = at[order], one[order], two[order]
                     new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])[: len(one)]
                     first = np.flatnonzero(new)
