@@ -184,6 +184,13 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows, so that few texts at a time become Python objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], answer: str) -> Iterator[tuple[bool, pa.RecordBatch]]:
     """Whether these are answers, and rows of one block: from batches sorted by ``block``, answers first.
 

@@ -39,14 +39,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from alertflow.llm.common import blocks, components, drop, groups, in_bitmap, place_map, written
+from alertflow.llm.common import blocks, components, drop, groups, in_bitmap, parts, place_map, written
 
 WORDS = 5
 #: Similarity as a fraction of whole numbers.
 SHARE = (80, 100)
 #: Bytes of text for which there is one range of hashes, and hashes a task holds before it hands them on.
 RANGE_BYTES = 1 << 23
-HELD = 2_000_000
+HELD = 1_000_000
 #: No light boundary is looked for above this size; subsets grow too fast there.
 LIGHT_MOST = 32
 #: Cost of an entry of an inverted list against that of a subset: it is shuffled twice and compared.
@@ -155,8 +155,8 @@ def shared_levels(docs: DataFrame, words: int, ranges: int) -> DataFrame:
             ]
             return pa.RecordBatch.from_arrays(columns, ["range", "block", "keys", "counts"])
 
-        for batch in batches:
-            block = batch.column("block")[0].as_py() if batch.num_rows else block
+        for batch in parts(batches):
+            block = batch.column("block")[0].as_py()
             for text in batch.column("text").to_pylist():
                 held.append(shingles(text, words))
                 size += len(held[-1])
@@ -209,18 +209,18 @@ def _set_rows(docs: DataFrame, levels: DataFrame, words: int, share: tuple[int,
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, level, held = np.zeros(0, U), np.zeros(0, np.uint8), []
-        for is_answer, batch in blocks(batches, "range"):
+        for is_answer, batch in blocks(parts(batches), "range"):
             if is_answer:
                 if not batch.num_rows:
-                    held = [(np.zeros(0, U), np.zeros(0, np.uint8))]
+                    known, level, held = np.zeros(0, U), np.zeros(0, np.uint8), [(np.zeros(0, U), np.zeros(0, np.uint8))]
                 columns = (batch.column(c).to_pylist() for c in ("range", "keys", "levels"))
                 for name, keys, of in zip(*columns, strict=True):
                     held.append((np.frombuffer(keys, np.uint32).astype(U) | U(name) << U(32), np.frombuffer(of, np.uint8)))
                 continue
             if held:
-                known, level = (np.concatenate(part) for part in zip(*held, strict=True))
-                order = np.argsort(known)
-                known, level, held = known[order], level[order], []
+                # Ranges come in descending order, and keys are sorted in each.
+                known, level = (np.concatenate(part[::-1]) for part in zip(*held, strict=True))
+                held = []
             node, n, keys_of, places_of, small = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 keys = shingles(text, words)
@@ -285,7 +285,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     place, bits = place_map("row", wanted)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             some = batch.filter(pa.array(in_bitmap(bits.value, batch.column("place").to_numpy().astype(U))))
             sets = [shingles(text, words).tobytes() for text in some.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([some.column("row"), pa.array(sets, pa.binary())], ["row", "set"])

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructType
 
-from alertflow.llm.common import drop, likely_in, written
+from alertflow.llm.common import drop, likely_in, parts, written
 
 ORDER = 5
 DISCOUNT = 0.75
@@ -249,8 +249,8 @@ def asked_grams(docs: DataFrame, ranges: int) -> DataFrame:
             block.close()
             return pa.RecordBatch.from_arrays(columns, ["block", "range", "names"])
 
-        for batch in batches:
-            part = batch.column("part")[0].as_py() if batch.num_rows else part
+        for batch in parts(batches):
+            part = batch.column("part")[0].as_py()
             for text in batch.column("text").to_pylist():
                 block.encode(text)
                 if block.is_full():
