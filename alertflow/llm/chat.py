@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from alertflow.llm.common import written
+from alertflow.llm.common import together, written
 
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -73,35 +73,33 @@ def _branches(messages: DataFrame, keep: int | None) -> DataFrame:
     jump = base.join(known, ["tree", "parent"], "left").select(
         "tree", "node", F.when(F.col("_known"), F.col("parent")).alias("up"), "score"
     )
-    first = written(jump, "jumps")
-    open_up = F.col("up").isNotNull()
-    # A message at its root is done: only the others are joined again, so a long tree costs short ones nothing.
-    done, jumps = first.filter(~open_up), [first.filter(open_up)]
+    jumps, open_up = [written(jump, "jumps")], F.col("up").isNotNull()
     longest = messages.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    # A message at its root is done: only the others are joined again, so a long tree costs short ones nothing.
     # In a circle there is always a message further up, so the longest tree ends the doubling too.
-    while 2 ** (len(jumps) - 1) <= longest and not jumps[-1].isEmpty():
-        above = done.unionByName(jumps[-1]).select(
+    while 2 ** (len(jumps) - 1) <= longest and not jumps[-1].filter(open_up).isEmpty():
+        left = jumps[-1].filter(open_up)
+        above = together(*jumps).filter(~open_up).unionByName(left).select(
             "tree", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("score").alias("_more")
         )
-        jump = jumps[-1].join(above, ["tree", "up"]).select(
+        jump = left.join(above, ["tree", "up"]).select(
             "tree", "node", F.col("_up").alias("up"), (F.col("score") + F.col("_more")).alias("score")
         )
-        jump = written(jump, "jumps")
-        done = done.unionByName(jump.filter(~open_up))
-        jumps.append(jump.filter(open_up))
+        jumps.append(written(jump, "jumps"))
+    done = together(*jumps).filter(~open_up)
     parents = base.select("tree", F.col("parent").alias("node")).distinct()
     leaves = done.join(parents, ["tree", "node"], "left_anti")
     if keep is not None:
         best = Window.partitionBy("tree").orderBy(F.desc("score"), "node")
         leaves = leaves.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= keep)
     found = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("position"))
-    found = written(found, "paths")
+    paths = [written(found, "paths")]
     for k, step in enumerate(jumps[:-1]):
-        reached = found.join(step.select("tree", "node", "up"), ["tree", "node"]).select(
+        reached = together(*paths).join(step.filter(open_up).select("tree", "node", "up"), ["tree", "node"]).select(
             "tree", "leaf", F.col("up").alias("node"), (F.col("position") - 2**k).alias("position")
         )
-        found = found.unionByName(written(reached, "paths"))
-    return found
+        paths.append(written(reached, "paths"))
+    return together(*paths)
 
 
 def format_trees(messages: DataFrame, keep: int | None = None, learn: str = "assistant") -> DataFrame:

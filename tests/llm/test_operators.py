@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 from compare import difference, sql_rows
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -57,6 +58,16 @@ def test_chat_branches_and_escapes(spark):
     assert best == {(1, 4), (2, 9)}
 
 
+def test_chat_plan_does_not_grow_with_the_longest_branch(spark):
+    def scans(turns: int) -> int:
+        rows = spark.range(turns).selectExpr("0L AS conv_id", "id AS turn", "'user' AS role", "'x' AS text")
+        found = chat.branches(chat.turns_as_tree(rows))
+        assert found.count() == turns
+        return plan_of(found).count("FileScan")
+
+    assert scans(2) == scans(70)
+
+
 def test_chat_keeps_the_null_conversation(spark, sf_dir, tmp_path):
     rows = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (None, 2, "user", None), (5, 0, "user", "c"), (5, 1, "assistant", "d")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
