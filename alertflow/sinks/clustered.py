@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from alertflow.schemas import STORED
 from alertflow.sources.store import sub_folders
+from alertflow.streaming.scratch import new_folder, remove_folder
 
 #: Columns that look-ups filter by, and bits of the rank of each on the curve.
 CLUSTERED = ("disaster_type", "location", "confidence")
 RANK_BITS = 6
 ROWS_PER_FILE = 1_000_000
+#: Files of fewer rows than that are no more than so many: each costs a task when written and when looked up, and its name goes to the driver.
+FILES_MOST = 1024
 _FILES, _BOXES = "files", "boxes"
 
 
@@ -54,16 +57,31 @@ def _rank(value: Column, bounds: list[float]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda bound: bound <= value))
 
 
+def file_count(rows: int, rows_per_file: int) -> int:
+    """How many files so many rows make: beyond ``FILES_MOST`` files hold more rows, up to ``ROWS_PER_FILE`` of them."""
+    full = -(-rows // max(rows_per_file, ROWS_PER_FILE))
+    return max(1, full, min(-(-rows // rows_per_file), FILES_MOST))
+
+
 def write_clustered(stored: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write stored rows as a clustered store of its own; new rows go into another one, or all are written anew.
 
-    One shuffle by range, and one more pass over three columns for the boxes of the files.
+    The rows are worked out once, into a table in the shared folder, which is counted, ranked and shuffled by range; one more
+    pass over three columns finds the boxes of the files.
     """
-    rows = stored.select(*STORED.names)
-    files = max(1, -(-rows.count() // rows_per_file))
+    folder = new_folder(stored.sparkSession, "clustered")
+    try:
+        stored.select(*STORED.names).write.parquet(folder)
+        _write_placed(stored.sparkSession.read.schema(STORED).parquet(folder), path, rows_per_file)
+    finally:
+        remove_folder(stored.sparkSession, folder)
+
+
+def _write_placed(rows: DataFrame, path: str, rows_per_file: int) -> None:
+    files = file_count(rows.count(), rows_per_file)
     placed = on_curve(rows).repartitionByRange(files, "_place", "row_key").sortWithinPartitions("_place", *CLUSTERED)
     placed.drop("_place").write.parquet(f"{path}/{_FILES}")
-    spark = stored.sparkSession
+    spark = rows.sparkSession
     written = spark.read.schema(STORED).parquet(f"{path}/{_FILES}").select(*CLUSTERED, F.col("_metadata.file_name").alias("file"))
     bounds = [part(c).alias(f"{name}_{c}") for c in CLUSTERED for name, part in (("min", F.min), ("max", F.max))]
     nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in CLUSTERED]

@@ -274,3 +274,22 @@ def test_look_ups_open_few_files_of_a_clustered_store(spark, tmp_path):
         clustered.read_clustered(spark, path, {"tweet_id": "1"})
     clustered.write_clustered(kept.limit(0), str(tmp_path / "empty"))
     assert clustered.read_clustered(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_a_clustered_store_computes_its_rows_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    kept = stored(spark, [row(id=str(i)) for i in range(200)])
+    clustered.write_clustered(kept.withColumn("text", counted("text")), str(tmp_path / "store"), rows_per_file=10)
+    assert clustered.read_clustered(spark, str(tmp_path / "store")).count() == seen.value == 200
+
+
+def test_files_of_few_rows_are_bounded():
+    assert [clustered.file_count(n, 20) for n in (0, 20, 21, 2_000, 10_000_000)] == [1, 1, 2, 100, 1024]
+    assert clustered.file_count(3_000_000_000, 20) == clustered.file_count(3_000_000_000, 1_000_000) == 3_000
+    assert clustered.file_count(30_000_000, 10_000_000) == 3
