@@ -148,11 +148,11 @@ _RANGE_SIZE = "spark.sql.files.maxPartitionBytes"
 
 @registered
 def csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One CSV file with line breaks inside quotes, read in many ranges."""
+    """CSV files with line breaks inside quotes, each read in many ranges; a small table makes one, a large one as many as Spark reads it in."""
     path, read = new_folder(spark, "csv"), new_folder(spark, "rows")
     rows = feed(spark, sf_dir).select(*MESSAGE.names)
     whole = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    rows.coalesce(1).write.options(header="true", escape='"', **whole).csv(path)
+    rows.write.options(header="true", escape='"', **whole).csv(path)
     # The setting counts when the plan runs, so it runs here. Ranges are small enough to make many of the smallest table.
     with split_at(spark, "256k"):
         csv_ranges.read_csv_ranges(spark, path).write.parquet(read)
