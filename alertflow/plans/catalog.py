@@ -652,11 +652,16 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
-def shuffled_stream(spark: SparkSession, sf_dir: str, name: str, files: int = 4) -> DataFrame:
-    """The table as a stream of micro-batches of one file each, with rows of all times in every file."""
-    folder = new_folder(spark, name)
-    table(spark, sf_dir, name).repartition(files).write.parquet(folder)
-    return topics.stream_files(spark, folder, table(spark, sf_dir, name).schema, max_files_per_trigger=1)
+#: Most rows in a file of a stream that is made of a table, and so in a task that writes one.
+ROWS_PER_STREAM_FILE = 50_000
+
+
+def shuffled_stream(spark: SparkSession, sf_dir: str, name: str, batches: int = 4) -> DataFrame:
+    """The table as a stream of so many micro-batches, of one file each if the table is small, with rows of all times in every file."""
+    folder, rows = new_folder(spark, name), table(spark, sf_dir, name)
+    files = max(1, -(-rows.count() // (batches * ROWS_PER_STREAM_FILE)))
+    rows.repartition(batches * files).write.parquet(folder)
+    return topics.stream_files(spark, folder, rows.schema, max_files_per_trigger=files)
 
 
 @registered

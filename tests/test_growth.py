@@ -33,3 +33,11 @@ def test_csv_files_are_written_by_the_tasks_that_read_the_table(spark, sf_dir, t
     want = catalog.csv_split(spark, sf_dir)
     assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
     assert difference(spark, sf_dir, catalog.csv_split, SQL["csv_split"]) is None
+
+
+def test_streams_of_large_tables_have_more_files_in_as_many_batches(spark, sf_dir, monkeypatch):
+    made = folders(monkeypatch, "documents")
+    monkeypatch.setattr(catalog, "ROWS_PER_STREAM_FILE", 20)
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    assert difference(spark, sf_dir, catalog.running_totals, SQL["running_totals"]) is None
+    assert all(len(list(folder.glob("*.parquet"))) == 4 * -(-rows // 80) > 4 for folder in made())
