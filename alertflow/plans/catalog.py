@@ -685,9 +685,10 @@ def replayed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def replayed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same by two runs of a stream, each with a checkpoint of its own and every message twice."""
-    path = new_folder(spark, "store")
-    sent = streamed_alerts(spark, sf_dir)
+    """The same by two runs of a stream, each with a checkpoint of its own and every message twice; all read alerts that were scored once."""
+    path, scored = new_folder(spark, "store"), new_folder(spark, "alerts")
+    jobs.wait(jobs.start_files(streamed_alerts(spark, sf_dir), scored, new_folder(spark, "checkpoint"), every=None, file_format="parquet"))
+    sent = topics.stream_files(spark, scored, ALERT)
     for _ in range(2):
         jobs.wait(jobs.start_new_rows(timed(sent.unionByName(sent)), path, new_folder(spark, "checkpoint"), every=None))
     return shown(store.read_runs(spark, path))

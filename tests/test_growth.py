@@ -41,3 +41,15 @@ def test_streams_of_large_tables_have_more_files_in_as_many_batches(spark, sf_di
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert difference(spark, sf_dir, catalog.running_totals, SQL["running_totals"]) is None
     assert all(len(list(folder.glob("*.parquet"))) == 4 * -(-rows // 80) > 4 for folder in made())
+
+
+def test_replayed_messages_are_scored_once(spark, sf_dir, monkeypatch):
+    plans, start = [], jobs.start_new_rows
+
+    def recorded(alerts, *args, **kwargs):
+        plans.append(alerts._jdf.queryExecution().analyzed().toString())
+        return start(alerts, *args, **kwargs)
+
+    monkeypatch.setattr(jobs, "start_new_rows", recorded)
+    assert difference(spark, sf_dir, catalog.replayed_stream, SQL["replayed_stream"]) is None
+    assert len(plans) == 2 and not any("from_json" in plan for plan in plans)
