@@ -25,7 +25,7 @@ from __future__ import annotations
 import itertools
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from typing import NamedTuple
@@ -194,12 +194,18 @@ class Block:
 
     def __init__(self, rows: int, words: int):
         self.most_rows, self.most_words = rows, words
-        self.number, self.words, self.rows = 0, {}, 0
+        self.number, self.words, self.rows = 0, self._numbered(), 0
+
+    @staticmethod
+    def _numbered() -> defaultdict[str, int]:
+        """A new word gets the number of words before it."""
+        words: defaultdict[str, int] = defaultdict()
+        words.default_factory = words.__len__
+        return words
 
     def encode(self, text: str | None) -> list[int]:
         self.rows += 1
-        words = self.words
-        return [words.setdefault(word, len(words)) for word in WORD.findall((text or "").lower())]
+        return list(map(self.words.__getitem__, WORD.findall((text or "").lower())))
 
     def is_full(self) -> bool:
         return self.rows >= self.most_rows or len(self.words) > self.most_words
@@ -208,17 +214,33 @@ class Block:
         return part << 33 | self.number
 
     def close(self) -> None:
-        self.number, self.words, self.rows = self.number + 1, {}, 0
+        # The words know themselves by their numbering, which would keep them until a collection.
+        self.words.default_factory = None
+        self.number, self.words, self.rows = self.number + 1, self._numbered(), 0
 
 
-def varints(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**35 in as many bytes as they need, seven bits in each."""
-    shifts = np.arange(0, 35, 7)
+def _packed(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of ``varints``, and how many each number takes."""
+    # No more groups than the largest number has.
+    shifts = np.arange(0, max(int(numbers.max(initial=1)).bit_length(), 1), 7)
     groups_of = numbers[:, None] >> shifts
     sizes = np.maximum((groups_of > 0).sum(1), 1)
     place = np.arange(len(shifts))
     raw = (groups_of & 127) | np.where(place < sizes[:, None] - 1, 128, 0)
-    return raw[place < sizes[:, None]].astype(np.uint8).tobytes()
+    return raw[place < sizes[:, None]].astype(np.uint8), sizes
+
+
+def varints(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**35 in as many bytes as they need, seven bits in each."""
+    return _packed(numbers)[0].tobytes()
+
+
+def varints_of_rows(rows: list[list[int]]) -> list[bytes]:
+    """``varints`` of each row, worked out together."""
+    raw, sizes = _packed(np.fromiter(itertools.chain.from_iterable(rows), np.int64))
+    ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, rows)])].tolist()
+    data = raw.tobytes()
+    return [data[start:end] for start, end in itertools.pairwise(ends)]
 
 
 def from_varints(raw: bytes) -> np.ndarray:
@@ -230,6 +252,13 @@ def from_varints(raw: bytes) -> np.ndarray:
     return np.add.reduceat((data & 127).astype(np.int64) << (7 * place), starts)
 
 
+def rows_from_varints(rows: list[bytes]) -> list[np.ndarray]:
+    """``from_varints`` of each row, worked out together."""
+    data = b"".join(rows)
+    ended = np.concatenate([[0], np.cumsum(np.frombuffer(data, np.uint8) < 128)])
+    return np.split(from_varints(data), ended[np.cumsum([len(raw) for raw in rows])][:-1])
+
+
 def asked_grams(docs: DataFrame, ranges: int) -> DataFrame:
     """(block, range, names): the distinct n-grams of each block of ``docs`` (part, doc, text), by range of their hash."""
     rows, words = BLOCK_ROWS, HELD
@@ -286,6 +315,8 @@ def answered(asks: DataFrame, values: DataFrame, ranges: int) -> DataFrame:
     return both.mapInArrow(answer, "block long, names string, numbers binary")
 
 
+#: Documents whose numbers are packed or unpacked together.
+PACKED_ROWS = 128
 #: Kinds of the rows of a block, in the order in which they are read.
 ANSWER, WORDS, DOC = range(3)
 
@@ -317,9 +348,14 @@ def encoded(docs: DataFrame) -> DataFrame:
             part = batch.column("part")[0].as_py() if batch.num_rows else part
             doc, start, numbers = batch.column("doc"), 0, []
             kind_of_doc = doc.type
+            pending: list[list[int]] = []
             for at, text in enumerate(batch.column("text").to_pylist(), 1):
-                numbers.append(varints(np.array(block.encode(text), np.int64)))
-                if block.is_full():
+                pending.append(block.encode(text))
+                full = block.is_full()
+                if full or at == batch.num_rows or len(pending) == PACKED_ROWS:
+                    numbers += varints_of_rows(pending)
+                    pending = []
+                if full:
                     yield of(DOC, at - start, None, doc.slice(start, at - start), numbers)
                     yield closed()
                     start, numbers = at, []
@@ -344,17 +380,23 @@ def features(numbers: np.ndarray, logs: np.ndarray, sizes: np.ndarray) -> list[f
     """
     if not len(numbers):
         return [0.0] * (2 + len(WINDOWS) + len(STRONGEST))
+    total, n = np.add.reduce, len(numbers)
     evidence_of, size_of = logs[numbers], sizes[numbers]
-    whole = 10 * float(evidence_of.sum() / size_of.sum())
+    whole = 10 * float(total(evidence_of) / total(size_of))
     out = [whole]
-    running, lengths = (np.concatenate([[0.0], np.cumsum(x)]) for x in (evidence_of, size_of))
+    running, lengths = np.zeros(n + 1), np.zeros(n + 1)
+    np.cumsum(evidence_of, out=running[1:])
+    np.cumsum(size_of, out=lengths[1:])
     for width in WINDOWS:
-        if len(numbers) <= width:
+        if n <= width:
             out.append(whole)
         else:
             out.append(10 * float(((running[width:] - running[:-width]) / (lengths[width:] - lengths[:-width])).max()))
-    different = np.sort(logs[np.unique(numbers)])[::-1]
-    out += [float(different[:k].mean()) for k in STRONGEST]
+    ordered = np.sort(numbers)
+    first = np.ones(n, bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    different = np.sort(logs[ordered[first]])[::-1]
+    out += [float(total(different[:k]) / min(k, len(different))) for k in STRONGEST]
     return [*out, float(np.log(len(numbers) + 1))]
 
 
@@ -396,9 +438,9 @@ def evidence(docs: DataFrame, counts: Counts) -> DataFrame:
                     sizes = np.array([len(word) + 1 for word in words], float)
                     known = {}
                 else:
-                    numbers = part.column("numbers").to_pylist()
-                    found = [features(from_varints(raw), logs, sizes) for raw in numbers]
-                    yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(found, pa.list_(pa.float64()))], ["doc", "features"])
+                    for some in parts([part], PACKED_ROWS):
+                        found = [features(numbers, logs, sizes) for numbers in rows_from_varints(some.column("numbers").to_pylist())]
+                        yield pa.RecordBatch.from_arrays([some.column("doc"), pa.array(found, pa.list_(pa.float64()))], ["doc", "features"])
 
     out = written(both.mapInArrow(compare, schema), "features")
     drop(asks, values)

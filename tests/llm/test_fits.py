@@ -5,7 +5,7 @@ import re
 import numpy as np
 import xxhash
 
-from alertflow.llm import mixing, polytope
+from alertflow.llm import mixing, polytope, toxicity
 from alertflow.llm.queries import TARGETS, quality_domains
 
 
@@ -78,3 +78,11 @@ def test_hashing_finds_pairs_at_the_border(spark):
     recall = linked[:1000].mean()
     assert recall >= 0.98 and linked[1000:1500].sum() == 0 and linked.max() == 1
     assert all(found[1500 + i].component_id == 2**53 + 1 + i for i in range(1000) if linked[i])
+
+
+def test_numbers_packed_together_are_those_packed_alone():
+    rows = [[], [0, 127, 128], [], [2**35 - 1, 5], []]
+    packed = toxicity.varints_of_rows(rows)
+    assert packed == [toxicity.varints(np.array(row, np.int64)) for row in rows]
+    assert [x.tolist() for x in toxicity.rows_from_varints(packed)] == rows
+    assert toxicity.varints_of_rows([[]]) == [b""] and toxicity.rows_from_varints([b""])[0].tolist() == []
