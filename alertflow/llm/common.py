@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,8 @@ from alertflow.streaming.scratch import new_folder
 ROWS_PER_FILE = 500_000
 #: Bits of the map that tells which keys a join will want.
 BITMAP = 1 << 24
+#: Bytes of a batch of rows with texts, on their way to Python and back.
+BATCH_BYTES = 1 << 22
 
 
 def written(df: DataFrame, purpose: str, **options) -> DataFrame:
@@ -32,6 +35,18 @@ def written(df: DataFrame, purpose: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Tables written meanwhile send ``BATCH_BYTES`` at a time to Python: an executor holds batches beside its heap, in vectors that double."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def together(*tables: DataFrame) -> DataFrame:
     """The rows of several tables made by ``written`` with one schema, as one scan: plans stay small however many there are."""
     return tables[0].sparkSession.read.schema(tables[0].schema).parquet(*(f for df in tables for f in sorted(_folders(df))))

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from alertflow.llm.common import blocks, components, drop, groups, in_bitmap, parts, place_map, written
+from alertflow.llm.common import blocks, components, drop, groups, in_bitmap, parts, place_map, small_batches, written
 
 WORDS = 5
 #: Similarity as a fraction of whole numbers.
@@ -443,7 +443,8 @@ def _components(docs: DataFrame, words: int, share: tuple[int, int]) -> DataFram
 def join_similar(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
     """(doc_id, n_shingles, component_id): each document's component under links of similar sets."""
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    placed = _components(numbered, words, share)
+    with small_batches(docs.sparkSession):
+        placed = _components(numbered, words, share)
     smallest = placed.filter(F.col("component").isNotNull()).groupBy("component")
     named = placed.join(smallest.agg(F.min("doc_id").alias("_first")), "component", "left")
     return named.select("doc_id", "n_shingles", F.coalesce("_first", "doc_id").alias("component_id"))
@@ -455,7 +456,8 @@ def one_of_each(docs: DataFrame, words: int = WORDS, share: tuple[int, int] = SH
     Texts without words are no copies of each other and all stay.
     """
     packed = docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"))
-    placed = _components(packed.select("row", "doc.doc_id", "doc.text"), words, share)
+    with small_batches(docs.sparkSession):
+        placed = _components(packed.select("row", "doc.doc_id", "doc.text"), words, share)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
     firsts = placed.filter(F.col("component").isNotNull()).groupBy("component").agg(first).select("first.row")
     stay = firsts.unionByName(placed.filter(F.col("component").isNull()).select("row"))

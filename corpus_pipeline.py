@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertflow.llm import jaccard, mixing, packing, secret_scan, toxicity
-from alertflow.llm.common import drop, table, written
+from alertflow.llm.common import drop, small_batches, table, written
 from alertflow.llm.queries import TARGETS, quality_domains, vocabulary
 
 
@@ -57,7 +57,8 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.tokenised(docs, vocabulary()))
+    with small_batches(spark):
+        return packing.pack(packing.tokenised(docs, vocabulary()))
 
 
 STAGES = [
