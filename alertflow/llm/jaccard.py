@@ -9,9 +9,11 @@ they must share, so:
   group of any size gives as many links as it has rows;
 * heavy sets put a prefix of their shingles into inverted lists, rare shingles first, as counted over all rows; what no other row
   has needs no list. Lists are scanned in rounds: members are compared with the list's leader, and what is linked becomes one component. When
-  few pairs are left, every pair of a list that is in two components is compared, unless the number and places
-  of the lists that it shares rule a link out. Groups of near copies collapse in the first rounds, so
-  their pairs are never all made; no link between components is left out.
+  few pairs are left, every pair of a list that is in two components is compared, unless its bits, or the number and places
+  of the lists that it shares, rule a link out. A set's bits tell, for each part of the range of hashes, whether
+  it has an odd number there; where two sets differ in a bit, each such part holds a shingle that only one of them has. Groups
+  of near copies collapse in the first rounds, and those of them that do not link differ in their bits while their lists
+  are joined, so their pairs are never all made; no link between components is left out.
 
 The boundary is the size at which the summed cost of both ways, taken from the counts of sizes, is least.
 Counts are made by range of hash, and go back to the blocks of rows that sent the shingles, a block being what one task
@@ -57,6 +59,8 @@ ROUNDS = 2
 #: Places past the first possible one at which shared shingles are counted: more of them rule out more pairs
 #: before their sets are compared, but make more rows for each pair. No link depends on it.
 MORE_PLACES = 0
+#: Numbers of 64 bits that tell sets apart. More of them rule out more pairs of large sets; no link depends on it.
+MARKS = 16
 
 U = np.uint64
 
@@ -130,6 +134,12 @@ def boundary(counts: dict[int, int], share: tuple[int, int] = SHARE) -> int:
     return min(range(LIGHT_MOST + 1), key=cost)
 
 
+def marks(keys: np.ndarray) -> np.ndarray:
+    """A bit for each part of the range of hashes, set where the set has an odd number of them, as ``MARKS`` numbers."""
+    odd = np.bincount((keys >> U(64 - (64 * MARKS - 1).bit_length())).astype(np.int64), minlength=64 * MARKS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _longs(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values).view(np.int64)
 
@@ -195,11 +205,11 @@ def block_of(row: str) -> Column:
     return F.shiftright(row, 33).alias("block")
 
 
-SET = "row long, node long, n long, keys array<long>, places array<int>, small array<long>"
+SET = "row long, node long, n long, keys array<long>, places array<int>, small array<long>, marks array<long>"
 
 
 def _set_rows(docs: DataFrame, levels: DataFrame, words: int, share: tuple[int, int], ranges: int) -> DataFrame:
-    """``SET`` with doc_id: the shared shingles of each document's prefix with their places, and the whole set of a small one."""
+    """``SET`` with doc_id: the shared shingles of each document's prefix with their places, the whole set of a small one, and its bits."""
     most_small = LIGHT_MOST * share[1] // share[0]
     shift = U(32 - max(ranges - 1, 1).bit_length())
     texts = docs.select(block_of("row"), F.lit(None).cast("int").alias("range"), "row", "doc_id", "text")
@@ -221,12 +231,13 @@ def _set_rows(docs: DataFrame, levels: DataFrame, words: int, share: tuple[int,
                 # Ranges come in descending order, and keys are sorted in each.
                 known, level = (np.concatenate(part[::-1]) for part in zip(*held, strict=True))
                 held = []
-            node, n, keys_of, places_of, small = [], [], [], [], []
+            node, n, keys_of, places_of, small, marks_of = [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 keys = shingles(text, words)
                 n.append(len(keys))
                 node.append(int(_longs(mix(mix(keys).sum(keepdims=True, dtype=U) + U(len(keys))))[0]) if len(keys) else None)
                 small.append(_longs(keys) if len(keys) <= most_small else None)
+                marks_of.append(marks(keys) if len(keys) else None)
                 of = np.zeros(len(keys), np.int16)
                 if len(known) and len(keys):
                     short = keys >> shift
@@ -242,7 +253,8 @@ def _set_rows(docs: DataFrame, levels: DataFrame, words: int, share: tuple[int,
                 places_of.append(places.astype(np.int32))
             arrays = [
                 batch.column("row"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(keys_of, pa.list_(pa.int64())),
-                pa.array(places_of, pa.list_(pa.int32())), pa.array(small, pa.list_(pa.int64())), batch.column("doc_id"),
+                pa.array(places_of, pa.list_(pa.int32())), pa.array(small, pa.list_(pa.int64())),
+                pa.array(marks_of, pa.list_(pa.int64())), batch.column("doc_id"),
             ]
             yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
@@ -351,6 +363,11 @@ def _possible(met: DataFrame, share: tuple[int, int], more: int = MORE_PLACES) -
     return counted.filter(most * (a + b) >= (n + m) * a).select("src", "dst", "low", "high")
 
 
+def _differ(one: str, two: str) -> Column:
+    """How many bits differ between two columns of ``marks``: so many shingles at least are in one of both sets only."""
+    return reduce(Column.__add__, (F.bit_count(F.col(one)[i].bitwiseXOR(F.col(two)[i])) for i in range(MARKS)))
+
+
 def _pair(one: str, two: str) -> list[Column]:
     return [F.least(one, two).alias("low"), F.greatest(one, two).alias("high")]
 
@@ -380,16 +397,20 @@ def _heavy_links(docs: DataFrame, sets: DataFrame, light: int, words: int, share
         work = lists.agg(F.sum((F.col("rows") - F.col("most")) * F.col("rows")), F.sum("rows")).first()
         last = not work[0] or work[0] <= PAIRS_PER_ENTRY * work[1] or turn == ROUNDS
         if last:
-            marked = open_lists.join(lists.select("key", "main"), "key")
+            marks_of = rows.join(heavy.select("row", "marks"), "row").select("node", "marks")
+            marked = written(open_lists.join(lists.select("key", "main"), "key").join(marks_of, "node"), "marked")
             others = marked.filter("component <> main").select(
-                "key", F.col("node").alias("a"), "n", F.col("at").alias("i"), F.col("component").alias("mine")
+                "key", F.col("node").alias("a"), "n", F.col("at").alias("i"), F.col("component").alias("mine"), F.col("marks").alias("one")
             )
             theirs = marked.select(
                 "key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("at").alias("j"), "component",
-                (F.col("component") == F.col("main")).alias("is_main"),
+                (F.col("component") == F.col("main")).alias("is_main"), F.col("marks").alias("two"),
             )
+            # Sets share at most half of what is left of both sizes without the shingles that one of them has alone.
+            sizes = F.col("n") + F.col("m")
+            shared_enough = (sizes - _differ("one", "two")) * sum(share) >= sizes * (2 * share[0])
             met = others.join(theirs, "key").filter(
-                (F.col("mine") != F.col("component")) & (F.col("is_main") | (F.col("a") < F.col("b")))
+                (F.col("mine") != F.col("component")) & (F.col("is_main") | (F.col("a") < F.col("b"))) & shared_enough
             )
             met = met.select("a", "n", "i", "b", "m", "j", *_pair("mine", "component"))
         else:
@@ -412,7 +433,7 @@ def _heavy_links(docs: DataFrame, sets: DataFrame, light: int, words: int, share
         compared.append(pairs)
         turn += 1
         if last:
-            drop(open_lists, rows, *compared)
+            drop(open_lists, rows, marked, *compared)
             return reduce(DataFrame.unionByName, links)
         # Components grow together by the new links alone.
         step = components(found.select(F.col("low").alias("src"), F.col("high").alias("dst")))
