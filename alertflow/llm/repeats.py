@@ -5,8 +5,9 @@ names, so only windows of one name need be compared:
 
 * neighbouring windows with one name and place are a segment of at most 2 * ``LENGTH`` - ``GRAM`` bytes. Names that occur once are no
   repeat, and equal segments repeat whole;
-* the different segments of a name meet in a shard. Its suffix array is made by induced sorting, and its permuted
-  common prefixes tell which windows stand twice. A shard holds whole names up to ``SHARD_BYTES``; a name
+* the different segments of a name meet in a shard. Windows that longer grams, halfway to ``LENGTH``, give a name of
+  their own there are left out. Of the others the suffix array is made by induced sorting, and its permuted common
+  prefixes tell which windows stand twice. A shard holds whole names up to ``SHARD_BYTES``; a name
   with more segments is dealt over several shards, and windows that no shard repeats are matched
   between these by digest.
 
@@ -41,6 +42,8 @@ GRAM = 64
 CHUNK = 1 << 20
 PLACE_BITS = 24
 BITS = 1 << 26
+#: Places hashed at once.
+PLACES = 1 << 14
 SHARD_BYTES = 1 << 20
 #: Segments of one name in a shard.
 SEGMENTS = 2048
@@ -54,19 +57,27 @@ def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
     """A hash of the ``gram`` bytes (a multiple of 8) from each place."""
     n = len(raw) - gram + 1
     eight = np.ndarray((len(raw) - 7,), "<u8", np.ascontiguousarray(raw).data, strides=(1,))
-    total = np.zeros(n, U)
-    for i, factor in enumerate(odd_factors(gram // 8, 5)):
-        total += mix(eight[8 * i : 8 * i + n]) * factor
-    return mix(total)
+    factors = odd_factors(gram // 8, 5)
+    out = np.empty(n, U)
+    # Eight bytes are mixed once for all places that they are part of, a few places at a time, which stay in the cache.
+    for low in range(0, n, PLACES):
+        size = min(PLACES, n - low)
+        mixed = mix(eight[low : low + size + gram - 8])
+        total, part = np.zeros(size, U), np.empty(size, U)
+        for i, factor in enumerate(factors):
+            total += np.multiply(mixed[8 * i : 8 * i + size], factor, out=part)
+        out[low : low + size] = mix(total)
+    return out
 
 
 def least_of(values: np.ndarray, width: int) -> np.ndarray:
-    """The least of each ``width`` neighbours, from running minima of blocks from both sides."""
-    n = len(values) - width + 1
-    whole = np.append(values, np.full(-len(values) % width, ~U(0))).reshape(-1, width)
-    forward = np.minimum.accumulate(whole, axis=1).ravel()
-    backward = np.minimum.accumulate(whole[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
+    """The least of each ``width`` neighbours, from the least of 2, 4, 8 and so on."""
+    done = 1
+    while 2 * done <= width:
+        values = np.minimum(values[:-done], values[done:])
+        done *= 2
+    rest = width - done
+    return np.minimum(values[: len(values) - rest], values[rest:])
 
 
 def parts(texts: list[bytes | None], length: int, chunk: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
@@ -85,13 +96,13 @@ def parts(texts: list[bytes | None], length: int, chunk: int) -> Iterator[tuple[
         yield rows, starts, held
 
 
-def segments(held: list[bytes], length: int) -> tuple[memoryview, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def segments(held: list[bytes], length: int, gram: int = GRAM) -> tuple[memoryview, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(buffer, part, start in the buffer, windows, name) of the segments of some parts."""
     buffer = b"".join(held)
     raw = np.frombuffer(buffer, np.uint8)
-    hashes = gram_hashes(raw, GRAM)
+    hashes = gram_hashes(raw, gram)
     placed = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=U)
-    least = least_of(placed, length - GRAM + 1)
+    least = least_of(placed, length - gram + 1)
     sizes = np.array([len(part) for part in held])
     ends = np.cumsum(sizes)
     valid = np.ones(len(least) + 1, bool)
@@ -186,8 +197,27 @@ WINDOW_RANGE = f"{RANGE}, w1 long, w2 long, shard string"
 
 def _in_shard(bodies: list[bytes], length: int) -> list[np.ndarray]:
     """For each segment of a shard, which of its windows stand elsewhere in the shard."""
+    # Named once more by longer grams: windows whose name is given once in the shard are no repeat and need not be sorted.
+    buffer, _, starts, windows, names = segments(bodies, length, (GRAM + length) // 16 * 8)
+    _, which, given = np.unique(names, return_inverse=True, return_counts=True)
+    again = given[which] > 1
+    step = np.zeros(len(buffer) + 1, np.int8)
+    step[starts[again]] += 1
+    step[(starts + windows)[again]] -= 1
+    runs = _runs(np.cumsum(step[:-1], dtype=np.int8) > 0)
+    out = np.zeros(len(buffer), bool)
+    if runs:
+        found = _sorted_repeats([buffer[a : a + n + length - 1] for a, n in runs], length)
+        for (a, n), marks in zip(runs, found, strict=True):
+            out[a : a + n] = marks
+    ends = np.cumsum([len(b) for b in bodies])
+    return [out[end - len(b) : end - length + 1] for end, b in zip(ends.tolist(), bodies, strict=True)]
+
+
+def _sorted_repeats(bodies: list[bytes | memoryview], length: int) -> list[np.ndarray]:
+    """For each of these byte strings, which of its windows stand elsewhere in them, by a suffix array of all."""
     # Bytes from 2 on, 1 between segments, 0 at the end.
-    s = np.frombuffer(b"\x00".join(bodies) + b"\x00\x00", np.uint8).astype(np.int64) + 2
+    s = np.frombuffer(b"\x00".join(bodies) + b"\x00\x00", np.uint8).astype(np.int16) + np.int16(2)
     ends = np.cumsum([len(b) + 1 for b in bodies])
     s[ends - 1] = 1
     s[-1] = 0

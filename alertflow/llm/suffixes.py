@@ -5,7 +5,8 @@ substring; these are sorted by inducing, named, and where names repeat the strin
 same method. The sorted LMS suffixes then induce all others in one pass each way.
 
 Small alphabets are induced by whole waves of a bucket at a time; long strings of names, whose buckets hold few
-suffixes each, one suffix after the other.
+suffixes each, one suffix after the other. There the LMS substrings are sorted by their characters instead of a first
+round of inducing; the order of the suffixes is induced from them all the same.
 """
 
 from __future__ import annotations
@@ -104,6 +105,47 @@ def _induce_one_by_one(s, small, order, sizes) -> np.ndarray:
     return np.array(sa, np.int64)
 
 
+def _named(s, rough, lms, length) -> tuple[np.ndarray, np.ndarray]:
+    """(name, place) of the LMS substrings, in the order of a rough array: equal neighbours share a name."""
+    n = len(s)
+    size = np.zeros(n, np.int64)
+    size[lms] = length
+    order = rough[size[rough] > 0]
+    a, b = order[:-1], order[1:]
+    same = size[a] == size[b]
+    left, at = np.flatnonzero(same), 0
+    while len(left):
+        equal = s[np.minimum(a[left] + at, n - 1)] == s[np.minimum(b[left] + at, n - 1)]
+        same[left[~equal]] = False
+        at += 1
+        left = left[equal]
+        left = left[size[a[left]] > at]
+    return np.concatenate([[0], np.cumsum(~same)]), order
+
+
+def _refined(s, small, lms, length) -> tuple[np.ndarray, np.ndarray]:
+    """(name, place) of the LMS substrings in their order, by one more character each time for those that are equal so far.
+
+    Of equal characters an L is the smaller. Equal so far with types, substrings end together.
+    """
+    keys = 2 * s.astype(np.int64) + small
+    most = int(keys.max()) + 1
+    order, group = np.arange(len(lms)), np.zeros(len(lms), np.int64)
+    left, at = np.arange(len(lms)), 0
+    while len(left):
+        items = order[left]
+        both = group[left] * most + keys[lms[items] + at]
+        by = np.argsort(both)
+        order[left], both = items[by], both[by]
+        new = np.concatenate([[True], both[1:] != both[:-1], [True]])
+        # A group is named by the place of its first.
+        first = left[np.flatnonzero(new[:-1])]
+        group[left] = np.repeat(first, np.diff(np.flatnonzero(new)))
+        at += 1
+        left = left[~(new[:-1] & new[1:]) & (length[order[left]] > at)]
+    return np.cumsum(group == np.arange(len(lms))) - 1, lms[order]
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """The order of the suffixes of ``s``, whole numbers of which the last is the smallest and unlike all others."""
     n = len(s)
@@ -113,23 +155,13 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         return np.arange(n - 1, -1, -1) if n > 1 else np.zeros(n, np.int64)
     sizes = np.bincount(s)
     induce = _induce_by_waves if len(sizes) <= WAVES_MOST else _induce_one_by_one
-    # Any order of the LMS suffixes inside their buckets sorts their substrings.
-    rough = induce(s, small, lms[np.argsort(s[lms], kind="stable")], sizes)
-    starts = np.zeros(n, bool)
-    starts[lms] = True
-    order = rough[starts[rough]]
-    length = np.zeros(n, np.int64)
-    length[lms] = np.diff(np.append(lms, n - 1)) + 1
-    a, b = order[:-1], order[1:]
-    same = length[a] == length[b]
-    left, at = np.flatnonzero(same), 0
-    while len(left):
-        equal = s[np.minimum(a[left] + at, n - 1)] == s[np.minimum(b[left] + at, n - 1)]
-        same[left[~equal]] = False
-        at += 1
-        left = left[equal]
-        left = left[length[a[left]] > at]
-    names = np.concatenate([[0], np.cumsum(~same)])
+    length = np.diff(np.append(lms, n - 1)) + 1
+    if induce is _induce_by_waves:
+        # Any order of the LMS suffixes inside their buckets sorts their substrings.
+        rough = induce(s, small, lms[np.argsort(s[lms], kind="stable")], sizes)
+        names, order = _named(s, rough, lms, length)
+    else:
+        names, order = _refined(s, small, lms, length)
     if names[-1] + 1 < len(lms):
         name_at = np.zeros(n, np.int64)
         name_at[order] = names

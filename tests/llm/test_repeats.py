@@ -84,3 +84,50 @@ def test_query_equals_brute_force(spark, sf_dir):
     wanted = dict(zip([r.doc_id for r in rows], brute([r.text for r in rows], 200), strict=True))
     found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in QUERIES["op12_repeats"](spark, sf_dir).collect()}
     assert found == wanted and sum(r[1] for r in wanted.values()) > 0
+
+
+def test_windows_without_an_equal_name_are_not_sorted(monkeypatch):
+    """Strings that share 110 bytes have a name in common but no window of 200; those that share 230 have 31."""
+    sorted_places = []
+    monkeypatch.setattr(repeats, "suffix_array", lambda s: sorted_places.append(len(s)) or suffixes.suffix_array(s))
+    random = np.random.default_rng(2)
+
+    def noise(n):
+        return random.integers(0, 256, n, np.uint8).tobytes()
+
+    short, long = noise(110), noise(230)
+    bodies = [noise(100) + short + noise(100) for _ in range(50)]
+    assert not any(marks.any() for marks in repeats._in_shard(bodies, 200)) and sum(sorted_places) == 0
+    bodies += [noise(50) + long + noise(50), noise(40) + long + noise(60)]
+    found = repeats._in_shard(bodies, 200)
+    assert [np.flatnonzero(m).tolist() for m in found[50:]] == [list(range(50, 81)), list(range(40, 71))]
+    assert not any(m.any() for m in found[:50]) and sum(sorted_places) < 1000
+
+
+@pytest.mark.parametrize("length", [64, 71, 100, 200])
+def test_shard_equals_brute_force(length):
+    """Zero bytes, runs, overlaps inside a string and equal strings among the segments."""
+    random = np.random.default_rng(length)
+    pool = random.integers(0, 3, 900).astype(np.uint8)
+    bodies = [b"\x00" * (length + 5), b"\xff" * length, b"ab" * length]
+    for _ in range(60):
+        a, b = random.integers(0, 900 - length, 2).tolist()
+        bodies.append(pool[a : a + length + int(random.integers(0, 99))].tobytes() + pool[b : b + int(random.integers(1, 80))].tobytes())
+    windows = [[body[i : i + length] for i in range(len(body) - length + 1)] for body in bodies]
+    counts = Counter(w for own in windows for w in own)
+    assert [m.tolist() for m in repeats._in_shard(bodies, length)] == [[counts[w] > 1 for w in own] for own in windows]
+
+
+def test_bytes_are_mixed_once(monkeypatch):
+    """However many of its bytes a gram has, a place costs two rounds of mixing."""
+    mixed = []
+    monkeypatch.setattr(repeats, "mix", lambda x, f=repeats.mix: mixed.append(len(x)) or f(x))
+    raw = np.random.default_rng(3).integers(0, 256, 100_000).astype(np.uint8)
+    wanted = repeats.gram_hashes(raw[40_000:50_000], 128)
+    mixed.clear()
+    found = repeats.gram_hashes(raw, 128)
+    assert sum(mixed) < 2.1 * len(raw)
+    assert found[40_000 : 40_000 + len(wanted)].tolist() == wanted.tolist()
+    values = found[:5000]
+    for width in (1, 2, 73, 128):
+        assert repeats.least_of(values, width).tolist() == [min(values[i : i + width].tolist()) for i in range(len(values) - width + 1)]
