@@ -22,6 +22,7 @@ in the same order at each reading, as tables in files do.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -198,23 +199,29 @@ WINDOW_RANGE = f"{RANGE}, w1 long, w2 long, shard string"
 def _in_shard(bodies: list[bytes], length: int) -> list[np.ndarray]:
     """For each segment of a shard, which of its windows stand elsewhere in the shard."""
     # Named once more by longer grams: windows whose name is given once in the shard are no repeat and need not be sorted.
-    buffer, _, starts, windows, names = segments(bodies, length, (GRAM + length) // 16 * 8)
+    whole = b"".join(bodies)
+    at = np.cumsum([0, *(len(b) for b in bodies)])
+    named = []
+    for rows, begins, held in parts(bodies, length, CHUNK):
+        _, part, starts, windows, names = segments(held, length, (GRAM + length) // 16 * 8)
+        first = at[rows] + begins - np.cumsum([0, *(len(p) for p in held[:-1])])
+        named.append((first[part] + starts, windows, names))
+    starts, windows, names = (np.concatenate(c) for c in zip(*named, strict=True))
     _, which, given = np.unique(names, return_inverse=True, return_counts=True)
     again = given[which] > 1
-    step = np.zeros(len(buffer) + 1, np.int8)
+    step = np.zeros(len(whole) + 1, np.int8)
     step[starts[again]] += 1
     step[(starts + windows)[again]] -= 1
     runs = _runs(np.cumsum(step[:-1], dtype=np.int8) > 0)
-    out = np.zeros(len(buffer), bool)
+    out = np.zeros(len(whole), bool)
     if runs:
-        found = _sorted_repeats([buffer[a : a + n + length - 1] for a, n in runs], length)
+        found = _sorted_repeats([whole[a : a + n + length - 1] for a, n in runs], length)
         for (a, n), marks in zip(runs, found, strict=True):
             out[a : a + n] = marks
-    ends = np.cumsum([len(b) for b in bodies])
-    return [out[end - len(b) : end - length + 1] for end, b in zip(ends.tolist(), bodies, strict=True)]
+    return [out[a : b - length + 1] for a, b in itertools.pairwise(at.tolist())]
 
 
-def _sorted_repeats(bodies: list[bytes | memoryview], length: int) -> list[np.ndarray]:
+def _sorted_repeats(bodies: list[bytes], length: int) -> list[np.ndarray]:
     """For each of these byte strings, which of its windows stand elsewhere in them, by a suffix array of all."""
     # Bytes from 2 on, 1 between segments, 0 at the end.
     s = np.frombuffer(b"\x00".join(bodies) + b"\x00\x00", np.uint8).astype(np.int16) + np.int16(2)

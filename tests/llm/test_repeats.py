@@ -104,9 +104,11 @@ def test_windows_without_an_equal_name_are_not_sorted(monkeypatch):
     assert not any(m.any() for m in found[:50]) and sum(sorted_places) < 1000
 
 
+@pytest.mark.parametrize("chunk", [1 << 20, 150])
 @pytest.mark.parametrize("length", [64, 71, 100, 200])
-def test_shard_equals_brute_force(length):
+def test_shard_equals_brute_force(monkeypatch, length, chunk):
     """Zero bytes, runs, overlaps inside a string and equal strings among the segments."""
+    monkeypatch.setattr(repeats, "CHUNK", chunk)
     random = np.random.default_rng(length)
     pool = random.integers(0, 3, 900).astype(np.uint8)
     bodies = [b"\x00" * (length + 5), b"\xff" * length, b"ab" * length]
@@ -131,3 +133,13 @@ def test_bytes_are_mixed_once(monkeypatch):
     values = found[:5000]
     for width in (1, 2, 73, 128):
         assert repeats.least_of(values, width).tolist() == [min(values[i : i + width].tolist()) for i in range(len(values) - width + 1)]
+
+
+def test_shard_of_more_bytes_than_places(monkeypatch):
+    """Segments of long windows can make a shard larger than the places that a part of it is named by."""
+    monkeypatch.setattr(repeats, "CHUNK", 1 << 11)
+    monkeypatch.setattr(repeats, "_PLACE", np.uint64((1 << 13) - 1))
+    random = np.random.default_rng(4)
+    passage = random.integers(0, 256, 220).astype(np.uint8).tobytes()
+    bodies = [random.integers(0, 256, 90).astype(np.uint8).tobytes() + passage for _ in range(200)]
+    assert all(m[90:111].all() and not m[:80].any() for m in repeats._in_shard(bodies, 200))
